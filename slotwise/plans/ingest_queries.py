@@ -1 +1,192 @@
-"""Registered queries (filled in below)."""
+"""Ingest queries: JSON sources and sinks, manifests, flatten, partition overwrite.
+
+Each writes below the shared folder (``spark.checkpoint.dir``) and reads its own
+output back, so the result checks the whole round trip.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from slotwise import schemas as S
+from slotwise.operators import spend
+from slotwise.operators.flatten import flatten
+from slotwise.plans.catalog import register
+from slotwise.plans.oracle_sql import with_ctes
+from slotwise.session import scratch_path
+from slotwise.sinks import writers
+from slotwise.sources import json_io, model
+from slotwise.sources.tables import read_columnar, read_table
+
+# ----------------------------------------------------------------- oracle pieces
+_SPEND_RECORDS_ALIGNED = """
+spend_records_aligned AS (
+  SELECT CAST(DATE '2024-01-01' + CAST(o_orderkey % 30 AS INTEGER) AS VARCHAR) AS date,
+    CASE o_orderpriority WHEN '1-URGENT' THEN 'facebook_paid_ads' WHEN '2-HIGH' THEN 'youtube_paid_ads'
+      WHEN '3-MEDIUM' THEN 'tiktok_paid_ads' WHEN '4-NOT SPECIFIED' THEN 'linkedin_paid_ads'
+      WHEN '5-LOW' THEN 'podcast_paid_ads' END AS channel,
+    o_totalprice AS spend, o_orderkey AS position
+  FROM orders
+)"""
+
+_FIRST_ALIGNED = """
+first_aligned AS (
+  SELECT date, channel, spend FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY date, channel ORDER BY position) AS rn
+    FROM spend_records_aligned
+    WHERE channel IN ('youtube_paid_ads', 'facebook_paid_ads', 'tiktok_paid_ads')) s
+  WHERE rn = 1
+)"""
+
+_FIRST_RAW_ALIGNED = """
+first_raw_aligned AS (
+  SELECT date, channel, spend FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY date, channel ORDER BY position) AS rn
+    FROM spend_aligned_raw
+    WHERE channel IN ('youtube_paid_ads', 'facebook_paid_ads', 'tiktok_paid_ads')) s
+  WHERE rn = 1
+)"""
+
+_DOCS = """
+docs AS (
+  SELECT *,
+    CASE WHEN event_id % 10 = 0 THEN ts - INTERVAL 1 SECOND
+         ELSE ts + to_hours(CAST(k % 72 AS BIGINT)) + INTERVAL 1 SECOND END AS ing
+  FROM (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) e
+)"""
+
+_FLAT = """
+flat AS (
+  SELECT
+    CAST(CAST(ing AS DATE) AS VARCHAR) AS event_date,
+    strftime(ing, '%Y-%m-%dT%H:%M:%S.%f') AS ingestion_time,
+    CASE WHEN event_type = 'error' THEN 'invitee.canceled' ELSE 'invitee.created' END AS data_event,
+    strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS data_created_at,
+    'https://api.example.com/scheduled_events/' || CAST(event_id AS VARCHAR) || '/invitees/'
+      || CAST(user_id AS VARCHAR) || '-' || event_type || '-' || strftime(ts, '%Y%m%d') AS data_payload_uri,
+    'invitee' || CAST(event_id AS VARCHAR) || '@example.com' AS data_payload_email,
+    (k % 7 = 0) AS data_payload_rescheduled,
+    a.j AS data_payload_questions_and_answers_position,
+    'answer-' || CAST(a.j AS VARCHAR) AS data_payload_questions_and_answers_answer,
+    'https://api.example.com/event_types/' || event_type AS data_payload_scheduled_event_event_type,
+    strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS data_payload_scheduled_event_start_time,
+    CASE WHEN m.i = 1 THEN 'https://api.example.com/users/cohost-' || CAST(user_id AS VARCHAR)
+         WHEN event_id % 97 = 0 THEN 'https://api.example.com/teams/' || CAST(user_id AS VARCHAR)
+         ELSE 'https://api.example.com/users/' || CAST(user_id AS VARCHAR) END
+      AS data_payload_scheduled_event_event_memberships_user,
+    CASE WHEN k % 4 = 0 THEN 'guest' || CAST(event_id AS VARCHAR) || '@example.com' END
+      AS data_payload_scheduled_event_event_guests,
+    CAST(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS BIGINT)
+      AS data_payload_scheduled_event_invitees_counter_active,
+    CASE k % 5 WHEN 0 THEN 'facebook' WHEN 1 THEN 'youtube' WHEN 2 THEN 'tiktok'
+               WHEN 3 THEN 'newsletter' END AS data_payload_tracking_utm_source
+  FROM docs
+  JOIN (VALUES (0), (1)) m(i) ON m.i = 0 OR docs.event_id % 2 = 1
+  LEFT JOIN (VALUES (CAST(0 AS BIGINT)), (CAST(1 AS BIGINT))) a(j) ON a.j < docs.k % 3
+)"""
+
+FLAT_COLUMNS = [
+    "event_date", "ingestion_time", "data_event", "data_created_at", "data_payload_uri",
+    "data_payload_email", "data_payload_rescheduled",
+    "data_payload_questions_and_answers_position", "data_payload_questions_and_answers_answer",
+    "data_payload_scheduled_event_event_type", "data_payload_scheduled_event_start_time",
+    "data_payload_scheduled_event_event_memberships_user", "data_payload_scheduled_event_event_guests",
+    "data_payload_scheduled_event_invitees_counter_active", "data_payload_tracking_utm_source",
+]
+
+
+# ----------------------------------------------------------------- shared steps
+def bronze_event_documents(spark: SparkSession, sf_dir: str) -> str:
+    """Write the booking documents as Bronze JSON lines, one folder per arrival day."""
+    root = scratch_path(spark, "bronze-events")
+    docs = model.booking_documents(read_table(spark, sf_dir, "events"))
+    writers.write_json_lines(docs, root, "event_date")
+    return root
+
+
+def fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze documents -> flattened ``fact_events`` (with ``event_date``)."""
+    root = bronze_event_documents(spark, sf_dir)
+    return flatten(json_io.read_event_documents(spark, root, layout="lines"))
+
+
+# ----------------------------------------------------------------- queries
+@register("event_flatten", covers="S5 S7 E14 X1 X2 X3 X4 X5 P3 K2 G7",
+          oracle=with_ctes([], f"SELECT {', '.join(FLAT_COLUMNS)} FROM flat", [_DOCS, _FLAT]))
+def q_event_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fact_events(spark, sf_dir).select(*FLAT_COLUMNS)
+
+
+@register("meeting_load_flattened", covers="X4 G5 A7 E1", oracle=with_ctes([], """
+SELECT regexp_extract(data_payload_scheduled_event_event_memberships_user, 'users/([a-zA-Z0-9-]+)', 1) AS user_id,
+  COUNT(*) AS total_meetings_count,
+  COUNT(DISTINCT data_payload_uri) AS distinct_bookings
+FROM flat WHERE data_event = 'invitee.created' GROUP BY 1""", [_DOCS, _FLAT]))
+def q_meeting_load_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G5 over the flattened table: ``total_meetings_count`` counts flattened rows
+    (members x answers, as the Gold job does); ``distinct_bookings`` counts each
+    booking once per employee."""
+    from slotwise.operators import gold
+    enriched = gold.enrich(fact_events(spark, sf_dir))
+    return (enriched
+            .groupBy(F.regexp_extract(S.COL_MEMBER_USER, S.USER_ID_PATTERN, 1).alias("user_id"))
+            .agg(F.count(F.lit(1)).alias("total_meetings_count"),
+                 F.count_distinct("data_payload_uri").alias("distinct_bookings")))
+
+
+@register("spend_json_roundtrip", covers="K1 S6 E13 F4 G6", oracle=with_ctes([], """
+SELECT date, date AS spend_date, replace(channel, '_paid_ads', '') AS channel, spend FROM first_aligned""",
+                                                                    [_SPEND_RECORDS_ALIGNED, _FIRST_ALIGNED]))
+def q_spend_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze spend (first record per listed company and day) written as one JSON
+    array per day, read back as multi-line JSON and cleaned into fact_marketing."""
+    bronze = spend.listed_first(model.spend_records(read_table(spark, sf_dir, "orders"), aligned=True))
+    root = scratch_path(spark, "bronze-spend")
+    writers.write_daily_arrays(bronze, root, "date")
+    return spend.clean_spend(json_io.read_spend_files(spark, root, layout="array"))
+
+
+@register("spend_json_lines_roundtrip", covers="K2 S6 S9", oracle=with_ctes(["fact_marketing_aligned"], """
+SELECT date, spend_date, channel, spend FROM fact_marketing_aligned"""))
+def q_spend_json_lines_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fact = spend.clean_spend(model.spend_raw(read_table(spark, sf_dir, "orders"), aligned=True))
+    root = scratch_path(spark, "spend-lines")
+    writers.write_json_lines(fact, root, "spend_date")
+    # The schema names the partition column, so ``spend_date`` stays text.
+    back = json_io.read_json(spark, root, S.FACT_MARKETING, "lines")
+    return back.select("date", "spend_date", "channel", "spend")
+
+
+@register("manifest_load", covers="S1 S2 S3 S10 K3 F5 J5 E3 G6", oracle=with_ctes(["spend_aligned_raw"], """
+SELECT date, date AS spend_date, replace(channel, '_paid_ads', '') AS channel, spend
+FROM first_raw_aligned WHERE spend IS NOT NULL""", [_FIRST_RAW_ALIGNED]))
+def q_manifest_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spend load: raw day files (JSON lines, ``spend_data_<day>.json`` folders)
+    and a manifest naming them; every listed file is read in one scan, the day is
+    taken from the file name, the first record per listed company and day is kept,
+    and the result is cleaned into fact_marketing."""
+    raw = model.spend_raw(read_table(spark, sf_dir, "orders"), aligned=True) \
+        .withColumn("file_name", writers.spend_file_name("date"))
+    data_root, index_root = scratch_path(spark, "spend-raw"), scratch_path(spark, "spend-index")
+    writers.write_json_lines(raw, data_root, "file_name")
+    writers.write_manifest(raw.select("file_name", F.substring("date", 1, 7).alias("month")).distinct(),
+                           index_root, group_col="month")
+    records = spend.with_file_date(json_io.load_listed_files(spark, data_root, index_root))
+    bronze = spend.listed_first(records, day_col="file_date")
+    return spend.clean_spend(bronze)
+
+
+@register("partition_overwrite", covers="K4 K5 D10 S8 S9", oracle=with_ctes(["fact_marketing_aligned"], """
+SELECT date, spend_date, channel, spend FROM fact_marketing_aligned WHERE date < '2024-01-21'
+UNION ALL
+SELECT date, spend_date, channel, spend FROM fact_marketing_aligned WHERE date >= '2024-01-21' AND spend >= 0"""))
+def q_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fact_marketing written by day; a corrected batch for the days from 2024-01-21
+    (negative spend removed) then replaces only those day partitions."""
+    fact = spend.clean_spend(model.spend_raw(read_table(spark, sf_dir, "orders"), aligned=True))
+    root = scratch_path(spark, "fact-marketing")
+    writers.write_partitioned(fact, root, ["date"])
+    correction = fact.filter((F.col("date") >= "2024-01-21") & (F.col("spend") >= 0))
+    writers.write_partitioned(correction, root, ["date"])
+    return read_columnar(spark, root, schema=S.FACT_MARKETING).select("date", "spend_date", "channel", "spend")

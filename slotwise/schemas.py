@@ -76,6 +76,17 @@ SPEND_RECORD_RAW = T.StructType([
     T.StructField("spend", T.StringType()),
 ])
 
+# Raw spend with its place in the day's file (first match wins).
+SPEND_RECORD_RAW_POS = T.StructType(SPEND_RECORD_RAW.fields + [T.StructField("position", T.LongType())])
+
+# fact_marketing as stored (date is the partition column).
+FACT_MARKETING = T.StructType([
+    T.StructField("date", T.StringType()),
+    T.StructField("spend_date", T.StringType()),
+    T.StructField("channel", T.StringType()),
+    T.StructField("spend", T.DoubleType()),
+])
+
 MANIFEST = T.StructType([T.StructField("files", T.ArrayType(T.StringType()))])
 
 QUESTION_AND_ANSWER = T.StructType([
