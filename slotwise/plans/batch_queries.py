@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from slotwise.operators import gold, spend
+from slotwise import schemas as S
+from slotwise.operators import contracts, dedup, gold, incremental, metrics, quality, spend
 from slotwise.plans.catalog import register
 from slotwise.plans.oracle_sql import with_ctes
+from slotwise.session import scratch_path
 from slotwise.sources import model
-from slotwise.sources.tables import read_table
+from slotwise.sources.tables import read_columnar, read_table
 
 
 # ---------------------------------------------------------------- shared inputs
@@ -92,3 +96,254 @@ SELECT 'others' AS channel, COALESCE(CAST(SUM(CAST(spend AS DECIMAL(18, 2))) AS
 FROM fact_marketing WHERE channel NOT IN ('facebook', 'youtube', 'tiktok')"""))
 def q_spend_others_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spend.spend_with_others(fact_marketing(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- quality, dedup
+_BOOKING_REASONS = """concat_ws(';',
+    CASE WHEN invitee_id IS NULL OR invitee_id = '' THEN 'missing_invitee_id' END,
+    CASE WHEN data_created_at > ingestion_time THEN 'created_after_ingestion' END,
+    CASE WHEN data_payload_scheduled_event_start_time IS NULL THEN 'missing_start_time' END)"""
+
+
+def _flagged_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = booking_facts(spark, sf_dir).withColumn("booking_ts", F.col(S.COL_START_TIME))
+    return quality.flag(facts, quality.booking_rules())
+
+
+@register("booking_quality_flags", covers="D4 D5 D9", oracle=with_ctes(["booking_facts"], f"""
+SELECT event_id, invitee_id, {_BOOKING_REASONS} AS reject_reasons,
+  ({_BOOKING_REASONS}) = '' AS is_valid_record
+FROM booking_facts"""))
+def q_booking_quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flagged_bookings(spark, sf_dir).select(
+        "event_id", "invitee_id", F.concat_ws(";", "reject_reasons").alias("reject_reasons"), "is_valid_record")
+
+
+@register("bookings_quarantine", covers="D5 D9", oracle=with_ctes(["booking_facts"], f"""
+SELECT event_id, invitee_id, {_BOOKING_REASONS} AS reject_reasons FROM booking_facts
+WHERE ({_BOOKING_REASONS}) <> ''"""))
+def q_bookings_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, rejected = quality.split(_flagged_bookings(spark, sf_dir))
+    return rejected.select("event_id", "invitee_id", F.concat_ws(";", "reject_reasons").alias("reject_reasons"))
+
+
+@register("spend_quarantine", covers="D7 D9 P5", oracle=with_ctes(["spend_raw"], """
+SELECT date, channel, position,
+  CASE defect WHEN 'bad' THEN 'unreadable_spend' WHEN 'missing' THEN 'missing_spend'
+              WHEN 'negative' THEN 'negative_spend' END AS reject_reasons
+FROM spend_raw WHERE defect IS NOT NULL"""))
+def q_spend_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = model.spend_raw(read_table(spark, sf_dir, "orders"))
+    _, rejected = quality.split(quality.flag(raw, quality.spend_rules()))
+    return rejected.select("date", "channel", "position", F.concat_ws(";", "reject_reasons").alias("reject_reasons"))
+
+
+@register("quality_summary", covers="D4 D5 D7 D8 A8", oracle=with_ctes(["spend_raw", "daily"], """
+SELECT 'bookings' AS source, 'missing_invitee_id' AS rule, COUNT(*) AS rows_checked,
+  COUNT(*) FILTER (WHERE invitee_id IS NULL OR invitee_id = '') AS violations FROM booking_facts
+UNION ALL SELECT 'bookings', 'created_after_ingestion', COUNT(*),
+  COUNT(*) FILTER (WHERE data_created_at > ingestion_time) FROM booking_facts
+UNION ALL SELECT 'bookings', 'missing_start_time', COUNT(*),
+  COUNT(*) FILTER (WHERE data_payload_scheduled_event_start_time IS NULL) FROM booking_facts
+UNION ALL SELECT 'spend', 'missing_date', COUNT(*), COUNT(*) FILTER (WHERE date IS NULL) FROM spend_raw
+UNION ALL SELECT 'spend', 'missing_channel', COUNT(*), COUNT(*) FILTER (WHERE channel IS NULL) FROM spend_raw
+UNION ALL SELECT 'spend', 'missing_spend', COUNT(*), COUNT(*) FILTER (WHERE defect = 'missing') FROM spend_raw
+UNION ALL SELECT 'spend', 'unreadable_spend', COUNT(*), COUNT(*) FILTER (WHERE defect = 'bad') FROM spend_raw
+UNION ALL SELECT 'spend', 'negative_spend', COUNT(*), COUNT(*) FILTER (WHERE defect = 'negative') FROM spend_raw
+UNION ALL SELECT 'gold_daily', 'negative_bookings', COUNT(*), COUNT(*) FILTER (WHERE bookings_count < 0) FROM daily
+UNION ALL SELECT 'gold_daily', 'missing_bookings', COUNT(*), COUNT(*) FILTER (WHERE bookings_count IS NULL) FROM daily"""))
+def q_quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = booking_facts(spark, sf_dir).withColumn("booking_ts", F.col(S.COL_START_TIME))
+    raw = model.spend_raw(read_table(spark, sf_dir, "orders"))
+    daily = gold.daily_bookings_by_channel(gold.enrich(booking_facts(spark, sf_dir)))
+    return (quality.violation_counts(facts, quality.booking_rules(), "bookings")
+            .unionByName(quality.violation_counts(raw, quality.spend_rules(), "spend"))
+            .unionByName(quality.violation_counts(daily, quality.count_rules(), "gold_daily")))
+
+
+_LATEST = """
+latest AS (
+  SELECT * FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY invitee_id ORDER BY ingestion_time DESC, event_id DESC) AS rn
+    FROM booking_facts) s
+  WHERE rn = 1
+)"""
+
+
+@register("dedup_bookings", covers="D6", oracle=with_ctes(["booking_facts"], """
+SELECT invitee_id, event_id, ingestion_time, data_event FROM latest""", [_LATEST]))
+def q_dedup_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = booking_facts(spark, sf_dir).select("invitee_id", "event_id", "ingestion_time", S.COL_EVENT)
+    return dedup.latest_per_key(rows, ["invitee_id"], ["ingestion_time", "event_id"])
+
+
+@register("duplicate_deliveries", covers="D6 A1", oracle=with_ctes(["booking_facts"], """
+SELECT invitee_id, COUNT(*) AS deliveries FROM booking_facts GROUP BY invitee_id HAVING COUNT(*) > 1"""))
+def q_duplicate_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.duplicates_report(booking_facts(spark, sf_dir), ["invitee_id"])
+
+
+# ---------------------------------------------------------------- contracts
+@register("bronze_contract", covers="D1", oracle=with_ctes(["booking_facts"], """
+SELECT data_created_at AS event_created_at, invitee_id, invitee_email,
+  data_payload_scheduled_event_start_time AS scheduled_event_start_time,
+  data_payload_scheduled_event_event_type AS event_type, utm_source, utm_campaign,
+  'https://api.example.com/scheduled_events/' || CAST(event_id AS VARCHAR) || '/invitees/' || invitee_id
+    AS raw_payload_uri
+FROM booking_facts"""))
+def q_bronze_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Bronze columns; the payload struct is carried whole (shown by its URI)."""
+    docs = model.booking_documents(read_table(spark, sf_dir, "events"))
+    bronze = contracts.bronze_contract(docs)
+    return bronze.select(*[c for c in bronze.columns if c != "raw_payload"],
+                         F.col("raw_payload.uri").alias("raw_payload_uri"))
+
+
+@register("silver_contract", covers="D2 D6 D9", oracle=with_ctes(["booking_facts"], f"""
+SELECT CAST(data_created_at AS DATE) AS event_date, invitee_id,
+  CAST(data_payload_scheduled_event_start_time AS DATE) AS booking_date,
+  CASE data_payload_scheduled_event_event_type
+    WHEN 'https://api.example.com/event_types/click' THEN 'facebook'
+    WHEN 'https://api.example.com/event_types/view' THEN 'youtube'
+    WHEN 'https://api.example.com/event_types/purchase' THEN 'tiktok' ELSE 'others' END AS channel,
+  employee_email, data_payload_scheduled_event_start_time AS event_start_time,
+  CAST(ingestion_time AS DATE) AS ingestion_date,
+  ({_BOOKING_REASONS}) = '' AS is_valid_record
+FROM latest""", [_LATEST]))
+def q_silver_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contracts.silver_contract(booking_facts(spark, sf_dir))
+
+
+_DAILY_SPEND = """
+ds AS (
+  SELECT CAST(date AS DATE) AS booking_date,
+    CASE WHEN channel IN ('facebook', 'youtube', 'tiktok') THEN channel ELSE 'others' END AS channel,
+    CAST(SUM(CAST(spend AS DECIMAL(18, 2))) AS DOUBLE) AS total_spend
+  FROM fact_marketing_aligned WHERE channel IS NOT NULL GROUP BY 1, 2
+)"""
+
+
+@register("gold_contract", covers="D3 D10 W1", oracle=with_ctes(["enriched", "fact_marketing_aligned"], """
+SELECT hd.booking_date, hd.channel, hd.booking_hour, CAST(week(hd.booking_date) AS INTEGER) AS booking_week,
+  CAST(hd.n AS INTEGER) AS total_bookings,
+  (CASE WHEN hd.day_bookings = 0 THEN NULL ELSE COALESCE(ds.total_spend, 0.0) / hd.day_bookings END)
+    * CAST(hd.n AS DOUBLE) AS total_spend,
+  CASE WHEN hd.day_bookings = 0 THEN NULL ELSE COALESCE(ds.total_spend, 0.0) / hd.day_bookings END
+    AS cost_per_booking
+FROM (SELECT *, SUM(n) OVER (PARTITION BY booking_date, channel) AS day_bookings FROM (
+        SELECT booking_date, date_trunc('hour', booking_ts) AS booking_hour, channel, COUNT(*) AS n
+        FROM enriched GROUP BY 1, 2, 3) h) hd
+LEFT JOIN ds ON ds.booking_date = hd.booking_date AND ds.channel = hd.channel""", [_DAILY_SPEND]))
+def q_gold_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.gold_contract(enriched_bookings(spark, sf_dir), fact_marketing(spark, sf_dir, aligned=True))
+
+
+# ---------------------------------------------------------------- metrics
+@register("daily_cpb", covers="D14 J2 P8", oracle=with_ctes(["daily", "fact_marketing_aligned"], """
+SELECT d.booking_date, d.channel, d.bookings_count, COALESCE(ds.total_spend, 0.0) AS total_spend,
+  CASE WHEN d.bookings_count = 0 THEN NULL ELSE COALESCE(ds.total_spend, 0.0) / d.bookings_count END
+    AS cost_per_booking
+FROM daily d LEFT JOIN ds ON ds.booking_date = d.booking_date AND ds.channel = d.channel""", [_DAILY_SPEND]))
+def q_daily_cpb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.daily_cpb(enriched_bookings(spark, sf_dir), fact_marketing(spark, sf_dir, aligned=True))
+
+
+@register("weekly_trend", covers="D15 D18", oracle=with_ctes(["enriched"], """
+SELECT CAST(date_trunc('week', booking_date) AS DATE) AS week_start, channel, COUNT(*) AS bookings_count,
+  CAST(week(CAST(date_trunc('week', booking_date) AS DATE)) AS INTEGER) AS booking_week
+FROM enriched GROUP BY 1, 2"""))
+def q_weekly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.weekly_trend(enriched_bookings(spark, sf_dir))
+
+
+@register("utm_attribution", covers="D16", oracle=with_ctes(["enriched"], """
+SELECT CASE WHEN utm_source IS NOT NULL
+            THEN CASE WHEN utm_source IN ('facebook', 'youtube', 'tiktok') THEN utm_source ELSE 'others' END
+            ELSE channel END AS channel,
+  COALESCE(utm_campaign, '(none)') AS campaign,
+  CASE WHEN utm_source IS NOT NULL THEN 'utm' ELSE 'event_type' END AS attributed_by,
+  COUNT(*) AS bookings_count
+FROM enriched GROUP BY 1, 2, 3"""))
+def q_utm_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.utm_attribution(enriched_bookings(spark, sf_dir))
+
+
+@register("weekly_avg_meetings", covers="D17 E1", oracle=with_ctes(["enriched"], """
+SELECT user_id, COUNT(*) AS weeks_active, CAST(SUM(meetings) AS BIGINT) AS total_meetings,
+  CAST(SUM(meetings) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS avg_weekly_meetings
+FROM (SELECT regexp_extract(data_payload_scheduled_event_event_memberships_user, 'users/([a-zA-Z0-9-]+)', 1)
+             AS user_id, CAST(date_trunc('week', booking_date) AS DATE) AS week_start, COUNT(*) AS meetings
+      FROM enriched GROUP BY 1, 2) w
+GROUP BY user_id"""))
+def q_weekly_avg_meetings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.weekly_avg_meetings(enriched_bookings(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- incremental
+_COUNTS_SCHEMA = T.StructType([
+    T.StructField("channel", T.StringType()),
+    T.StructField("bookings_count", T.LongType()),
+    T.StructField("booking_date", T.DateType()),
+])
+
+
+@register("reprocess_last_n", covers="D11 D12 D10 K4", oracle=with_ctes(["enriched"], """
+SELECT booking_date, channel, COUNT(*) AS bookings_count FROM enriched
+WHERE ingestion_time < TIMESTAMP '2024-01-20 00:00:00' AND booking_date < DATE '2024-01-24' GROUP BY 1, 2
+UNION ALL
+SELECT booking_date, channel, COUNT(*) AS bookings_count FROM enriched
+WHERE ingestion_time < TIMESTAMP '2024-02-03 00:00:00' AND booking_date >= DATE '2024-01-24' GROUP BY 1, 2"""))
+def q_reprocess_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily counts kept by booking day: a first run as of 2024-01-20 over everything
+    ingested by then, a second run as of 2024-02-03 that recomputes only the last
+    10 days and replaces just those partitions."""
+    enriched = enriched_bookings(spark, sf_dir)
+    root = scratch_path(spark, "gold-daily-counts")
+
+    def run(as_of: str, days: int | None) -> None:
+        seen = enriched.filter(F.col("ingestion_time") < F.lit(as_of).cast("timestamp_ntz"))
+        counts = seen.groupBy("booking_date", "channel").agg(F.count(F.lit(1)).alias("bookings_count"))
+        if days is not None:
+            counts = incremental.reprocess_window(counts, "booking_date", as_of, days)
+        incremental.overwrite_partitions(counts.select(*_COUNTS_SCHEMA.fieldNames()), root, ["booking_date"])
+
+    run("2024-01-20", None)
+    run("2024-02-03", 10)
+    return read_columnar(spark, root, schema=_COUNTS_SCHEMA).select("booking_date", "channel", "bookings_count")
+
+
+_SILVER_BOOKINGS = T.StructType([
+    T.StructField("invitee_id", T.StringType()),
+    T.StructField("event_id", T.LongType()),
+    T.StructField("ingestion_time", T.TimestampNTZType()),
+    T.StructField("data_event", T.StringType()),
+    T.StructField("booking_date", T.DateType()),
+    T.StructField("ingestion_date", T.DateType()),
+])
+
+
+def silver_booking_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return booking_facts(spark, sf_dir).select(
+        "invitee_id", "event_id", "ingestion_time", S.COL_EVENT,
+        F.to_date(S.COL_START_TIME).alias("booking_date"),
+        F.to_date("ingestion_time").alias("ingestion_date"))
+
+
+@register("upsert_bookings", covers="D13 D6 K4", oracle=with_ctes(["booking_facts"], """
+SELECT invitee_id, event_id, ingestion_time, data_event,
+  CAST(data_payload_scheduled_event_start_time AS DATE) AS booking_date,
+  CAST(ingestion_time AS DATE) AS ingestion_date
+FROM latest""", [_LATEST]))
+def q_upsert_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver bookings by arrival day: a first load of what arrived before
+    2024-01-20, then a MERGE of everything later (re-deliveries move a key to a
+    later arrival partition)."""
+    rows = silver_booking_rows(spark, sf_dir)
+    root = scratch_path(spark, "silver-bookings")
+    cutoff = F.lit("2024-01-20").cast("timestamp_ntz")
+    order = ["ingestion_time", "event_id"]
+    incremental.upsert(spark, rows.filter(F.col("ingestion_time") < cutoff), root, ["invitee_id"],
+                       "ingestion_date", order, _SILVER_BOOKINGS)
+    incremental.upsert(spark, rows.filter(F.col("ingestion_time") >= cutoff), root, ["invitee_id"],
+                       "ingestion_date", order, _SILVER_BOOKINGS)
+    return read_columnar(spark, root, schema=_SILVER_BOOKINGS)
