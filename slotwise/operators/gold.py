@@ -49,15 +49,28 @@ def enrich(fact_events: DataFrame,
             .withColumn("booking_date", F.to_date("booking_ts")))
 
 
+def _count_where(cond, weight: str | None):
+    """Rows meeting ``cond``, or the sum of their ``weight`` (pre-aggregated input)."""
+    if weight is None:
+        return F.count_if(cond)
+    return F.coalesce(F.sum(F.when(cond, F.col(weight))), F.lit(0)).cast("bigint")
+
+
+def _count(weight: str | None):
+    return F.count(F.lit(1)) if weight is None else F.sum(weight).cast("bigint")
+
+
 def daily_bookings_by_channel(enriched: DataFrame,
-                              channels: Sequence[str] = S.CHANNELS) -> DataFrame:
+                              channels: Sequence[str] = S.CHANNELS,
+                              weight: str | None = None) -> DataFrame:
     """G1: one row per (day seen in bookings, channel), zero-filled, with ISO week.
 
     Days come from the bookings themselves (not a calendar). A NULL day forms a row
     per channel with count 0, as a NULL key finds no partner in a grid join.
+    ``weight`` names a count column when the input is already aggregated.
     """
     per_day = enriched.groupBy("booking_date").agg(
-        *[F.count_if(F.col("channel") == c).alias(f"_n{i}") for i, c in enumerate(channels)])
+        *[_count_where(F.col("channel") == c, weight).alias(f"_n{i}") for i, c in enumerate(channels)])
     cells = F.array(*[F.struct(F.lit(c).alias("channel"), F.col(f"_n{i}").alias("n"))
                       for i, c in enumerate(channels)])
     grid = per_day.select("booking_date", F.inline(cells))
@@ -87,7 +100,7 @@ def spend_by_bucket(fact_marketing: DataFrame,
 
 def cpb_by_channel(enriched: DataFrame, fact_marketing: DataFrame,
                    channels: Sequence[str] = S.CHANNELS,
-                   zero_bookings: str = "zero") -> DataFrame:
+                   zero_bookings: str = "zero", weight: str | None = None) -> DataFrame:
     """Bookings, spend and cost per booking per channel.
 
     ``zero_bookings="zero"`` gives cpb 0 to a channel without bookings (so it ranks
@@ -96,7 +109,7 @@ def cpb_by_channel(enriched: DataFrame, fact_marketing: DataFrame,
     spark = enriched.sparkSession
     dim = channel_dim(spark, channels)
     # Both aggregates have at most one row per channel bucket: safe to broadcast.
-    bookings = enriched.groupBy("channel").agg(F.count(F.lit(1)).alias("total_bookings_count"))
+    bookings = enriched.groupBy("channel").agg(_count(weight).alias("total_bookings_count"))
     spend = spend_by_bucket(fact_marketing, [c for c in channels if c != "others"])
     joined = (dim
               .join(F.broadcast(bookings), "channel", "left")
@@ -122,15 +135,19 @@ def channel_attribution(cpb: DataFrame) -> DataFrame:
 
 
 def booking_time_analysis(enriched: DataFrame,
-                          channels: Sequence[str] = S.CHANNELS) -> DataFrame:
+                          channels: Sequence[str] = S.CHANNELS,
+                          weight: str | None = None) -> DataFrame:
     """Bookings per (channel, hour, weekday); a channel with no booking at all
     keeps one row with NULL hour and weekday and count 0 (right join to the
-    dimension in the reference; here the dimension is the preserved left side)."""
+    dimension in the reference; here the dimension is the preserved left side).
+    A pre-aggregated input (``weight``) already carries hour and weekday columns."""
+    if weight is None:
+        hour, dow = F.hour("booking_ts"), F.dayofweek("booking_ts")
+    else:
+        hour, dow = F.col("booking_hour"), F.col("booking_day_of_week")
     counts = (enriched
-              .groupBy(F.hour("booking_ts").alias("booking_hour"),
-                       F.dayofweek("booking_ts").alias("booking_day_of_week"),
-                       "channel")
-              .agg(F.count(F.lit(1)).alias("bookings_count")))
+              .groupBy(hour.alias("booking_hour"), dow.alias("booking_day_of_week"), "channel")
+              .agg(_count(weight).alias("bookings_count")))
     # At most 25 hours x 8 weekdays x channels rows (NULLs included): a bounded broadcast.
     dim = channel_dim(enriched.sparkSession, channels)
     return (dim.join(F.broadcast(counts), "channel", "left")
@@ -146,13 +163,10 @@ def meeting_load_per_employee(enriched: DataFrame,
             .agg(F.count(F.lit(1)).alias("total_meetings_count")))
 
 
-def gold_tables(enriched: DataFrame, fact_marketing: DataFrame,
-                channels: Sequence[str] = S.CHANNELS) -> dict[str, DataFrame]:
-    cpb = cpb_by_channel(enriched, fact_marketing, channels)
-    return {
-        "gold_daily_bookings_by_channel": daily_bookings_by_channel(enriched, channels),
-        "gold_cpb_by_channel": cpb,
-        "gold_channel_attribution": channel_attribution(cpb),
-        "gold_booking_time_analysis": booking_time_analysis(enriched, channels),
-        "gold_meeting_load_per_employee": meeting_load_per_employee(enriched),
-    }
+def booking_cube(enriched: DataFrame) -> DataFrame:
+    """Bookings per (day, hour, weekday, channel): at most days x 24 x channels rows,
+    whatever the number of events. G1, G2 and G4 all derive from it."""
+    return (enriched
+            .groupBy("booking_date", F.hour("booking_ts").alias("booking_hour"),
+                     F.dayofweek("booking_ts").alias("booking_day_of_week"), "channel")
+            .agg(F.count(F.lit(1)).alias("bookings")))

@@ -73,11 +73,15 @@ def write_tables(tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet
 
 
 def register_tables(spark: SparkSession, database: str, root: str, names: Sequence[str],
-                    fmt: str = "parquet", db_location: str | None = None) -> None:
-    """K7: database and external tables over written folders."""
-    location = f" LOCATION '{db_location}'" if db_location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{location}")
+                    fmt: str = "parquet", db_location: str | None = None, replace: bool = False) -> None:
+    """K7: database and external tables over written folders. The database folder
+    defaults to the tables' root (never the process's working directory).
+    ``replace`` re-points existing table names at ``root`` (external tables: the
+    old files are left alone)."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{db_location or root}'")
     for name in names:
+        if replace:
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} USING {fmt} LOCATION '{root}/{name}'")
 
 
