@@ -1 +1,55 @@
-"""Registered queries (filled in below)."""
+"""Streaming queries: each runs a Structured Streaming query over the driver's
+``events`` files until it has processed them (``availableNow``), then returns the
+table the stream maintains."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from slotwise import schemas as S
+from slotwise.plans.batch_queries import _LATEST, _SILVER_BOOKINGS
+from slotwise.plans.catalog import register
+from slotwise.plans.oracle_sql import with_ctes
+from slotwise.session import scratch_path
+from slotwise.sources import model
+from slotwise.sources.tables import read_columnar, read_table, table_glob
+from slotwise.streaming import bookings as stream
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = read_table(spark, sf_dir, "events").schema  # footer only
+    return stream.events_stream(spark, table_glob(sf_dir, "events"), schema, max_files_per_trigger=1)
+
+
+@register("stream_daily_bookings", covers="T1 T2 T4 T5 D13", oracle=with_ctes(["enriched"], """
+SELECT booking_date, channel, COUNT(*) AS bookings_count FROM enriched GROUP BY 1, 2"""))
+def q_stream_daily_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table, ckpt = scratch_path(spark, "stream-daily"), scratch_path(spark, "ckpt-daily")
+    stream.daily_counts_to_table(stream.booking_stream(_events(spark, sf_dir)), table, ckpt)
+    return read_columnar(spark, table, schema=stream.DAILY_COUNTS).select("booking_date", "channel", "bookings_count")
+
+
+@register("stream_dedup", covers="T1 T2 T3", oracle=with_ctes(["enriched"], """
+SELECT DISTINCT invitee_id, channel, booking_date, data_payload_scheduled_event_event_memberships_user
+FROM enriched"""))
+def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, ckpt = scratch_path(spark, "stream-dedup"), scratch_path(spark, "ckpt-dedup")
+    stream.dedup_stream(stream.booking_stream(_events(spark, sf_dir)), out, ckpt)
+    return spark.read.parquet(out)
+
+
+@register("stream_upsert", covers="T1 T5 D13 D6", oracle=with_ctes(["booking_facts"], """
+SELECT invitee_id, event_id, ingestion_time, data_event,
+  CAST(data_payload_scheduled_event_start_time AS DATE) AS booking_date,
+  CAST(ingestion_time AS DATE) AS ingestion_date
+FROM latest""", [_LATEST]))
+def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = model.booking_facts(_events(spark, sf_dir))
+    rows = facts.select("invitee_id", "event_id", "ingestion_time", S.COL_EVENT,
+                        F.to_date(S.COL_START_TIME).alias("booking_date"),
+                        F.to_date("ingestion_time").alias("ingestion_date"))
+    table, ckpt = scratch_path(spark, "stream-silver"), scratch_path(spark, "ckpt-silver")
+    stream.upsert_stream(rows, table, ckpt, ["invitee_id"], "ingestion_date",
+                         ["ingestion_time", "event_id"], _SILVER_BOOKINGS)
+    return read_columnar(spark, table, schema=_SILVER_BOOKINGS)
