@@ -42,7 +42,7 @@ def q_daily_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.daily_bookings_by_channel(enriched_bookings(spark, sf_dir))
 
 
-@register("cpb_by_channel", covers="A2 A3 A4 A5 J3 N1 N2 P8 S11 G2",
+@register("cpb_by_channel", covers="A2 A3 A4 A5 J3 N1 N2 P8 S11 E9 E10 E15 P4 G2",
           oracle=with_ctes(["cpb"], "SELECT channel, total_bookings_count, total_spend, cpb FROM cpb"))
 def q_cpb_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.cpb_by_channel(enriched_bookings(spark, sf_dir), fact_marketing(spark, sf_dir))
@@ -88,7 +88,7 @@ def q_spend_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spend.missing_companies(model.spend_records(read_table(spark, sf_dir, "orders")))
 
 
-@register("spend_others_union", covers="U1 S12 A3 A4 N2", oracle=with_ctes(["fact_marketing"], """
+@register("spend_others_union", covers="U1 S12 A3 A4 N2 F2 E9 E15", oracle=with_ctes(["fact_marketing"], """
 SELECT channel, CAST(SUM(CAST(spend AS DECIMAL(18, 2))) AS DOUBLE) AS total_spend
 FROM fact_marketing GROUP BY channel
 UNION ALL BY NAME

@@ -17,7 +17,7 @@ from slotwise.plans.oracle_sql import with_ctes
 from slotwise.session import scratch_path
 from slotwise.sinks import writers
 from slotwise.sources import json_io, model
-from slotwise.sources.tables import read_columnar, read_table
+from slotwise.sources.tables import read_table
 
 # ----------------------------------------------------------------- oracle pieces
 _SPEND_RECORDS_ALIGNED = """
@@ -135,7 +135,7 @@ def q_meeting_load_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.count_distinct("data_payload_uri").alias("distinct_bookings")))
 
 
-@register("spend_json_roundtrip", covers="K1 S6 E13 F4 G6", oracle=with_ctes([], """
+@register("spend_json_roundtrip", covers="K1 K8 F3 S6 E13 F4 G6", oracle=with_ctes([], """
 SELECT date, date AS spend_date, replace(channel, '_paid_ads', '') AS channel, spend FROM first_aligned""",
                                                                     [_SPEND_RECORDS_ALIGNED, _FIRST_ALIGNED]))
 def q_spend_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,7 +158,7 @@ def q_spend_json_lines_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("date", "spend_date", "channel", "spend")
 
 
-@register("manifest_load", covers="S1 S2 S3 S10 K3 F5 J5 E3 G6", oracle=with_ctes(["spend_aligned_raw"], """
+@register("manifest_load", covers="S1 S2 S3 S4 S10 K3 F5 J5 E3 G6", oracle=with_ctes(["spend_aligned_raw"], """
 SELECT date, date AS spend_date, replace(channel, '_paid_ads', '') AS channel, spend
 FROM first_raw_aligned WHERE spend IS NOT NULL""", [_FIRST_RAW_ALIGNED]))
 def q_manifest_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,7 +177,7 @@ def q_manifest_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spend.clean_spend(bronze)
 
 
-@register("partition_overwrite", covers="K4 K5 D10 S8 S9", oracle=with_ctes(["fact_marketing_aligned"], """
+@register("partition_overwrite", covers="K4 K5 D10 S8 S9 S10 U2", oracle=with_ctes(["fact_marketing_aligned"], """
 SELECT date, spend_date, channel, spend FROM fact_marketing_aligned WHERE date < '2024-01-21'
 UNION ALL
 SELECT date, spend_date, channel, spend FROM fact_marketing_aligned WHERE date >= '2024-01-21' AND spend >= 0"""))
@@ -189,4 +189,7 @@ def q_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     writers.write_partitioned(fact, root, ["date"])
     correction = fact.filter((F.col("date") >= "2024-01-21") & (F.col("spend") >= 0))
     writers.write_partitioned(correction, root, ["date"])
-    return read_columnar(spark, root, schema=S.FACT_MARKETING).select("date", "spend_date", "channel", "spend")
+    # Read every data file of every day folder as one table (a glob over the
+    # partition folders; basePath keeps ``date`` as a column).
+    files = spark.read.schema(S.FACT_MARKETING).option("basePath", root).parquet(f"{root}/date=*/*.parquet")
+    return files.select("date", "spend_date", "channel", "spend")
