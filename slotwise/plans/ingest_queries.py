@@ -193,3 +193,57 @@ def q_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     # partition folders; basePath keeps ``date`` as a column).
     files = spark.read.schema(S.FACT_MARKETING).option("basePath", root).parquet(f"{root}/date=*/*.parquet")
     return files.select("date", "spend_date", "channel", "spend")
+
+
+_MEDALLION = """
+fe AS (
+  SELECT CASE data_payload_scheduled_event_event_type
+      WHEN 'https://api.example.com/event_types/click' THEN 'facebook'
+      WHEN 'https://api.example.com/event_types/view' THEN 'youtube'
+      WHEN 'https://api.example.com/event_types/purchase' THEN 'tiktok' ELSE 'others' END AS channel
+  FROM flat WHERE data_event = 'invitee.created'
+),
+fm AS (SELECT replace(channel, '_paid_ads', '') AS channel, spend FROM first_raw_aligned WHERE spend IS NOT NULL),
+mcpb AS (
+  SELECT d.channel, COALESCE(bk.n, 0) AS total_bookings_count, COALESCE(sp.s, 0.0) AS total_spend,
+    CASE WHEN COALESCE(bk.n, 0) = 0 THEN 0.0 ELSE COALESCE(sp.s, 0.0) / COALESCE(bk.n, 0) END AS cpb
+  FROM dim d
+  LEFT JOIN (SELECT channel, COUNT(*) AS n FROM fe GROUP BY channel) bk ON bk.channel = d.channel
+  LEFT JOIN (SELECT CASE WHEN channel IN ('facebook', 'youtube', 'tiktok') THEN channel ELSE 'others' END AS channel,
+                    CAST(SUM(CAST(spend AS DECIMAL(18, 2))) AS DOUBLE) AS s
+             FROM fm GROUP BY 1) sp ON sp.channel = d.channel
+)"""
+
+
+@register("medallion_leaderboard", covers="S1 S2 S5 S6 S7 S8 X1 K1 K4 K5 K6 K7 A8 G2 G3 G6 G7",
+          oracle=with_ctes(["dim", "spend_aligned_raw"], """
+SELECT *, CAST(DENSE_RANK() OVER (ORDER BY total_bookings_count DESC) AS INTEGER) AS rank_by_volume,
+  CAST(DENSE_RANK() OVER (ORDER BY cpb ASC NULLS LAST) AS INTEGER) AS rank_by_cpb
+FROM mcpb""", [_DOCS, _FLAT, _FIRST_RAW_ALIGNED, _MEDALLION]))
+def q_medallion_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole flow: Bronze webhook documents -> Silver ``fact_events`` (flattened,
+    by arrival day); raw spend day files + manifest -> Bronze day arrays -> Silver
+    ``fact_marketing`` (by day); both Silver tables -> the five Gold tables,
+    registered in a database; the leaderboard read back through the catalog.
+    Counts are over flattened rows, as the Gold layer counts them."""
+    from slotwise.plans.jobs import bronze_spend_job, gold_job, silver_events_job, silver_marketing_job
+    bronze_events = bronze_event_documents(spark, sf_dir)
+    silver_events = scratch_path(spark, "silver-fact-events")
+    silver_events_job(spark, bronze_events, silver_events, layout="lines")
+
+    raw = model.spend_raw(read_table(spark, sf_dir, "orders"), aligned=True) \
+        .withColumn("file_name", writers.spend_file_name("date"))
+    raw_root, index_root = scratch_path(spark, "spend-raw"), scratch_path(spark, "spend-index")
+    writers.write_json_lines(raw, raw_root, "file_name")
+    writers.write_manifest(raw.select("file_name", F.substring("date", 1, 7).alias("month")).distinct(),
+                           index_root, group_col="month")
+    bronze_spend = scratch_path(spark, "bronze-spend")
+    bronze_spend_job(spark, raw_root, index_root, bronze_spend)
+    silver_marketing = scratch_path(spark, "silver-fact-marketing")
+    silver_marketing_job(spark, bronze_spend, silver_marketing)
+
+    fact_events_table = spark.read.parquet(silver_events)
+    fact_marketing_table = spark.read.schema(S.FACT_MARKETING).parquet(silver_marketing)
+    gold_root = scratch_path(spark, "gold-medallion")
+    gold_job(spark, fact_events_table, fact_marketing_table, gold_root, database="slotwise_medallion")
+    return spark.table("slotwise_medallion.gold_channel_attribution")

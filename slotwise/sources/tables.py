@@ -11,10 +11,26 @@ DRIVER_TABLES = (
 ).split()
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """One driver table (``<sf_dir>/<name>.parquet``). Column pruning and filters
-    applied later reach the Parquet scan (ReadSchema / PushedFilters)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    applied later reach the Parquet scan (ReadSchema / PushedFilters).
+
+    ``spread``: a scan that yields fewer splits than the session has cores (a small
+    file of one row group is a single task) is spread round-robin over the cores, so
+    the per-row work after it runs in parallel. A large table already has more splits
+    than cores and is returned as scanned: no shuffle is added at scale.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small(df) if spread else df
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no SparkContext (Spark Connect): leave the scan as it is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def read_columnar(spark: SparkSession, path: str | list[str], fmt: str = "parquet",
