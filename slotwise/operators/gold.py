@@ -49,6 +49,17 @@ def enrich(fact_events: DataFrame,
             .withColumn("booking_date", F.to_date("booking_ts")))
 
 
+def at_booking_grain(fact_events: DataFrame, keys: Sequence[str] = ("data_payload_uri",)) -> DataFrame:
+    """One row per booking (``keys``) instead of one per flattened row: several arrays
+    in a document multiply its rows, which ``count(*)`` would count (the parity
+    mode). For the employee load use the invitee and the member as keys.
+
+    ``dropDuplicates`` is an aggregate with a partial step before its shuffle; the
+    columns it keeps must be functions of the keys (which row survives is arbitrary).
+    """
+    return fact_events.dropDuplicates(list(keys))
+
+
 def _count_where(cond, weight: str | None):
     """Rows meeting ``cond``, or the sum of their ``weight`` (pre-aggregated input)."""
     if weight is None:

@@ -247,3 +247,14 @@ def q_medallion_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold_root = scratch_path(spark, "gold-medallion")
     gold_job(spark, fact_events_table, fact_marketing_table, gold_root, database="slotwise_medallion")
     return spark.table("slotwise_medallion.gold_channel_attribution")
+
+
+@register("daily_bookings_booking_grain", covers="X4 G1 A1 D6",
+          oracle=with_ctes(["daily"], "SELECT booking_date, channel, bookings_count, booking_week FROM daily"))
+def q_daily_bookings_booking_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 over the flattened events at booking grain (one row per invitee URI): the
+    answers x members fan-out of the flatten does not inflate the counts."""
+    from slotwise.operators import gold
+    fact = gold.at_booking_grain(fact_events(spark, sf_dir).select(
+        "data_payload_uri", S.COL_EVENT, S.COL_EVENT_TYPE, S.COL_START_TIME))
+    return gold.daily_bookings_by_channel(gold.enrich(fact))

@@ -60,10 +60,8 @@ def test_flatten_multiplies_arrays_and_keeps_empty(spark):
 
 def test_flatten_column_order(spark):
     flat = flatten(spark.createDataFrame([], NESTED))
-    # Arrays keep their place; expanded struct fields move to the end.
-    assert flat.columns[:3] == ["id", "tags", "tail"]
-    assert flat.columns[3:] == ["doc_members_user", "doc_answers", "doc_meta_k"] or \
-        set(flat.columns[3:]) == {"doc_members_user", "doc_answers", "doc_meta_k"}
+    # Arrays keep their place; expanded struct fields move to the end, round by round.
+    assert flat.columns == ["id", "tags", "tail", "doc_answers", "doc_meta_k", "doc_members_user"]
 
 
 def test_flatten_name_collision_raises(spark):
@@ -281,7 +279,8 @@ def test_flagship_plan_shape(spark, sf_dir):
     plan = _plan(q_daily_bookings(spark, sf_dir))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in plan
-    assert plan.count("Exchange") == 1
+    # One shuffle on the day (a small single-split scan may add a round-robin spread).
+    assert plan.count("Exchange hashpartitioning") == 1
 
 
 def test_partition_pruning_on_reprocess(spark, sf_dir):
@@ -294,3 +293,26 @@ def test_partition_pruning_on_reprocess(spark, sf_dir):
     roots = sorted(glob.glob(shared_dir(spark).replace("file:", "") + "/gold-daily-counts-*"))
     df = read_columnar(spark, roots[-1], schema=_COUNTS_SCHEMA).filter(F.col("booking_date") >= "2024-01-24")
     assert "PartitionFilters: [isnotnull(booking_date" in _plan(df)
+
+
+def test_all_empty_arrays_keep_their_fields(spark, tmp_path):
+    """With an explicit schema a batch whose arrays are all empty still flattens to
+    the member column Gold reads (inference would type the array as strings)."""
+    folder = tmp_path / "event_date=2026-01-15"
+    folder.mkdir()
+    doc = {"ingestion_time": "2026-01-15T06:00:00.5", "source": "webhook",
+           "data": {"event": "invitee.created",
+                    "payload": {"questions_and_answers": [],
+                                "scheduled_event": {"event_memberships": [], "event_guests": []}}}}
+    (folder / "part-0.json").write_text(json.dumps(doc))
+    flat = flatten(json_io.read_event_documents(spark, str(tmp_path), layout="lines"))
+    assert S.COL_MEMBER_USER in flat.columns
+    assert flat.count() == 1 and flat.first()[S.COL_MEMBER_USER] is None
+
+
+def test_spend_bucket_total_equals_spend_total(spark, sf_dir):
+    from slotwise.plans.batch_queries import fact_marketing
+    fact = fact_marketing(spark, sf_dir)
+    total = fact.agg(F.sum(F.col("spend").cast("decimal(18,2)"))).first()[0]
+    buckets = gold.spend_by_bucket(fact).agg(F.sum(F.col("total_spend").cast("decimal(18,2)"))).first()[0]
+    assert total == buckets
