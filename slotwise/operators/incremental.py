@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -24,6 +25,10 @@ from slotwise.session import shared_dir
 from slotwise.sinks.writers import write_partitioned
 
 
+# Folder name Spark gives a NULL partition value.
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def window_start(as_of: str, days: int):
     """First day of the last ``days`` days ending the day before ``as_of``."""
     return F.date_sub(F.lit(as_of).cast("date"), days)
@@ -59,34 +64,56 @@ def _remove_partitions(spark: SparkSession, path: str, partition_col: str, value
 
 def upsert(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[str],
            partition_col: str, order_by: Sequence[str], schema: StructType,
-           fmt: str = "parquet") -> None:
+           fmt: str = "parquet", key_determines_partition: bool = False) -> None:
     """Merge ``updates`` into the partitioned table at ``path`` by ``keys``.
 
     ``order_by`` decides between an existing row and a new one (greatest wins, e.g.
     ingestion time then delivery id). ``schema`` is the table's schema (it fixes the
     partition column's type when read back).
+
+    Only touched partitions are read: their values (a set of days, not rows) are
+    collected and applied as a literal filter, which prunes partitions at the scan.
+    Finding where the incoming keys live now needs the key and partition columns of
+    the whole table; ``key_determines_partition=True`` states that a key's partition
+    is a function of the key (it can never move), which skips that search exactly.
     """
     keys = list(keys)
-    updates = updates.select(*schema.fieldNames())
+    # The incoming rows are read three times (partitions, key search, merge).
+    updates = updates.select(*schema.fieldNames()).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        _upsert(spark, updates, path, keys, partition_col, order_by, schema, fmt, key_determines_partition)
+    finally:
+        updates.unpersist()
+
+
+def _partition_filter(col: str, values: set):
+    named = sorted((v for v in values if v is not None), key=str)
+    cond = F.col(col).isin(named) if named else F.lit(False)
+    return cond | F.col(col).isNull() if None in values else cond
+
+
+def _upsert(spark: SparkSession, updates: DataFrame, path: str, keys: list[str], partition_col: str,
+            order_by: Sequence[str], schema: StructType, fmt: str, key_determines_partition: bool) -> None:
     if not _table_exists(spark, path):
         write_partitioned(latest_per_key(updates, keys, order_by), path, [partition_col], fmt=fmt)
         return
     table = spark.read.format(fmt).schema(schema).load(path)
-    new_keys = updates.select(*keys).distinct()
-    # Partitions where the incoming keys live now, plus those the new rows go to.
-    moved_from = table.join(new_keys, keys, "left_semi").select(partition_col)
-    touched = moved_from.union(updates.select(partition_col)).distinct()
-    current = table.join(touched, partition_col, "left_semi")
+    touched = {r[0] for r in updates.select(partition_col).distinct().collect()}
+    if not key_determines_partition:
+        # Partitions where the incoming keys live now (key and partition columns only).
+        live = table.select(*keys, partition_col).join(updates.select(*keys).distinct(), keys, "left_semi")
+        touched |= {r[0] for r in live.select(partition_col).distinct().collect()}
+    current = table.filter(_partition_filter(partition_col, touched))
     merged = latest_per_key(current.unionByName(updates), keys, order_by)
     # Checkpoint (to the shared folder): the result must not be recomputed from files
     # the write replaces, and its lineage is cut for recovery after a lost executor.
     shared_dir(spark)
     merged = merged.checkpoint(eager=True)
-    # Touched partitions that end up empty would keep their old files after a dynamic
-    # overwrite. Their values (partition values, a small set) are found before the
-    # write and removed after it.
-    emptied = [r[0] for r in touched.join(merged.select(partition_col).distinct(), partition_col, "left_anti")
-               .collect()]
+    # A touched partition that ends up empty would keep its old files after a dynamic
+    # overwrite: found before the write, removed after it.
+    kept = {r[0] for r in merged.select(partition_col).distinct().collect()}
     write_partitioned(merged, path, [partition_col], fmt=fmt)
+    emptied = touched - kept
     if emptied:
-        _remove_partitions(spark, path, partition_col, [str(v) for v in emptied])
+        _remove_partitions(spark, path, partition_col,
+                           [DEFAULT_PARTITION if v is None else str(v) for v in emptied])

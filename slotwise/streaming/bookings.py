@@ -73,7 +73,7 @@ def daily_counts_to_table(bookings: DataFrame, table_path: str, checkpoint: str,
                             "bookings_count", F.lit(batch_id).cast("bigint").alias("batch_id"))
         # The running count of a window in a later batch replaces the earlier one.
         incremental.upsert(batch.sparkSession, rows, table_path, ["booking_date", "channel"],
-                           "booking_date", ["batch_id"], DAILY_COUNTS)
+                           "booking_date", ["batch_id"], DAILY_COUNTS, key_determines_partition=True)
 
     _run(counts.writeStream.outputMode("update").foreachBatch(merge)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

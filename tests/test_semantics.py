@@ -316,3 +316,20 @@ def test_spend_bucket_total_equals_spend_total(spark, sf_dir):
     total = fact.agg(F.sum(F.col("spend").cast("decimal(18,2)"))).first()[0]
     buckets = gold.spend_by_bucket(fact).agg(F.sum(F.col("total_spend").cast("decimal(18,2)"))).first()[0]
     assert total == buckets
+
+
+def test_upsert_null_partition_and_fixed_key_partition(spark):
+    from slotwise.operators import incremental
+    from slotwise.session import scratch_path
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType()),
+                           T.StructField("p", T.StringType())])
+    path = scratch_path(spark, "upsert-null")
+    incremental.upsert(spark, spark.createDataFrame([("a", 1, None), ("b", 1, "d1")], schema),
+                       path, ["k"], "p", ["v"], schema)
+    incremental.upsert(spark, spark.createDataFrame([("c", 1, None)], schema), path, ["k"], "p", ["v"], schema)
+    got = sorted(tuple(r) for r in spark.read.schema(schema).parquet(path).collect())
+    assert got == [("a", 1, None), ("b", 1, "d1"), ("c", 1, None)]
+    incremental.upsert(spark, spark.createDataFrame([("b", 2, "d1")], schema), path, ["k"], "p", ["v"], schema,
+                       key_determines_partition=True)
+    got = sorted(tuple(r) for r in spark.read.schema(schema).parquet(path).collect())
+    assert got == [("a", 1, None), ("b", 2, "d1"), ("c", 1, None)]
