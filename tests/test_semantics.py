@@ -333,3 +333,18 @@ def test_upsert_null_partition_and_fixed_key_partition(spark):
                        key_determines_partition=True)
     got = sorted(tuple(r) for r in spark.read.schema(schema).parquet(path).collect())
     assert got == [("a", 1, None), ("b", 2, "d1"), ("c", 1, None)]
+
+
+def test_cli_pipeline(spark, sf_dir, tmp_path, capsys):
+    """The jobs from the command line: Bronze docs -> silver-events; spend -> gold."""
+    from slotwise import cli
+    from slotwise.plans.ingest_queries import bronze_event_documents
+    from slotwise.plans.batch_queries import fact_marketing
+    bronze = bronze_event_documents(spark, sf_dir)
+    silver = str(tmp_path / "silver")
+    assert cli.main(["silver-events", bronze, f"{silver}/fact_events", "--layout", "lines"]) == 0
+    fact_marketing(spark, sf_dir).write.partitionBy("date").parquet(f"{silver}/fact_marketing")
+    assert cli.main(["gold", silver, str(tmp_path / "gold")]) == 0
+    out = capsys.readouterr().out.strip().splitlines()
+    assert json.loads(out[0])["fact_events_rows"] > 0
+    assert json.loads(out[1])["gold_cpb_by_channel"] == 4
