@@ -227,21 +227,25 @@ def q_medallion_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     registered in a database; the leaderboard read back through the catalog.
     Counts are over flattened rows, as the Gold layer counts them."""
     from slotwise.plans.jobs import bronze_spend_job, gold_job, silver_events_job, silver_marketing_job
-    bronze_events = bronze_event_documents(spark, sf_dir)
     silver_events = scratch_path(spark, "silver-fact-events")
-    silver_events_job(spark, bronze_events, silver_events, layout="lines")
-
-    raw = model.spend_raw(read_table(spark, sf_dir, "orders"), aligned=True) \
-        .withColumn("file_name", writers.spend_file_name("date"))
-    raw_root, index_root = scratch_path(spark, "spend-raw"), scratch_path(spark, "spend-index")
-    writers.write_json_lines(raw, raw_root, "file_name")
-    writers.write_manifest(raw.select("file_name", F.substring("date", 1, 7).alias("month")).distinct(),
-                           index_root, group_col="month")
-    bronze_spend = scratch_path(spark, "bronze-spend")
-    bronze_spend_job(spark, raw_root, index_root, bronze_spend)
     silver_marketing = scratch_path(spark, "silver-fact-marketing")
-    silver_marketing_job(spark, bronze_spend, silver_marketing)
 
+    def events_chain() -> None:
+        silver_events_job(spark, bronze_event_documents(spark, sf_dir), silver_events, layout="lines")
+
+    def spend_chain() -> None:
+        raw = model.spend_raw(read_table(spark, sf_dir, "orders"), aligned=True) \
+            .withColumn("file_name", writers.spend_file_name("date"))
+        raw_root, index_root = scratch_path(spark, "spend-raw"), scratch_path(spark, "spend-index")
+        writers.write_json_lines(raw, raw_root, "file_name")
+        writers.write_manifest(raw.select("file_name", F.substring("date", 1, 7).alias("month")).distinct(),
+                               index_root, group_col="month")
+        bronze_spend = scratch_path(spark, "bronze-spend")
+        bronze_spend_job(spark, raw_root, index_root, bronze_spend)
+        silver_marketing_job(spark, bronze_spend, silver_marketing)
+
+    # The two Silver chains are independent: run them side by side.
+    writers.run_concurrently([events_chain, spend_chain])
     fact_events_table = spark.read.parquet(silver_events)
     fact_marketing_table = spark.read.schema(S.FACT_MARKETING).parquet(silver_marketing)
     gold_root = scratch_path(spark, "gold-medallion")

@@ -61,15 +61,31 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
      .write.format(fmt).mode(mode).partitionBy(*partition_cols).save(path))
 
 
-def write_tables(tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet") -> dict[str, int]:
+def write_tables(tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet",
+                 concurrent: bool = True) -> dict[str, int]:
     """K6: write named tables (full overwrite); returns each table's row count,
-    observed during its write rather than by a second job."""
-    counts = {}
-    for name, df in tables.items():
+    observed during its write rather than by a second job.
+
+    ``concurrent`` submits the writes from parallel driver threads: Spark runs the
+    jobs side by side, so small tables do not wait on each other's scheduling.
+    """
+    def write(name: str, df: DataFrame) -> int:
         obs = Observation(name)
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("overwrite").save(f"{root}/{name}")
-        counts[name] = int(obs.get["rows"])
-    return counts
+        return int(obs.get["rows"])
+
+    if not concurrent or len(tables) < 2:
+        return {name: write(name, df) for name, df in tables.items()}
+    return dict(zip(tables, run_concurrently([lambda n=n, d=d: write(n, d) for n, d in tables.items()])))
+
+
+def run_concurrently(actions: Sequence, max_workers: int = 8) -> list:
+    """Run independent Spark actions from parallel driver threads; results in order.
+    An error in any action is raised after all have finished."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(actions))) as pool:
+        futures = [pool.submit(a) for a in actions]
+        return [f.result() for f in futures]
 
 
 def register_tables(spark: SparkSession, database: str, root: str, names: Sequence[str],
