@@ -73,15 +73,25 @@ def _count(weight: str | None):
 
 def daily_bookings_by_channel(enriched: DataFrame,
                               channels: Sequence[str] = S.CHANNELS,
-                              weight: str | None = None) -> DataFrame:
+                              weight: str | None = None,
+                              calendar: bool = False) -> DataFrame:
     """G1: one row per (day seen in bookings, channel), zero-filled, with ISO week.
 
     Days come from the bookings themselves (not a calendar). A NULL day forms a row
     per channel with count 0, as a NULL key finds no partner in a grid join.
     ``weight`` names a count column when the input is already aggregated.
+    ``calendar=True`` uses every day from the first to the last booking day instead
+    (days without bookings get zeros; a NULL day is left out).
     """
     per_day = enriched.groupBy("booking_date").agg(
         *[_count_where(F.col("channel") == c, weight).alias(f"_n{i}") for i, c in enumerate(channels)])
+    if calendar:
+        # The calendar is generated from the per-day aggregate's bounds (one row), so
+        # its size is the number of days; the day counts join to it by day.
+        bounds = per_day.agg(F.min("booking_date").alias("lo"), F.max("booking_date").alias("hi"))
+        days = bounds.select(F.explode(F.sequence("lo", "hi")).alias("booking_date"))
+        per_day = days.join(per_day, "booking_date", "left").fillna(
+            0, subset=[f"_n{i}" for i in range(len(channels))])
     cells = F.array(*[F.struct(F.lit(c).alias("channel"), F.col(f"_n{i}").alias("n"))
                       for i, c in enumerate(channels)])
     grid = per_day.select("booking_date", F.inline(cells))

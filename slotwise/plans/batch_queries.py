@@ -42,6 +42,20 @@ def q_daily_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.daily_bookings_by_channel(enriched_bookings(spark, sf_dir))
 
 
+@register("daily_bookings_calendar", covers="A1 J2 N1 E7 G1", oracle=with_ctes(["enriched", "dim"], """
+SELECT d.booking_date, ch.channel, COALESCE(c.n, 0) AS bookings_count,
+  CAST(week(d.booking_date) AS INTEGER) AS booking_week
+FROM (SELECT CAST(gs AS DATE) AS booking_date
+      FROM (SELECT MIN(booking_date) AS lo, MAX(booking_date) AS hi FROM enriched) b,
+           generate_series(b.lo, b.hi, INTERVAL 1 DAY) AS t(gs)) d
+CROSS JOIN dim ch
+LEFT JOIN (SELECT booking_date, channel, COUNT(*) AS n FROM enriched GROUP BY 1, 2) c
+  ON c.booking_date = d.booking_date AND c.channel = ch.channel"""))
+def q_daily_bookings_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 over a full calendar (first to last booking day), zero-filled."""
+    return gold.daily_bookings_by_channel(enriched_bookings(spark, sf_dir), calendar=True)
+
+
 @register("cpb_by_channel", covers="A2 A3 A4 A5 J3 N1 N2 P8 S11 E9 E10 E15 P4 G2",
           oracle=with_ctes(["cpb"], "SELECT channel, total_bookings_count, total_spend, cpb FROM cpb"))
 def q_cpb_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -262,3 +262,16 @@ def q_daily_bookings_booking_grain(spark: SparkSession, sf_dir: str) -> DataFram
     fact = gold.at_booking_grain(fact_events(spark, sf_dir).select(
         "data_payload_uri", S.COL_EVENT, S.COL_EVENT_TYPE, S.COL_START_TIME))
     return gold.daily_bookings_by_channel(gold.enrich(fact))
+
+
+@register("stream_silver_events", covers="T1 S5 S7 X1 X2 X3 X4 K4 G7",
+          oracle=with_ctes([], f"SELECT {', '.join(FLAT_COLUMNS)} FROM flat", [_DOCS, _FLAT]))
+def q_stream_silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze webhook documents ingested as a stream, flattened per micro-batch into
+    the day-partitioned ``fact_events`` table, read back as a table."""
+    from slotwise.streaming import bookings as stream
+    bronze = bronze_event_documents(spark, sf_dir)
+    silver, ckpt = scratch_path(spark, "stream-fact-events"), scratch_path(spark, "ckpt-fact-events")
+    stream.silver_events_stream(stream.document_stream(spark, bronze), silver, ckpt)
+    table = spark.read.parquet(silver)  # the day folder is read back as a DATE: keep it text
+    return table.withColumn("event_date", F.col("event_date").cast("string")).select(*FLAT_COLUMNS)

@@ -45,6 +45,27 @@ def events_stream(spark: SparkSession, source: str, schema: T.StructType,
     return reader.parquet(source)
 
 
+def document_stream(spark: SparkSession, bronze_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """T1 for webhook documents: JSON lines under ``event_date=`` folders, explicit
+    schema, the folder's day taken from the file path (NULL when absent)."""
+    reader = spark.readStream.schema(S.BOOKING_EVENT_DOC).option("recursiveFileLookup", "true")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    docs = reader.json(bronze_path)
+    day = F.regexp_extract(F.col("_metadata.file_path"), S.EVENT_DATE_PATTERN, 1)
+    return docs.withColumn("event_date", F.nullif(day, F.lit("")))
+
+
+def silver_events_stream(docs: DataFrame, silver_path: str, checkpoint: str) -> None:
+    """Streaming Silver: flatten every micro-batch of documents and append it to
+    ``fact_events`` partitioned by ``event_date`` (the file sink commits each batch
+    exactly once through its log)."""
+    from slotwise.operators.flatten import flatten
+    _run(flatten(docs).writeStream.format("parquet").outputMode("append").partitionBy("event_date")
+         .option("checkpointLocation", checkpoint).option("path", silver_path)
+         .trigger(availableNow=True).start())
+
+
 def booking_stream(events: DataFrame) -> DataFrame:
     """Enriched bookings with ``event_time`` and ``arrival_time`` as TIMESTAMP (a
     watermark refuses TIMESTAMP_NTZ); the session zone is UTC."""
