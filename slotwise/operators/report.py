@@ -1,9 +1,10 @@
 """Report shaping (what a dashboard does to Gold tables, minus the drawing):
 pivots, category order, leaderboards, day names, column profiles, previews.
 
-Every function works on a Gold table or a fact table and stays a Spark plan; the
-unpartitioned windows used for row numbers run over Gold tables whose size is set by
-the dimension or the number of employees, never over raw events.
+Every function works on a Gold table or a fact table and stays a Spark plan.
+Unpartitioned windows (one task) are used only over tables whose size is fixed by
+the channel dimension; positions in longer sorted lists (employees, days) come from
+a range sort plus per-partition offsets (``with_global_positions``).
 """
 
 from __future__ import annotations
@@ -29,10 +30,35 @@ def daily_pivot(daily: DataFrame, channels: Sequence[str] = S.CHANNELS,
 
 
 def with_row_numbers(df: DataFrame, *order: F.Column, name: str = "row_no") -> DataFrame:
-    """A row number for a sorted report (its order survives an unordered compare)."""
+    """A row number for a sorted report whose size is fixed by a dimension (a few
+    rows): an unpartitioned window, i.e. one task."""
     return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
 
 
+def with_global_positions(df: DataFrame, *order: F.Column, name: str = "row_no") -> DataFrame:
+    """1-based position in ``order`` computed without gathering the rows in one task.
+
+    The rows are range-partitioned and sorted (``orderBy``) and that result is
+    checkpointed, so both passes below see the same partitions. Each row's place
+    inside its partition comes from ``monotonically_increasing_id`` (partition index
+    in the upper bits); a table of per-partition counts (one row per partition, a
+    bounded broadcast) gives each partition's offset. ``order`` must be total.
+    """
+    from slotwise.session import shared_dir
+    shared_dir(df.sparkSession)
+    ranged = (df.orderBy(*order)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+               .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))))
+    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
+    return (ranged.join(F.broadcast(offsets.select("_pid", "_offset")), "_pid")
+            .withColumn(name, (F.col("_offset") + local + 1).cast("int"))
+            .drop("_pid", "_mid", "_offset"))
+
+
 def in_category_order(df: DataFrame, col: str, order: Sequence[str]) -> DataFrame:
     """O2: rows sorted by the position of ``col`` in ``order``; others last."""
     pos = category_position(col, order)
@@ -45,8 +71,9 @@ def leaderboard(attribution: DataFrame) -> DataFrame:
 
 
 def meeting_load_sorted(load: DataFrame) -> DataFrame:
-    """Most meetings first (user id breaks ties)."""
-    return with_row_numbers(load, F.col("total_meetings_count").desc(), F.col("user_id").asc_nulls_last())
+    """Most meetings first (user id breaks ties). The employee list has no fixed
+    bound, so positions are computed without a single-task window."""
+    return with_global_positions(load, F.col("total_meetings_count").desc(), F.col("user_id").asc_nulls_last())
 
 
 def with_day_names(time_analysis: DataFrame, selected_days: Sequence[str] | None = None) -> DataFrame:

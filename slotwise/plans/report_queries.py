@@ -117,10 +117,9 @@ def q_preview_first_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT date, CAST(ROW_NUMBER() OVER (ORDER BY date) AS INTEGER) AS row_no
 FROM (SELECT DISTINCT date FROM fact_marketing) d"""))
 def q_spend_days_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sorted distinct spend days (the days a Bronze run writes); one row per day,
-    so the numbering window is bounded by the calendar."""
+    """Sorted distinct spend days (the days a Bronze run writes), numbered."""
     days = fact_marketing(spark, sf_dir).select("date").distinct()
-    return report.with_row_numbers(days, F.col("date"))
+    return report.with_global_positions(days, F.col("date"))
 
 
 @register("gold_from_cube", covers="G1 G2 G4 A1 A6", oracle=with_ctes(["daily"], """

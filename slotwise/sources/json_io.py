@@ -63,12 +63,13 @@ def load_listed_files(spark: SparkSession, data_path: str, manifest_path: str,
                       layout: str = "lines") -> DataFrame:
     """Every record of every file the manifest lists, in one distributed scan.
 
-    The manifest (one name per data file: its size is bounded by the number of files,
-    not of records) is semi-joined to the scan on the file's name, replacing a
-    driver-side loop over files.
+    The manifest (one name per data file) is semi-joined to the scan on the file's
+    name, replacing a driver-side loop over files. Its size grows with the number of
+    files, so the join strategy is left to adaptive execution (a broadcast when the
+    measured list is small, a shuffle otherwise).
     """
     records = read_spend_files(spark, data_path, layout, schema=S.SPEND_RECORD_RAW_POS)
     name = F.regexp_extract(F.col("file_path"), r"file_name=([^/]+)/[^/]*$", 1)
     records = records.withColumn("file_name", F.url_decode(name))
     listed = read_manifest(spark, manifest_path)
-    return records.join(F.broadcast(listed), "file_name", "left_semi")
+    return records.join(listed, "file_name", "left_semi")

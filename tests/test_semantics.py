@@ -348,3 +348,17 @@ def test_cli_pipeline(spark, sf_dir, tmp_path, capsys):
     out = capsys.readouterr().out.strip().splitlines()
     assert json.loads(out[0])["fact_events_rows"] > 0
     assert json.loads(out[1])["gold_cpb_by_channel"] == 4
+
+
+def test_global_positions_across_many_partitions(spark):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        n = 20000
+        df = spark.range(0, n).select(((F.col("id") * 7919) % n).alias("v")).repartition(13)
+        out = report.with_global_positions(df, F.col("v").desc())
+        rows = out.collect()
+        assert len(rows) == n and all(r.row_no == n - r.v for r in rows)
+    finally:
+        spark.conf.set(key, old)
