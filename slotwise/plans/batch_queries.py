@@ -175,6 +175,36 @@ def q_quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(quality.violation_counts(daily, quality.count_rules(), "gold_daily")))
 
 
+_SPEND_REASONS = """CASE defect WHEN 'bad' THEN 'unreadable_spend' WHEN 'missing' THEN 'missing_spend'
+              WHEN 'negative' THEN 'negative_spend' ELSE '' END"""
+
+
+@register("quality_flags", covers="D7 D9 P5 F4", oracle=with_ctes(["spend_raw"], f"""
+SELECT position, date, channel, {_SPEND_REASONS} AS reject_reasons, defect IS NULL AS is_valid_record
+FROM spend_raw"""))
+def q_quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every raw spend record with its validity flag and the rules it breaks."""
+    flagged = quality.flag(model.spend_raw(read_table(spark, sf_dir, "orders")), quality.spend_rules())
+    return flagged.select("position", "date", "channel",
+                          F.concat_ws(";", "reject_reasons").alias("reject_reasons"), "is_valid_record")
+
+
+@register("quarantine", covers="D9 D4 D5 D7 U1", oracle=with_ctes(["booking_facts", "spend_raw"], f"""
+SELECT 'bookings' AS source, CAST(event_id AS VARCHAR) AS record_id, {_BOOKING_REASONS} AS reject_reasons
+FROM booking_facts WHERE ({_BOOKING_REASONS}) <> ''
+UNION ALL
+SELECT 'spend', CAST(position AS VARCHAR), {_SPEND_REASONS} FROM spend_raw WHERE defect IS NOT NULL"""))
+def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rejected records of both inputs in one table, with the reasons."""
+    _, bad_bookings = quality.split(_flagged_bookings(spark, sf_dir))
+    raw = model.spend_raw(read_table(spark, sf_dir, "orders"))
+    _, bad_spend = quality.split(quality.flag(raw, quality.spend_rules()))
+    def shape(df: DataFrame, source: str, id_col: str) -> DataFrame:
+        return df.select(F.lit(source).alias("source"), F.col(id_col).cast("string").alias("record_id"),
+                         F.concat_ws(";", "reject_reasons").alias("reject_reasons"))
+    return shape(bad_bookings, "bookings", "event_id").unionByName(shape(bad_spend, "spend", "position"))
+
+
 _LATEST = """
 latest AS (
   SELECT * FROM (

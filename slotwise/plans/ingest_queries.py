@@ -275,3 +275,12 @@ def q_stream_silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream.silver_events_stream(stream.document_stream(spark, bronze), silver, ckpt)
     table = spark.read.parquet(silver)  # the day folder is read back as a DATE: keep it text
     return table.withColumn("event_date", F.col("event_date").cast("string")).select(*FLAT_COLUMNS)
+
+
+@register("flatten_two_arrays", covers="X3 X4 A1", oracle=with_ctes([], """
+SELECT data_payload_uri, COUNT(*) AS flattened_rows FROM flat GROUP BY data_payload_uri""", [_DOCS, _FLAT]))
+def q_flatten_two_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per booking after the flatten: members x max(1, answers) (two arrays in
+    one document multiply; an empty array keeps one row)."""
+    return (fact_events(spark, sf_dir).groupBy("data_payload_uri")
+            .agg(F.count(F.lit(1)).alias("flattened_rows")))
