@@ -1,6 +1,7 @@
 """Command line for the jobs (run under ``spark-submit`` or ``python -m slotwise.cli``).
 
     bronze-spend     RAW MANIFEST BRONZE              raw day files -> Bronze day arrays
+    ingest-spend     RAW MANIFEST OUT                 raw day files -> JSON lines by spend_date
     silver-events    BRONZE SILVER [--layout]         webhook documents -> fact_events
     silver-marketing BRONZE SILVER [--layout]         Bronze spend -> fact_marketing
     gold             SILVER GOLD [--database DB]      fact_events + fact_marketing -> Gold
@@ -33,6 +34,10 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("raw")
     b.add_argument("manifest")
     b.add_argument("bronze")
+    il = sub.add_parser("ingest-spend")
+    il.add_argument("raw")
+    il.add_argument("manifest")
+    il.add_argument("out")
     se = sub.add_parser("silver-events")
     se.add_argument("bronze")
     se.add_argument("silver")
@@ -58,6 +63,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "bronze-spend":
         missing = jobs.bronze_spend_job(spark, args.raw, args.manifest, args.bronze)
         report = {"days_missing_a_company": missing.count()}
+    elif args.cmd == "ingest-spend":
+        report = {"spend_rows": jobs.ingest_spend_lines_job(spark, args.raw, args.manifest, args.out)}
     elif args.cmd == "silver-events":
         report = {"fact_events_rows": jobs.silver_events_job(spark, args.bronze, args.silver, args.layout)}
     elif args.cmd == "silver-marketing":

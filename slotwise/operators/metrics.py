@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotwise import schemas as S
@@ -80,17 +80,26 @@ def gold_contract(enriched: DataFrame, fact_marketing: DataFrame) -> DataFrame:
     """D3: one row per (day, hour, channel): bookings in the hour, the day's cost per
     booking for the channel, and the share of the day's spend those bookings carry.
 
-    The day totals come from a window over (day, channel): at most 24 rows each.
+    One aggregation by (day, channel) counts each of the 24 hours (and a NULL hour)
+    and the day's total; ``inline`` turns the day row into hour rows. The hour domain
+    is fixed, so this needs one shuffle and no window over a second partitioning.
     """
-    hourly = (enriched
-              .groupBy("booking_date", F.date_trunc("hour", F.col("booking_ts")).cast("timestamp_ntz").alias("booking_hour"), "channel")
-              .agg(F.count(F.lit(1)).alias("n")))
-    day = Window.partitionBy("booking_date", "channel")
-    with_day = (hourly.withColumn("day_bookings", F.sum("n").over(day))
-                .join(daily_spend(fact_marketing), ["booking_date", "channel"], "left"))
+    hour = F.hour("booking_ts")
+    slots = [(h, hour == h) for h in range(24)] + [(None, hour.isNull())]
+    per_day = (enriched
+               .groupBy("booking_date", "channel")
+               .agg(F.count(F.lit(1)).alias("day_bookings"),
+                    *[F.count_if(cond).alias(f"_h{i}") for i, (_, cond) in enumerate(slots)]))
+    cells = F.array(*[F.struct(F.lit(h).cast("int").alias("h"), F.col(f"_h{i}").alias("n"))
+                      for i, (h, _) in enumerate(slots)])
+    hourly = (per_day.select("booking_date", "channel", "day_bookings", F.inline(cells))
+              .filter(F.col("n") > 0)
+              .join(daily_spend(fact_marketing), ["booking_date", "channel"], "left"))
+    start = F.col("booking_date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("h"))
     cpb = guarded_ratio(F.coalesce("total_spend", F.lit(0.0)), "day_bookings", None)
-    return with_day.select(
-        "booking_date", "channel", "booking_hour",
+    return hourly.select(
+        "booking_date", "channel",
+        F.when(F.col("h").isNotNull(), start).alias("booking_hour"),
         F.weekofyear("booking_date").alias("booking_week"),
         F.col("n").cast("int").alias("total_bookings"),
         (cpb * F.col("n").cast("double")).alias("total_spend"),

@@ -267,7 +267,7 @@ ds AS (
 )"""
 
 
-@register("gold_contract", covers="D3 D10 W1", oracle=with_ctes(["enriched", "fact_marketing_aligned"], """
+@register("gold_contract", covers="D3 D10", oracle=with_ctes(["enriched", "fact_marketing_aligned"], """
 SELECT hd.booking_date, hd.channel, hd.booking_hour, CAST(week(hd.booking_date) AS INTEGER) AS booking_week,
   CAST(hd.n AS INTEGER) AS total_bookings,
   (CASE WHEN hd.day_bookings = 0 THEN NULL ELSE COALESCE(ds.total_spend, 0.0) / hd.day_bookings END)

@@ -40,6 +40,19 @@ def bronze_spend_job(spark: SparkSession, raw_path: str, manifest_path: str, bro
     return spend.missing_companies(records.filter(F.col("date") == F.col("file_date")), companies)
 
 
+def ingest_spend_lines_job(spark: SparkSession, raw_path: str, manifest_path: str, out_path: str,
+                           companies: Sequence[str] = S.LISTED_COMPANIES) -> int:
+    """The older spend ingest: the same selection as ``bronze_spend_job``, written as
+    JSON lines partitioned by ``spend_date`` (one folder per day, files sized by the
+    rebalance instead of one single-task file). Returns the rows written."""
+    records = spend.with_file_date(json_io.load_listed_files(spark, raw_path, manifest_path))
+    rows = spend.listed_first(records, companies, day_col="file_date") \
+        .withColumn("spend_date", F.col("date"))
+    obs = Observation("spend_lines")
+    writers.write_json_lines(rows.observe(obs, F.count(F.lit(1)).alias("rows")), out_path, "spend_date")
+    return int(obs.get["rows"])
+
+
 def silver_events_job(spark: SparkSession, bronze_path: str, silver_path: str,
                       layout: str = "document") -> int:
     """Bronze webhook documents -> flattened ``fact_events`` by ``event_date``
