@@ -32,6 +32,17 @@ def split(flagged: DataFrame, valid_col: str = "is_valid_record") -> tuple[DataF
     return flagged.filter(F.col(valid_col)), flagged.filter(~F.col(valid_col))
 
 
+class EmptyInput(ValueError):
+    pass
+
+
+def require_rows(df: DataFrame, what: str) -> DataFrame:
+    """F8: fail early when an input has no row at all (reads up to one row)."""
+    if df.isEmpty():
+        raise EmptyInput(f"{what}: no rows")
+    return df
+
+
 def violation_counts(df: DataFrame, rules: Sequence[Rule], source: str) -> DataFrame:
     """One row per rule: rows checked and rows violating it (a single aggregate)."""
     agg = df.agg(F.count(F.lit(1)).alias("_rows"),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from slotwise import schemas as S
-from slotwise.operators import gold, spend
+from slotwise.operators import gold, quality, spend
 from slotwise.operators.flatten import flatten
 from slotwise.session import shared_dir
 from slotwise.sinks import writers
@@ -46,6 +46,7 @@ def ingest_spend_lines_job(spark: SparkSession, raw_path: str, manifest_path: st
     JSON lines partitioned by ``spend_date`` (one folder per day, files sized by the
     rebalance instead of one single-task file). Returns the rows written."""
     records = spend.with_file_date(json_io.load_listed_files(spark, raw_path, manifest_path))
+    quality.require_rows(records, "listed spend files")
     rows = spend.listed_first(records, companies, day_col="file_date") \
         .withColumn("spend_date", F.col("date"))
     obs = Observation("spend_lines")

@@ -46,13 +46,15 @@ def write_json_lines(records: DataFrame, path: str, partition_col: str | None =
 
 
 def write_manifest(file_names: DataFrame, path: str, group_col: str | None = None) -> None:
-    """K3: a manifest ``{"files": [...]}``. With ``group_col`` there is one manifest
-    line per group (e.g. per month), keeping each list bounded."""
-    key = F.col(group_col) if group_col else F.lit(0)
-    (file_names.groupBy(key.alias("_g"))
-     .agg(F.sort_array(F.collect_set("file_name")).alias("files"))
-     .select("files")
-     .write.mode("overwrite").json(path))
+    """K3: a manifest of ``{"files": [...]}`` lines. With ``group_col`` there is one
+    line per group (e.g. per month: as many names as files that month); without it,
+    one line per file, so no list grows with the number of files."""
+    if group_col:
+        lines = (file_names.groupBy(F.col(group_col).alias("_g"))
+                 .agg(F.sort_array(F.collect_set("file_name")).alias("files")))
+    else:
+        lines = file_names.select(F.array("file_name").alias("files")).distinct()
+    lines.select("files").write.mode("overwrite").json(path)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],

@@ -386,3 +386,15 @@ def test_spend_jobs_both_layouts(spark, sf_dir):
     ta = spark.read.schema(S.FACT_MARKETING).parquet(a)
     tb = spark.read.schema(S.FACT_MARKETING).parquet(b)
     assert ta.exceptAll(tb).count() == 0
+
+
+def test_manifest_one_name_per_line_and_empty_guard(spark):
+    from slotwise.operators.quality import EmptyInput, require_rows
+    from slotwise.session import scratch_path
+    from slotwise.sinks import writers
+    names = spark.createDataFrame([("a.json",), ("b.json",), ("a.json",)], "file_name string")
+    path = scratch_path(spark, "manifest-test")
+    writers.write_manifest(names, path)
+    assert sorted(r.file_name for r in json_io.read_manifest(spark, path).collect()) == ["a.json", "b.json"]
+    with pytest.raises(EmptyInput):
+        require_rows(names.filter(F.lit(False)), "nothing")
