@@ -56,10 +56,15 @@ def main(argv: list[str] | None = None) -> int:
     st.add_argument("table")
     st.add_argument("checkpoint")
     st.add_argument("--lateness", default="3 days")
+    ap.add_argument("--shuffle-gb", type=float, default=None,
+                    help="largest expected shuffle in GB: sizes shuffle partitions and splits")
     args = ap.parse_args(argv)
 
     from slotwise.plans import jobs
+    from slotwise.session import apply_sizing
     spark = _session(f"slotwise-{args.cmd}")
+    if args.shuffle_gb:
+        apply_sizing(spark, int(args.shuffle_gb * (1 << 30)))
     if args.cmd == "bronze-spend":
         missing = jobs.bronze_spend_job(spark, args.raw, args.manifest, args.bronze)
         report = {"days_missing_a_company": missing.count()}

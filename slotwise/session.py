@@ -34,6 +34,33 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def sizing_conf(shuffle_bytes: int, total_cores: int,
+                target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run, from the largest expected shuffle (bytes after
+    partial aggregation: for these jobs the keyed merge or dedup of the booking
+    table; every Gold aggregate shuffles far less) and the total executor cores.
+
+    Start with enough shuffle partitions for ~``target_partition_bytes`` each (at
+    least 3 per core) and let AQE coalesce small ones and split skewed ones; scan
+    splits of the same size; broadcast only what AQE measured below 64 MB.
+    """
+    partitions = max(3 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
+def apply_sizing(spark: SparkSession, shuffle_bytes: int, total_cores: int | None = None) -> SparkSession:
+    cores = total_cores or spark.sparkContext.defaultParallelism
+    for key, value in sizing_conf(shuffle_bytes, cores).items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "slotwise") -> SparkSession:
     """A local session for tests and the benchmark (never used on a cluster)."""

@@ -398,3 +398,11 @@ def test_manifest_one_name_per_line_and_empty_guard(spark):
     assert sorted(r.file_name for r in json_io.read_manifest(spark, path).collect()) == ["a.json", "b.json"]
     with pytest.raises(EmptyInput):
         require_rows(names.filter(F.lit(False)), "nothing")
+
+
+def test_sizing_conf():
+    from slotwise.session import sizing_conf
+    small = sizing_conf(1 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "24"
+    big = sizing_conf(10 << 40, 8000)          # 10 TB shuffle on 8000 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 40960
