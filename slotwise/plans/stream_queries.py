@@ -18,7 +18,7 @@ from slotwise.streaming import bookings as stream
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = read_table(spark, sf_dir, "events").schema  # footer only
+    schema = read_table(spark, sf_dir, "events", spread=False).schema  # footer only
     return stream.events_stream(spark, table_glob(sf_dir, "events"), schema, max_files_per_trigger=1)
 
 

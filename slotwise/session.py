@@ -61,6 +61,16 @@ def apply_sizing(spark: SparkSession, shuffle_bytes: int, total_cores: int | Non
     return spark
 
 
+def _local_memory() -> str:
+    """Half the machine's memory, at most 8 GB (local mode: the driver is everything)."""
+    try:
+        with open("/proc/meminfo") as fh:
+            kib = int(next(line for line in fh if line.startswith("MemTotal")).split()[1])
+        return f"{max(1, min(8, kib // (2 << 20)))}g"
+    except (OSError, StopIteration, ValueError):
+        return "4g"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "slotwise") -> SparkSession:
     """A local session for tests and the benchmark (never used on a cluster)."""
@@ -70,7 +80,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("SLOTWISE_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("SLOTWISE_DRIVER_MEMORY", _local_memory()))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
     )
