@@ -50,12 +50,12 @@ def main(argv: list[str] | None = None) -> int:
     g.add_argument("silver")
     g.add_argument("gold")
     g.add_argument("--database")
-    g.add_argument("--format", default="parquet")
     st = sub.add_parser("stream-daily")
     st.add_argument("source")
     st.add_argument("table")
     st.add_argument("checkpoint")
     st.add_argument("--lateness", default="3 days")
+    ap.add_argument("--format", default="parquet", help="table format of Silver and Gold (e.g. delta)")
     ap.add_argument("--shuffle-gb", type=float, default=None,
                     help="largest expected shuffle in GB: sizes shuffle partitions and splits")
     args = ap.parse_args(argv)
@@ -71,13 +71,13 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "ingest-spend":
         report = {"spend_rows": jobs.ingest_spend_lines_job(spark, args.raw, args.manifest, args.out)}
     elif args.cmd == "silver-events":
-        report = {"fact_events_rows": jobs.silver_events_job(spark, args.bronze, args.silver, args.layout)}
+        report = {"fact_events_rows": jobs.silver_events_job(spark, args.bronze, args.silver, args.layout, args.format)}
     elif args.cmd == "silver-marketing":
-        report = {"fact_marketing_rows": jobs.silver_marketing_job(spark, args.bronze, args.silver, args.layout)}
+        report = {"fact_marketing_rows": jobs.silver_marketing_job(spark, args.bronze, args.silver, args.layout, args.format)}
     elif args.cmd == "gold":
         events = spark.read.format(args.format).load(f"{args.silver}/fact_events")
         marketing = spark.read.format(args.format).schema(S.FACT_MARKETING).load(f"{args.silver}/fact_marketing")
-        report = jobs.gold_job(spark, events, marketing, args.gold, database=args.database)
+        report = jobs.gold_job(spark, events, marketing, args.gold, database=args.database, fmt=args.format)
     else:
         from slotwise.streaming import bookings as stream
         schema = spark.read.parquet(args.source).schema

@@ -55,26 +55,27 @@ def ingest_spend_lines_job(spark: SparkSession, raw_path: str, manifest_path: st
 
 
 def silver_events_job(spark: SparkSession, bronze_path: str, silver_path: str,
-                      layout: str = "document") -> int:
+                      layout: str = "document", fmt: str = "parquet") -> int:
     """Bronze webhook documents -> flattened ``fact_events`` by ``event_date``
     (dynamic partition overwrite). One pass: explicit schema, counted on write."""
     fact = flatten(json_io.read_event_documents(spark, bronze_path, layout=layout))
     obs = Observation("fact_events")
-    writers.write_partitioned(fact, silver_path, ["event_date"], observation=obs)
+    writers.write_partitioned(fact, silver_path, ["event_date"], fmt=fmt, observation=obs)
     return int(obs.get["rows"])
 
 
 def silver_marketing_job(spark: SparkSession, bronze_path: str, silver_path: str,
-                         layout: str = "array") -> int:
+                         layout: str = "array", fmt: str = "parquet") -> int:
     """Bronze spend arrays -> ``fact_marketing`` by ``date``."""
     fact = spend.clean_spend(json_io.read_spend_files(spark, bronze_path, layout=layout))
     obs = Observation("fact_marketing")
-    writers.write_partitioned(fact, silver_path, ["date"], observation=obs)
+    writers.write_partitioned(fact, silver_path, ["date"], fmt=fmt, observation=obs)
     return int(obs.get["rows"])
 
 
 def gold_job(spark: SparkSession, fact_events: DataFrame, fact_marketing: DataFrame, gold_root: str,
-             database: str | None = None, channels: Sequence[str] = S.CHANNELS) -> dict[str, int]:
+             database: str | None = None, channels: Sequence[str] = S.CHANNELS,
+             fmt: str = "parquet") -> dict[str, int]:
     """The five Gold tables, written in full and (optionally) registered in a database.
 
     The events are scanned twice, both column-pruned: once into the hour cube
@@ -93,7 +94,7 @@ def gold_job(spark: SparkSession, fact_events: DataFrame, fact_marketing: DataFr
         "gold_booking_time_analysis": gold.booking_time_analysis(cube, channels, weight="bookings"),
         "gold_meeting_load_per_employee": gold.meeting_load_per_employee(enriched),
     }
-    counts = writers.write_tables(tables, gold_root)
+    counts = writers.write_tables(tables, gold_root, fmt=fmt)
     if database:
-        writers.register_tables(spark, database, gold_root, list(tables), replace=True)
+        writers.register_tables(spark, database, gold_root, list(tables), fmt=fmt, replace=True)
     return counts
