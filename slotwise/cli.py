@@ -50,6 +50,7 @@ def main(argv: list[str] | None = None) -> int:
     g.add_argument("silver")
     g.add_argument("gold")
     g.add_argument("--database")
+    g.add_argument("--grain", default="row", choices=["row", "booking"])
     st = sub.add_parser("stream-daily")
     st.add_argument("source")
     st.add_argument("table")
@@ -77,7 +78,8 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "gold":
         events = spark.read.format(args.format).load(f"{args.silver}/fact_events")
         marketing = spark.read.format(args.format).schema(S.FACT_MARKETING).load(f"{args.silver}/fact_marketing")
-        report = jobs.gold_job(spark, events, marketing, args.gold, database=args.database, fmt=args.format)
+        report = jobs.gold_job(spark, events, marketing, args.gold, database=args.database, fmt=args.format,
+                               grain=args.grain)
     else:
         from slotwise.streaming import bookings as stream
         schema = spark.read.parquet(args.source).schema

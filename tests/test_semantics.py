@@ -406,3 +406,25 @@ def test_sizing_conf():
     assert small["spark.sql.shuffle.partitions"] == "24"
     big = sizing_conf(10 << 40, 8000)          # 10 TB shuffle on 8000 cores
     assert int(big["spark.sql.shuffle.partitions"]) == 40960
+
+
+def test_gold_job_booking_grain_on_flattened_events(spark, sf_dir):
+    """Over flattened documents, booking grain gives the flat model's daily counts;
+    row grain counts the members x answers fan-out."""
+    from slotwise.plans import jobs
+    from slotwise.plans.batch_queries import enriched_bookings, fact_marketing
+    from slotwise.plans.ingest_queries import fact_events
+    from slotwise.session import scratch_path
+    flat, marketing = fact_events(spark, sf_dir), fact_marketing(spark, sf_dir)
+    expected = gold.daily_bookings_by_channel(enriched_bookings(spark, sf_dir))
+    booking_root, row_root = scratch_path(spark, "g-booking"), scratch_path(spark, "g-row")
+    jobs.gold_job(spark, flat, marketing, booking_root, grain="booking")
+    jobs.gold_job(spark, flat, marketing, row_root, grain="row")
+    by_booking = spark.read.parquet(f"{booking_root}/gold_daily_bookings_by_channel")
+    by_row = spark.read.parquet(f"{row_root}/gold_daily_bookings_by_channel")
+    assert by_booking.exceptAll(expected).count() == 0 and expected.exceptAll(by_booking).count() == 0
+    total = lambda df: df.agg(F.sum("bookings_count")).first()[0]
+    assert total(by_row) > total(by_booking)
+    load = spark.read.parquet(f"{booking_root}/gold_meeting_load_per_employee")
+    assert load.agg(F.sum("total_meetings_count")).first()[0] <= \
+        spark.read.parquet(f"{row_root}/gold_meeting_load_per_employee").agg(F.sum("total_meetings_count")).first()[0]
