@@ -24,13 +24,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
     return spread_small(df) if spread else df
 
 
-def spread_small(df: DataFrame) -> DataFrame:
+def spread_small(df: DataFrame, bytes_per_task: int = 256 << 10) -> DataFrame:
+    """Spread a scan with fewer splits than cores over up to one task per
+    ``bytes_per_task`` of input file (capped at the core count): a small lookup
+    table on a large cluster is not fanned out into thousands of tiny tasks."""
     try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
+        spark = df.sparkSession
+        cores = spark.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
+        if splits >= cores:
+            return df
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        size = 0
+        for f in df.inputFiles():
+            path = jvm.org.apache.hadoop.fs.Path(f)
+            size += path.getFileSystem(conf).getFileStatus(path).getLen()
     except Exception:  # no SparkContext (Spark Connect): leave the scan as it is
         return df
-    return df.repartition(cores) if splits < cores else df
+    tasks = min(cores, size // bytes_per_task)
+    return df.repartition(int(tasks)) if tasks > splits else df
 
 
 def read_columnar(spark: SparkSession, path: str | list[str], fmt: str = "parquet",
