@@ -428,3 +428,24 @@ def test_gold_job_booking_grain_on_flattened_events(spark, sf_dir):
     load = spark.read.parquet(f"{booking_root}/gold_meeting_load_per_employee")
     assert load.agg(F.sum("total_meetings_count")).first()[0] <= \
         spark.read.parquet(f"{row_root}/gold_meeting_load_per_employee").agg(F.sum("total_meetings_count")).first()[0]
+
+
+def test_cli_stream_daily_and_bronze_spend(spark, sf_dir, capsys):
+    from slotwise import cli
+    from slotwise.session import scratch_path
+    from slotwise.sinks import writers
+    from slotwise.sources import model
+    from slotwise.sources.tables import read_table
+    table, ckpt = scratch_path(spark, "cli-daily"), scratch_path(spark, "cli-ckpt")
+    assert cli.main(["stream-daily", f"{sf_dir}/events*.parquet", table, ckpt]) == 0
+    from slotwise.streaming.bookings import DAILY_COUNTS
+    from slotwise.plans.batch_queries import enriched_bookings
+    assert spark.read.schema(DAILY_COUNTS).parquet(table).agg(F.sum("bookings_count")).first()[0] == \
+        enriched_bookings(spark, sf_dir).count()
+    raw = model.spend_raw(read_table(spark, sf_dir, "orders"), aligned=True) \
+        .withColumn("file_name", writers.spend_file_name("date"))
+    raw_root, index = scratch_path(spark, "cli-raw"), scratch_path(spark, "cli-index")
+    writers.write_json_lines(raw, raw_root, "file_name")
+    writers.write_manifest(raw.select("file_name").distinct(), index)
+    assert cli.main(["bronze-spend", raw_root, index, scratch_path(spark, "cli-bronze")]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["days_missing_a_company"] >= 0
