@@ -32,6 +32,7 @@ def fact_marketing(spark: SparkSession, sf_dir: str, aligned: bool = False) -> D
 @register("bookings_enriched", covers="F1 P1 P7 E4 E8 G0", oracle=with_ctes(["enriched"], """
 SELECT event_id, invitee_id, channel, booking_date, booking_ts, meeting_name FROM enriched"""))
 def q_bookings_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Created bookings with channel, booking day and start time."""
     return enriched_bookings(spark, sf_dir).select(
         "event_id", "invitee_id", "channel", "booking_date", "booking_ts", "meeting_name")
 
@@ -39,6 +40,7 @@ def q_bookings_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("daily_bookings_by_channel", covers="A1 A9 J1 J2 N1 E7 G1",
           oracle=with_ctes(["daily"], "SELECT booking_date, channel, bookings_count, booking_week FROM daily"))
 def q_daily_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 (flagship): bookings per day seen and channel, zero-filled, with ISO week."""
     return gold.daily_bookings_by_channel(enriched_bookings(spark, sf_dir))
 
 
@@ -59,24 +61,28 @@ def q_daily_bookings_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("cpb_by_channel", covers="A2 A3 A4 A5 J3 N1 N2 P8 S11 E9 E10 E15 P4 G2",
           oracle=with_ctes(["cpb"], "SELECT channel, total_bookings_count, total_spend, cpb FROM cpb"))
 def q_cpb_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bookings, spend and cost per booking per channel (others = unlisted spend)."""
     return gold.cpb_by_channel(enriched_bookings(spark, sf_dir), fact_marketing(spark, sf_dir))
 
 
 @register("channel_attribution", covers="W1 W2 G3", oracle=with_ctes(["attribution"], """
 SELECT channel, total_bookings_count, total_spend, cpb, rank_by_volume, rank_by_cpb FROM attribution"""))
 def q_channel_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G2 with dense ranks by volume and by cost per booking."""
     return gold.channel_attribution(q_cpb_by_channel(spark, sf_dir))
 
 
 @register("booking_time_analysis", covers="E5 E6 A6 J4 N1 G4", oracle=with_ctes(["time_analysis"], """
 SELECT channel, booking_hour, booking_day_of_week, bookings_count FROM time_analysis"""))
 def q_booking_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bookings per channel, hour and weekday; channels without bookings kept."""
     return gold.booking_time_analysis(enriched_bookings(spark, sf_dir))
 
 
 @register("meeting_load_per_employee", covers="E1 A7 G5",
           oracle=with_ctes(["meeting_load"], "SELECT user_id, total_meetings_count FROM meeting_load"))
 def q_meeting_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per employee id taken from the member URI."""
     return gold.meeting_load_per_employee(enriched_bookings(spark, sf_dir))
 
 
@@ -84,12 +90,14 @@ def q_meeting_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("spend_clean", covers="E2 E11 P2 P5 P6 F4 G6",
           oracle=with_ctes(["fact_marketing"], "SELECT date, spend_date, channel, spend FROM fact_marketing"))
 def q_spend_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fact_marketing from raw spend (suffix stripped, spend typed, NULL rows dropped)."""
     return fact_marketing(spark, sf_dir)
 
 
 @register("spend_listed_first", covers="F5 J5 A9",
           oracle=with_ctes(["listed_first"], "SELECT date, channel, spend FROM listed_first"))
 def q_spend_listed_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """first record per day and listed company, by position in the day file."""
     return spend.listed_first(model.spend_records(read_table(spark, sf_dir, "orders")))
 
 
@@ -99,6 +107,7 @@ FROM (SELECT DISTINCT date FROM spend_records) d
 CROSS JOIN (VALUES ('youtube_paid_ads'), ('facebook_paid_ads'), ('tiktok_paid_ads')) c(channel)
 WHERE NOT EXISTS (SELECT 1 FROM spend_records s WHERE s.date = d.date AND s.channel = c.channel)"""))
 def q_spend_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days on which a listed company has no spend record."""
     return spend.missing_companies(model.spend_records(read_table(spark, sf_dir, "orders")))
 
 
@@ -109,6 +118,7 @@ UNION ALL BY NAME
 SELECT 'others' AS channel, COALESCE(CAST(SUM(CAST(spend AS DECIMAL(18, 2))) AS DOUBLE), 0.0) AS total_spend
 FROM fact_marketing WHERE channel NOT IN ('facebook', 'youtube', 'tiktok')"""))
 def q_spend_others_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-channel spend with the others total appended by name."""
     return spend.spend_with_others(fact_marketing(spark, sf_dir))
 
 
@@ -129,6 +139,7 @@ SELECT event_id, invitee_id, {_BOOKING_REASONS} AS reject_reasons,
   ({_BOOKING_REASONS}) = '' AS is_valid_record
 FROM booking_facts"""))
 def q_booking_quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every booking delivery with its validity flag and broken rules."""
     return _flagged_bookings(spark, sf_dir).select(
         "event_id", "invitee_id", F.concat_ws(";", "reject_reasons").alias("reject_reasons"), "is_valid_record")
 
@@ -137,6 +148,7 @@ def q_booking_quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id, invitee_id, {_BOOKING_REASONS} AS reject_reasons FROM booking_facts
 WHERE ({_BOOKING_REASONS}) <> ''"""))
 def q_bookings_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected booking deliveries with their reasons."""
     _, rejected = quality.split(_flagged_bookings(spark, sf_dir))
     return rejected.select("event_id", "invitee_id", F.concat_ws(";", "reject_reasons").alias("reject_reasons"))
 
@@ -147,6 +159,7 @@ SELECT date, channel, position,
               WHEN 'negative' THEN 'negative_spend' END AS reject_reasons
 FROM spend_raw WHERE defect IS NOT NULL"""))
 def q_spend_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected raw spend records with their reasons."""
     raw = model.spend_raw(read_table(spark, sf_dir, "orders"))
     _, rejected = quality.split(quality.flag(raw, quality.spend_rules()))
     return rejected.select("date", "channel", "position", F.concat_ws(";", "reject_reasons").alias("reject_reasons"))
@@ -167,6 +180,7 @@ UNION ALL SELECT 'spend', 'negative_spend', COUNT(*), COUNT(*) FILTER (WHERE def
 UNION ALL SELECT 'gold_daily', 'negative_bookings', COUNT(*), COUNT(*) FILTER (WHERE bookings_count < 0) FROM daily
 UNION ALL SELECT 'gold_daily', 'missing_bookings', COUNT(*), COUNT(*) FILTER (WHERE bookings_count IS NULL) FROM daily"""))
 def q_quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows checked and violations per rule for bookings, spend and the daily Gold table."""
     facts = booking_facts(spark, sf_dir).withColumn("booking_ts", F.col(S.COL_START_TIME))
     raw = model.spend_raw(read_table(spark, sf_dir, "orders"))
     daily = gold.daily_bookings_by_channel(gold.enrich(booking_facts(spark, sf_dir)))
@@ -217,6 +231,7 @@ latest AS (
 @register("dedup_bookings", covers="D6", oracle=with_ctes(["booking_facts"], """
 SELECT invitee_id, event_id, ingestion_time, data_event FROM latest""", [_LATEST]))
 def q_dedup_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per invitee, the latest delivery (ingestion time, then delivery id)."""
     rows = booking_facts(spark, sf_dir).select("invitee_id", "event_id", "ingestion_time", S.COL_EVENT)
     return dedup.latest_per_key(rows, ["invitee_id"], ["ingestion_time", "event_id"])
 
@@ -224,6 +239,7 @@ def q_dedup_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("duplicate_deliveries", covers="D6 A1", oracle=with_ctes(["booking_facts"], """
 SELECT invitee_id, COUNT(*) AS deliveries FROM booking_facts GROUP BY invitee_id HAVING COUNT(*) > 1"""))
 def q_duplicate_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invitees delivered more than once and how often."""
     return dedup.duplicates_report(booking_facts(spark, sf_dir), ["invitee_id"])
 
 
@@ -255,6 +271,7 @@ SELECT CAST(data_created_at AS DATE) AS event_date, invitee_id,
   ({_BOOKING_REASONS}) = '' AS is_valid_record
 FROM latest""", [_LATEST]))
 def q_silver_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Silver booking table (latest per invitee, typed, validity flag)."""
     return contracts.silver_contract(booking_facts(spark, sf_dir))
 
 
@@ -279,6 +296,7 @@ FROM (SELECT *, SUM(n) OVER (PARTITION BY booking_date, channel) AS day_bookings
         FROM enriched GROUP BY 1, 2, 3) h) hd
 LEFT JOIN ds ON ds.booking_date = hd.booking_date AND ds.channel = hd.channel""", [_DAILY_SPEND]))
 def q_gold_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3: hourly bookings per day and channel with the day's spend share and cost per booking."""
     return metrics.gold_contract(enriched_bookings(spark, sf_dir), fact_marketing(spark, sf_dir, aligned=True))
 
 
@@ -289,6 +307,7 @@ SELECT d.booking_date, d.channel, d.bookings_count, COALESCE(ds.total_spend, 0.0
     AS cost_per_booking
 FROM daily d LEFT JOIN ds ON ds.booking_date = d.booking_date AND ds.channel = d.channel""", [_DAILY_SPEND]))
 def q_daily_cpb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily bookings grid joined to daily spend, cost per booking per day and channel."""
     return metrics.daily_cpb(enriched_bookings(spark, sf_dir), fact_marketing(spark, sf_dir, aligned=True))
 
 
@@ -297,6 +316,7 @@ SELECT CAST(date_trunc('week', booking_date) AS DATE) AS week_start, channel, CO
   CAST(week(CAST(date_trunc('week', booking_date) AS DATE)) AS INTEGER) AS booking_week
 FROM enriched GROUP BY 1, 2"""))
 def q_weekly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bookings per ISO week and channel."""
     return metrics.weekly_trend(enriched_bookings(spark, sf_dir))
 
 
@@ -309,6 +329,7 @@ SELECT CASE WHEN utm_source IS NOT NULL
   COUNT(*) AS bookings_count
 FROM enriched GROUP BY 1, 2, 3"""))
 def q_utm_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bookings per channel and campaign attributed through UTM fields."""
     return metrics.utm_attribution(enriched_bookings(spark, sf_dir))
 
 
@@ -320,6 +341,7 @@ FROM (SELECT regexp_extract(data_payload_scheduled_event_event_memberships_user,
       FROM enriched GROUP BY 1, 2) w
 GROUP BY user_id"""))
 def q_weekly_avg_meetings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Meetings per employee per week, averaged over active weeks."""
     return metrics.weekly_avg_meetings(enriched_bookings(spark, sf_dir))
 
 

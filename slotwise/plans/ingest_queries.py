@@ -115,6 +115,7 @@ def fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("event_flatten", covers="S5 S7 E14 X1 X2 X3 X4 X5 P3 K2 G7",
           oracle=with_ctes([], f"SELECT {', '.join(FLAT_COLUMNS)} FROM flat", [_DOCS, _FLAT]))
 def q_event_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze webhook documents written as JSON and flattened into fact_events."""
     return fact_events(spark, sf_dir).select(*FLAT_COLUMNS)
 
 
@@ -150,6 +151,7 @@ def q_spend_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("spend_json_lines_roundtrip", covers="K2 S6 S9", oracle=with_ctes(["fact_marketing_aligned"], """
 SELECT date, spend_date, channel, spend FROM fact_marketing_aligned"""))
 def q_spend_json_lines_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: fact_marketing written as JSON lines by day and read back."""
     fact = spend.clean_spend(model.spend_raw(read_table(spark, sf_dir, "orders"), aligned=True))
     root = scratch_path(spark, "spend-lines")
     writers.write_json_lines(fact, root, "spend_date")

@@ -35,6 +35,7 @@ SELECT booking_date,
   CAST(COALESCE(SUM(bookings_count) FILTER (WHERE channel = 'others'), 0) AS BIGINT) AS others
 FROM daily WHERE booking_date IS NOT NULL GROUP BY booking_date"""))
 def q_daily_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per day, one column per channel (0 when missing)."""
     return report.daily_pivot(q_daily_bookings(spark, sf_dir))
 
 
@@ -43,6 +44,7 @@ SELECT channel, total_bookings_count, total_spend, cpb,
   CAST(ROW_NUMBER() OVER (ORDER BY {_CHANNEL_POS} NULLS LAST, channel) AS INTEGER) AS row_no
 FROM cpb"""))
 def q_cpb_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2: the channel table in the reporting order of channels."""
     return report.in_category_order(q_cpb_by_channel(spark, sf_dir), "channel", S.CHANNELS)
 
 
@@ -50,6 +52,7 @@ def q_cpb_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY rank_by_volume, rank_by_cpb, channel) AS INTEGER) AS row_no
 FROM attribution"""))
 def q_leaderboard_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3: the leaderboard by volume rank, then cost rank."""
     return report.leaderboard(q_channel_attribution(spark, sf_dir))
 
 
@@ -58,6 +61,7 @@ SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY total_meetings_count DESC, user_id AS
   AS row_no
 FROM meeting_load"""))
 def q_meeting_load_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Employees by meetings, most first, with distributed positions."""
     return report.meeting_load_sorted(q_meeting_load(spark, sf_dir))
 
 
@@ -69,6 +73,7 @@ _DAY_NAME = ("CASE booking_day_of_week WHEN 1 THEN 'Sunday' WHEN 2 THEN 'Monday'
 SELECT channel, booking_hour, booking_day_of_week, bookings_count, {_DAY_NAME} AS day_name
 FROM time_analysis WHERE ({_DAY_NAME}) IS NOT NULL"""))
 def q_booking_day_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time analysis with weekday names, selected days kept."""
     return report.with_day_names(q_booking_time(spark, sf_dir))
 
 
@@ -76,6 +81,7 @@ def q_booking_day_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT DISTINCT booking_day_of_week AS day_of_week, {_DAY_NAME} AS day_name
 FROM time_analysis WHERE booking_day_of_week IS NOT NULL"""))
 def q_weekdays_present(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekdays that occur, with their names."""
     return report.weekdays_present(q_booking_time(spark, sf_dir))
 
 
@@ -87,6 +93,7 @@ UNION ALL SELECT 2, 'spend', 'string', COUNT(*), COUNT(*) FILTER (WHERE defect I
 FROM spend_raw
 UNION ALL SELECT 3, 'position', 'bigint', COUNT(*), COUNT(position) FROM spend_raw"""))
 def q_column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per column of raw spend its type, rows and non-NULL count."""
     return report.column_profile(model.spend_raw(read_table(spark, sf_dir, "orders")))
 
 
@@ -96,6 +103,7 @@ FROM booking_facts
 WHERE data_payload_scheduled_event_event_type IN ('https://api.example.com/event_types/click',
   'https://api.example.com/event_types/view', 'https://api.example.com/event_types/purchase')"""))
 def q_event_type_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: meeting names seen for each paid channel's event type."""
     facts = booking_facts(spark, sf_dir).filter(F.col(S.COL_EVENT_TYPE).isin(list(S.CHANNEL_URIS)))
     return report.distinct_values(facts.withColumnRenamed(S.COL_EVENT_TYPE, "event_type_uri"),
                                   "event_type_uri", "meeting_name")
@@ -110,6 +118,7 @@ FROM (
   (SELECT *, 'tail' AS "end" FROM fact_marketing ORDER BY date DESC NULLS LAST, channel DESC NULLS LAST,
      spend DESC NULLS LAST LIMIT 5)) p"""))
 def q_preview_first_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First and last five rows of fact_marketing."""
     return report.preview(fact_marketing(spark, sf_dir), ["date", "channel", "spend"])
 
 

@@ -25,6 +25,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stream_daily_bookings", covers="T1 T2 T4 T5 D13", oracle=with_ctes(["enriched"], """
 SELECT booking_date, channel, COUNT(*) AS bookings_count FROM enriched GROUP BY 1, 2"""))
 def q_stream_daily_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streamed bookings counted per day window and channel, merged per batch."""
     table, ckpt = scratch_path(spark, "stream-daily"), scratch_path(spark, "ckpt-daily")
     stream.daily_counts_to_table(stream.booking_stream(_events(spark, sf_dir)), table, ckpt)
     return read_columnar(spark, table, schema=stream.DAILY_COUNTS).select("booking_date", "channel", "bookings_count")
@@ -34,6 +35,7 @@ def q_stream_daily_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT DISTINCT invitee_id, channel, booking_date, data_payload_scheduled_event_event_memberships_user
 FROM enriched"""))
 def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streamed bookings without repeated deliveries of an invitee."""
     out, ckpt = scratch_path(spark, "stream-dedup"), scratch_path(spark, "ckpt-dedup")
     stream.dedup_stream(stream.booking_stream(_events(spark, sf_dir)), out, ckpt)
     return spark.read.parquet(out)
@@ -45,6 +47,7 @@ SELECT invitee_id, event_id, ingestion_time, data_event,
   CAST(ingestion_time AS DATE) AS ingestion_date
 FROM latest""", [_LATEST]))
 def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: streamed deliveries merged into the Silver booking table per micro-batch."""
     facts = model.booking_facts(_events(spark, sf_dir))
     rows = facts.select("invitee_id", "event_id", "ingestion_time", S.COL_EVENT,
                         F.to_date(S.COL_START_TIME).alias("booking_date"),

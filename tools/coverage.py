@@ -40,6 +40,13 @@ def main() -> int:
         shown = ", ".join(f"`{n}`" + ("" if n in ORACLES else " (no oracle)") for n in names[:6])
         more = f" (+{len(names) - 6})" if len(names) > 6 else ""
         out.append(f"| {op} | {text.replace('|', '/')} | {shown}{more} |")
+    from slotwise.plans.catalog import QUERIES
+    out += ["", "## Registered queries", "",
+            "| query | operator ids | what it computes |", "| --- | --- | --- |"]
+    for name, fn in QUERIES.items():
+        doc = " ".join((fn.__doc__ or "").split())
+        first = doc.split(". ")[0].rstrip(".") if doc else ""
+        out.append(f"| `{name}` | {COVERS.get(name, '')} | {first.replace('|', '/')} |")
     with open(os.path.join(ROOT, "COVERAGE.md"), "w") as fh:
         fh.write("\n".join(out) + "\n")
     print(f"{len(rows)} operator ids, {len(rows) - len(missing)} covered; missing: {missing or 'none'}")
