@@ -55,8 +55,10 @@ def _table_exists(spark: SparkSession, path: str) -> bool:
 def _remove_partitions(spark: SparkSession, path: str, partition_col: str, values: Sequence[str]) -> None:
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     for v in values:
-        p = jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_col}={v}")
+        folder = v if v == DEFAULT_PARTITION else escape(v)
+        p = jvm.org.apache.hadoop.fs.Path(f"{path}/{escape(partition_col)}={folder}")
         fs = p.getFileSystem(conf)
         if fs.exists(p):
             fs.delete(p, True)

@@ -449,3 +449,15 @@ def test_cli_stream_daily_and_bronze_spend(spark, sf_dir, capsys):
     writers.write_manifest(raw.select("file_name").distinct(), index)
     assert cli.main(["bronze-spend", raw_root, index, scratch_path(spark, "cli-bronze")]) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["days_missing_a_company"] >= 0
+
+
+def test_upsert_empties_partition_with_special_characters(spark):
+    from slotwise.operators import incremental
+    from slotwise.session import scratch_path
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType()),
+                           T.StructField("p", T.StringType())])
+    path = scratch_path(spark, "upsert-escape")
+    incremental.upsert(spark, spark.createDataFrame([("a", 1, "x y/z")], schema), path, ["k"], "p", ["v"], schema)
+    incremental.upsert(spark, spark.createDataFrame([("a", 2, "plain")], schema), path, ["k"], "p", ["v"], schema)
+    got = sorted(tuple(r) for r in spark.read.schema(schema).parquet(path).collect())
+    assert got == [("a", 2, "plain")]
