@@ -80,7 +80,8 @@ flat AS (
     CAST(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS BIGINT)
       AS data_payload_scheduled_event_invitees_counter_active,
     CASE k % 5 WHEN 0 THEN 'facebook' WHEN 1 THEN 'youtube' WHEN 2 THEN 'tiktok'
-               WHEN 3 THEN 'newsletter' END AS data_payload_tracking_utm_source
+               WHEN 3 THEN 'newsletter' END AS data_payload_tracking_utm_source,
+    event_type AS data_payload_scheduled_event_name
   FROM docs
   JOIN (VALUES (0), (1)) m(i) ON m.i = 0 OR docs.event_id % 2 = 1
   LEFT JOIN (VALUES (CAST(0 AS BIGINT)), (CAST(1 AS BIGINT))) a(j) ON a.j < docs.k % 3
@@ -286,3 +287,28 @@ def q_flatten_two_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     one document multiply; an empty array keeps one row)."""
     return (fact_events(spark, sf_dir).groupBy("data_payload_uri")
             .agg(F.count(F.lit(1)).alias("flattened_rows")))
+
+
+@register("silver_event_names", covers="A10 F6 S8", oracle=with_ctes([], """
+SELECT DISTINCT data_payload_scheduled_event_event_type, data_payload_scheduled_event_name FROM flat
+WHERE data_payload_scheduled_event_event_type IN ('https://api.example.com/event_types/click',
+  'https://api.example.com/event_types/view', 'https://api.example.com/event_types/purchase')""", [_DOCS, _FLAT]))
+def q_silver_event_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Meeting names in the flattened fact_events for each paid channel's event type."""
+    from slotwise.operators import report
+    fact = fact_events(spark, sf_dir).filter(F.col(S.COL_EVENT_TYPE).isin(list(S.CHANNEL_URIS)))
+    return report.distinct_values(fact, S.COL_EVENT_TYPE, "data_payload_scheduled_event_name")
+
+
+_PROFILE_TYPES = {"data_payload_rescheduled": "boolean", "data_payload_questions_and_answers_position": "bigint",
+                  "data_payload_scheduled_event_invitees_counter_active": "bigint"}
+_PROFILE_SQL = "\nUNION ALL\n".join(
+    f"SELECT {i} AS position, '{c}' AS column_name, '{_PROFILE_TYPES.get(c, 'string')}' AS data_type, "
+    f"COUNT(*) AS rows, COUNT({c}) AS non_null FROM flat" for i, c in enumerate(FLAT_COLUMNS))
+
+
+@register("fact_events_profile", covers="A13 A8 X1", oracle=with_ctes([], _PROFILE_SQL, [_DOCS, _FLAT]))
+def q_fact_events_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row and non-NULL counts per column of the flattened fact_events, in one pass."""
+    from slotwise.operators import report
+    return report.column_profile(fact_events(spark, sf_dir).select(*FLAT_COLUMNS))
