@@ -312,3 +312,19 @@ def q_fact_events_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row and non-NULL counts per column of the flattened fact_events, in one pass."""
     from slotwise.operators import report
     return report.column_profile(fact_events(spark, sf_dir).select(*FLAT_COLUMNS))
+
+
+@register("spend_ingest_lines", covers="S1 S2 S3 K2 K3 F8 P5", oracle=with_ctes(["spend_aligned_raw"], """
+SELECT date, channel, spend, date AS spend_date FROM spend_aligned_raw"""))
+def q_spend_ingest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older spend ingest: every record of every listed day file, spend as a
+    number, the day from the file name, written as JSON lines by day and read back."""
+    from slotwise.plans.jobs import ingest_spend_lines_job
+    raw = model.spend_raw(read_table(spark, sf_dir, "orders"), aligned=True) \
+        .withColumn("file_name", writers.spend_file_name("date"))
+    raw_root, index_root = scratch_path(spark, "spend-raw"), scratch_path(spark, "spend-index")
+    writers.write_json_lines(raw, raw_root, "file_name")
+    writers.write_manifest(raw.select("file_name").distinct(), index_root)
+    out = scratch_path(spark, "spend-lines-ingest")
+    ingest_spend_lines_job(spark, raw_root, index_root, out)
+    return json_io.read_json(spark, out, S.SPEND_LINES, "lines").select("date", "channel", "spend", "spend_date")

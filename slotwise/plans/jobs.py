@@ -40,15 +40,16 @@ def bronze_spend_job(spark: SparkSession, raw_path: str, manifest_path: str, bro
     return spend.missing_companies(records.filter(F.col("date") == F.col("file_date")), companies)
 
 
-def ingest_spend_lines_job(spark: SparkSession, raw_path: str, manifest_path: str, out_path: str,
-                           companies: Sequence[str] = S.LISTED_COMPANIES) -> int:
-    """The older spend ingest: the same selection as ``bronze_spend_job``, written as
-    JSON lines partitioned by ``spend_date`` (one folder per day, files sized by the
-    rebalance instead of one single-task file). Returns the rows written."""
+def ingest_spend_lines_job(spark: SparkSession, raw_path: str, manifest_path: str, out_path: str) -> int:
+    """The older spend ingest: every record of every listed file, ``spend`` read as a
+    number (unreadable text becomes NULL instead of failing the run), ``spend_date``
+    taken from the file name; written as JSON lines partitioned by ``spend_date``
+    (one folder per day, files sized by the rebalance rather than one single-task
+    file). Fails when the listed files hold no record. Returns the rows written."""
     records = spend.with_file_date(json_io.load_listed_files(spark, raw_path, manifest_path))
     quality.require_rows(records, "listed spend files")
-    rows = spend.listed_first(records, companies, day_col="file_date") \
-        .withColumn("spend_date", F.col("date"))
+    rows = records.select("date", "channel", F.col("spend").try_cast("double").alias("spend"),
+                          F.col("file_date").alias("spend_date"))
     obs = Observation("spend_lines")
     writers.write_json_lines(rows.observe(obs, F.count(F.lit(1)).alias("rows")), out_path, "spend_date")
     return int(obs.get["rows"])

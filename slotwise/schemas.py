@@ -87,6 +87,9 @@ FACT_MARKETING = T.StructType([
     T.StructField("spend", T.DoubleType()),
 ])
 
+# The older JSON-lines spend layout (``spend_date`` is the partition folder).
+SPEND_LINES = T.StructType(SPEND_RECORD.fields + [T.StructField("spend_date", T.StringType())])
+
 MANIFEST = T.StructType([T.StructField("files", T.ArrayType(T.StringType()))])
 
 QUESTION_AND_ANSWER = T.StructType([
