@@ -83,6 +83,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("SLOTWISE_DRIVER_MEMORY", _local_memory()))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
+        # Local only: keep the default catalog's folder out of the working directory.
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="slotwise-warehouse-"))
     )
     for key, value in SEMANTIC_CONF.items():
         builder = builder.config(key, value)
