@@ -501,3 +501,19 @@ def test_keyed_reductions_combine_before_the_shuffle(spark, sf_dir):
         plan = _plan(df)
         assert fn in plan
         assert plan.index("Exchange hashpartitioning") < plan.index(fn)   # printed top-down: partial is below
+
+
+def test_dashboard_selections(spark):
+    daily = spark.createDataFrame(
+        [(dt.date(2026, 1, 1), "youtube", 2), (dt.date(2026, 1, 1), "tiktok", 1)],
+        "booking_date date, channel string, bookings_count long")
+    wide = report.daily_pivot(daily, selected=["tiktok", "facebook"])
+    assert wide.columns == ["booking_date", "tiktok", "facebook"]
+    assert tuple(wide.first())[1:] == (1, 0)
+    times = spark.createDataFrame(
+        [("youtube", 9, 1, 3), ("youtube", 10, 2, 4), ("others", None, None, 0)],
+        "channel string, booking_hour int, booking_day_of_week int, bookings_count long")
+    picked = report.with_day_names(times, ["Monday"]).collect()
+    assert [(r.day_name, r.bookings_count) for r in picked] == [("Monday", 4)]
+    assert [r.day_name for r in report.weekdays_present(times).orderBy("day_of_week").collect()] == \
+        ["Sunday", "Monday"]
