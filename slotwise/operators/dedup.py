@@ -14,15 +14,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` with the greatest ``order_by`` tuple per ``keys``.
+def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], keep: str = "last") -> DataFrame:
+    """Rows of ``df`` with the greatest (``keep="last"``) or smallest (``"first"``)
+    ``order_by`` tuple per ``keys``.
 
     ``order_by`` should end in a unique column so the winner is deterministic.
     Columns keep their order.
     """
+    if keep not in ("first", "last"):
+        raise ValueError(f"keep must be 'first' or 'last', not {keep!r}")
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    winner = F.max_by(F.struct(*rest), F.struct(*order_by)).alias("_w")
+    pick = F.max_by if keep == "last" else F.min_by
+    winner = pick(F.struct(*rest), F.struct(*order_by)).alias("_w")
     return df.groupBy(*keys).agg(winner).select(*keys, *[F.col(f"_w.{c}").alias(c) for c in rest]) \
         .select(*df.columns)
 

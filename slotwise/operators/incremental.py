@@ -66,12 +66,13 @@ def _remove_partitions(spark: SparkSession, path: str, partition_col: str, value
 
 def upsert(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[str],
            partition_col: str, order_by: Sequence[str], schema: StructType,
-           fmt: str = "parquet", key_determines_partition: bool = False) -> None:
+           fmt: str = "parquet", key_determines_partition: bool = False, keep: str = "last") -> None:
     """Merge ``updates`` into the partitioned table at ``path`` by ``keys``.
 
     ``order_by`` decides between an existing row and a new one (greatest wins, e.g.
-    ingestion time then delivery id). ``schema`` is the table's schema (it fixes the
-    partition column's type when read back).
+    ingestion time then delivery id); ``keep="first"`` keeps the smallest instead (a
+    deduplicating merge: the first delivery stays). ``schema`` is the table's schema
+    (it fixes the partition column's type when read back).
 
     Only touched partitions are read: their values (a set of days, not rows) are
     collected and applied as a literal filter, which prunes partitions at the scan.
@@ -83,7 +84,7 @@ def upsert(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[st
     # The incoming rows are read three times (partitions, key search, merge).
     updates = updates.select(*schema.fieldNames()).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        _upsert(spark, updates, path, keys, partition_col, order_by, schema, fmt, key_determines_partition)
+        _upsert(spark, updates, path, keys, partition_col, order_by, schema, fmt, key_determines_partition, keep)
     finally:
         updates.unpersist()
 
@@ -95,9 +96,10 @@ def _partition_filter(col: str, values: set):
 
 
 def _upsert(spark: SparkSession, updates: DataFrame, path: str, keys: list[str], partition_col: str,
-            order_by: Sequence[str], schema: StructType, fmt: str, key_determines_partition: bool) -> None:
+            order_by: Sequence[str], schema: StructType, fmt: str, key_determines_partition: bool,
+            keep: str) -> None:
     if not _table_exists(spark, path):
-        write_partitioned(latest_per_key(updates, keys, order_by), path, [partition_col], fmt=fmt)
+        write_partitioned(latest_per_key(updates, keys, order_by, keep), path, [partition_col], fmt=fmt)
         return
     table = spark.read.format(fmt).schema(schema).load(path)
     touched = {r[0] for r in updates.select(partition_col).distinct().collect()}
@@ -106,7 +108,7 @@ def _upsert(spark: SparkSession, updates: DataFrame, path: str, keys: list[str],
         live = table.select(*keys, partition_col).join(updates.select(*keys).distinct(), keys, "left_semi")
         touched |= {r[0] for r in live.select(partition_col).distinct().collect()}
     current = table.filter(_partition_filter(partition_col, touched))
-    merged = latest_per_key(current.unionByName(updates), keys, order_by)
+    merged = latest_per_key(current.unionByName(updates), keys, order_by, keep)
     # Checkpoint (to the shared folder): the result must not be recomputed from files
     # the write replaces, and its lineage is cut for recovery after a lost executor.
     shared_dir(spark)

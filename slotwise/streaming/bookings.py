@@ -115,11 +115,16 @@ def dedup_stream(bookings: DataFrame, output_path: str, checkpoint: str,
 
 
 def upsert_stream(rows: DataFrame, table_path: str, checkpoint: str, keys: Sequence[str],
-                  partition_col: str, order_by: Sequence[str], schema: T.StructType) -> None:
-    """T5: MERGE every micro-batch into a keyed, partitioned table."""
+                  partition_col: str, order_by: Sequence[str], schema: T.StructType,
+                  key_determines_partition: bool = False, keep: str = "last") -> None:
+    """T5: MERGE every micro-batch into a keyed, partitioned table. With
+    ``keep="first"`` this is a deduplicating stream whose state is the table: each
+    batch is reduced per key by a partial aggregate before any shuffle (a hot key
+    never lands whole in one task), and only the touched partitions are read."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        incremental.upsert(batch.sparkSession, batch, table_path, keys, partition_col, order_by, schema)
+        incremental.upsert(batch.sparkSession, batch, table_path, keys, partition_col, order_by, schema,
+                           key_determines_partition=key_determines_partition, keep=keep)
 
     _run(rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -77,3 +77,30 @@ def test_corrupt_documents_are_kept_aside(spark, tmp_path):
     assert len(rows) == 2
     assert sum(r._corrupt_record is not None for r in rows) == 1
     assert {r.event_date for r in rows} == {"2026-01-15"}
+
+
+def test_dedup_merge_keeps_the_first_delivery_across_batches(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    from slotwise import schemas as S
+    from slotwise.sources import model
+    src = scratch_path(spark, "first-src").replace("file:", "")
+    table, ckpt = scratch_path(spark, "first-table"), scratch_path(spark, "first-ckpt")
+    _events_file(src, "a.parquet", [(1, dt.datetime(2024, 1, 10, 9), 7, "click", 1.0, '{"k": 1}')])
+    schema = _schema(spark, src)
+    out = T.StructType([T.StructField("invitee_id", T.StringType()), T.StructField("event_id", T.LongType()),
+                        T.StructField("booking_date", T.DateType())])
+
+    def run():
+        facts = model.booking_facts(stream.events_stream(spark, src, schema, 1))
+        rows = facts.select("invitee_id", "event_id", F.to_date(S.COL_START_TIME).alias("booking_date"))
+        stream.upsert_stream(rows, table, ckpt, ["invitee_id"], "booking_date", ["event_id"], out,
+                             key_determines_partition=True, keep="first")
+
+    run()
+    # A re-delivery of invitee 7-click-20240110 (later id) and a new invitee.
+    _events_file(src, "b.parquet", [(5, dt.datetime(2024, 1, 10, 15), 7, "click", 1.0, '{"k": 1}'),
+                                    (6, dt.datetime(2024, 1, 11, 8), 7, "click", 1.0, '{"k": 1}')])
+    run()
+    got = sorted((r.invitee_id, r.event_id) for r in spark.read.schema(out).parquet(table).collect())
+    assert got == [("7-click-20240110", 1), ("7-click-20240111", 6)]
