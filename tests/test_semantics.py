@@ -517,3 +517,15 @@ def test_dashboard_selections(spark):
     assert [(r.day_name, r.bookings_count) for r in picked] == [("Monday", 4)]
     assert [r.day_name for r in report.weekdays_present(times).orderBy("day_of_week").collect()] == \
         ["Sunday", "Monday"]
+
+
+def test_dedup_with_a_key_holding_a_third_of_the_rows(spark):
+    n = 30000
+    df = spark.range(0, n, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        ((F.col("id") * 7919) % n).alias("t"), F.col("id"))
+    last = {r.k: r.id for r in dedup.latest_per_key(df, ["k"], ["t", "id"]).collect()}
+    first = {r.k: r.id for r in dedup.latest_per_key(df, ["k"], ["t", "id"], keep="first").collect()}
+    hot = [(((i * 7919) % n), i) for i in range(0, n, 3)]
+    assert last["hot"] == max(hot)[1] and first["hot"] == min(hot)[1]
+    assert len(last) == 1 + (n - n // 3)
