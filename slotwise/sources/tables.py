@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 DRIVER_TABLES = (
@@ -72,7 +75,14 @@ def _spread(df: DataFrame, size: int, bytes_per_task: int = 256 << 10) -> DataFr
     if size >= cores * split:          # enough splits for every core already
         return df
     tasks = min(cores, size // bytes_per_task)
-    return df.repartition(int(tasks)) if tasks > 1 else df
+    if tasks <= 1:
+        return df
+    # The observed row count (rows read) also keeps later filters above the spread:
+    # predicates are not pushed through an observation, so an expensive filter runs
+    # in parallel after the shuffle instead of inside the single scan task. Column
+    # pruning still reaches the scan.
+    return df.repartition(int(tasks)).observe(f"rows_read_{uuid.uuid4().hex[:12]}",
+                                              F.count(F.lit(1)).alias("rows"))
 
 
 def read_columnar(spark: SparkSession, path: str | list[str], fmt: str = "parquet",
