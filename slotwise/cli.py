@@ -51,6 +51,8 @@ def main(argv: list[str] | None = None) -> int:
     g.add_argument("gold")
     g.add_argument("--database")
     g.add_argument("--grain", default="row", choices=["row", "booking"])
+    g.add_argument("--zero-bookings", default="zero", choices=["zero", "null"],
+                   help="cost per booking of a channel without bookings")
     st = sub.add_parser("stream-daily")
     st.add_argument("source")
     st.add_argument("table")
@@ -79,7 +81,7 @@ def main(argv: list[str] | None = None) -> int:
         events = spark.read.format(args.format).load(f"{args.silver}/fact_events")
         marketing = spark.read.format(args.format).schema(S.FACT_MARKETING).load(f"{args.silver}/fact_marketing")
         report = jobs.gold_job(spark, events, marketing, args.gold, database=args.database, fmt=args.format,
-                               grain=args.grain)
+                               grain=args.grain, zero_bookings=args.zero_bookings)
     else:
         from slotwise.streaming import bookings as stream
         schema = spark.read.parquet(args.source).schema

@@ -77,7 +77,7 @@ def silver_marketing_job(spark: SparkSession, bronze_path: str, silver_path: str
 def gold_job(spark: SparkSession, fact_events: DataFrame, fact_marketing: DataFrame, gold_root: str,
              database: str | None = None, channels: Sequence[str] = S.CHANNELS,
              fmt: str = "parquet", grain: str = "row",
-             booking_key: str = "data_payload_uri") -> dict[str, int]:
+             booking_key: str = "data_payload_uri", zero_bookings: str = "zero") -> dict[str, int]:
     """The five Gold tables, written in full and (optionally) registered in a database.
 
     The events are scanned twice, both column-pruned: once into the hour cube
@@ -87,6 +87,8 @@ def gold_job(spark: SparkSession, fact_events: DataFrame, fact_marketing: DataFr
 
     ``grain="row"`` counts flattened rows (as the reference's Gold does);
     ``grain="booking"`` counts each booking once (per employee for the load).
+    ``zero_bookings="null"`` gives a channel without bookings a NULL cost per booking
+    (ranked last) instead of 0 (ranked first).
     """
     if grain not in ("row", "booking"):
         raise ValueError(f"unknown grain {grain!r}")
@@ -97,7 +99,8 @@ def gold_job(spark: SparkSession, fact_events: DataFrame, fact_marketing: DataFr
         load_input = gold.at_booking_grain(enriched, [booking_key, S.COL_MEMBER_USER])
         enriched = gold.at_booking_grain(enriched, [booking_key])
     cube = gold.booking_cube(enriched).checkpoint(eager=True)
-    cpb = gold.cpb_by_channel(cube, fact_marketing, channels, weight="bookings").checkpoint(eager=True)
+    cpb = gold.cpb_by_channel(cube, fact_marketing, channels, zero_bookings=zero_bookings,
+                              weight="bookings").checkpoint(eager=True)
     tables = {
         "gold_daily_bookings_by_channel": gold.daily_bookings_by_channel(cube, channels, weight="bookings"),
         "gold_cpb_by_channel": cpb,
