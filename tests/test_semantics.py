@@ -529,3 +529,17 @@ def test_dedup_with_a_key_holding_a_third_of_the_rows(spark):
     hot = [(((i * 7919) % n), i) for i in range(0, n, 3)]
     assert last["hot"] == max(hot)[1] and first["hot"] == min(hot)[1]
     assert len(last) == 1 + (n - n // 3)
+
+
+def test_gold_job_zero_bookings_null(spark):
+    from slotwise.plans import jobs
+    from slotwise.session import scratch_path
+    events = _events(spark, [(S.BOOKING_EVENT, FB, "2026-01-01T10:00:00Z", S.USER_BASE + "u1")])
+    marketing = spark.createDataFrame(
+        [("2026-01-01", "2026-01-01", "facebook", 10.0), ("2026-01-01", "2026-01-01", "youtube", 5.0)],
+        "date string, spend_date string, channel string, spend double")
+    root = scratch_path(spark, "gold-null")
+    jobs.gold_job(spark, events, marketing, root, zero_bookings="null")
+    rows = {r.channel: r for r in spark.read.parquet(f"{root}/gold_channel_attribution").collect()}
+    assert rows["facebook"].cpb == 10.0 and rows["youtube"].cpb is None
+    assert rows["youtube"].rank_by_cpb > rows["facebook"].rank_by_cpb
