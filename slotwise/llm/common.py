@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,10 +27,27 @@ def query(name: str, oracle: str | None = None) -> Callable[[QueryFn], QueryFn]:
     return wrap
 
 
+def _ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application, through
+    Spark's own file distribution."""
+    sc = spark.sparkContext
+    if getattr(sc, "_slotwise_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    if package.is_dir():          # not when it runs from a zip that was shipped itself
+        archive = Path(tempfile.mkdtemp(prefix="slotwise-ship-")) / "slotwise.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for source in sorted(package.rglob("*.py")):
+                z.write(source, str(source.relative_to(package.parent)))
+        sc.addPyFile(str(archive))
+    sc._slotwise_shipped = True
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Settings the operators rely on: batches of at most 1,000 rows between the JVM
-    and Python (texts may be long, so a batch must stay small), lineage cuts in the
-    shared folder."""
+    """What the operators rely on: batches of at most 1,000 rows between the JVM and
+    Python (texts may be long, so a batch must stay small), lineage cuts in the shared
+    folder, this package on the executors."""
+    _ship(spark)
     shared_dir(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark
