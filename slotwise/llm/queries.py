@@ -1,6 +1,6 @@
 """The registered queries of this package, and their SQL where SQL can state them."""
 
-from slotwise.llm import bpe, exact_dedup, minhash_dedup, mixing, toxicity  # noqa: F401  (each module registers its query)
+from slotwise.llm import ann, bpe, exact_dedup, minhash_dedup, mixing, toxicity  # noqa: F401  (each module registers its query)
 from slotwise.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
