@@ -1,6 +1,7 @@
 """The registered queries of this package, and their SQL where SQL can state them."""
 
-from slotwise.llm import ann, bpe, exact_dedup, html_text, minhash_dedup, mixing, toxicity  # noqa: F401  (each registers its query)
+from slotwise.llm import (  # noqa: F401  (each registers its query)
+    ann, bpe, exact_dedup, html_text, licences, minhash_dedup, mixing, toxicity)
 from slotwise.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
