@@ -1,7 +1,8 @@
 """The registered queries of this package, and their SQL where SQL can state them."""
 
 from slotwise.llm import (  # noqa: F401  (each registers its query)
-    ann, bpe, exact_dedup, html_text, licences, minhash_dedup, mixing, substring_exact, toxicity)
+    ann, bpe, exact_dedup, html_text, licences, minhash_dedup, mixing,
+    passages, substring_exact, toxicity)
 from slotwise.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
