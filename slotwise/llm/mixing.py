@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from slotwise.llm.common import prepare, query, table
 
 #: Documents of one block; rows of one ranking group.
-BLOCK, RANK_ROWS = 32, 20_000
+BLOCK, RANK_ROWS = 32, 2_000
 #: Schedule rows up to which every task gets the whole schedule.
 SMALL_SCHEDULE = 500_000
 
