@@ -78,9 +78,10 @@ def category_position(c: str | Column, order: Sequence[str]) -> Column:
                     F.lit(0)).cast("int")
 
 
-def exact_sum(c: str | Column, scale: int = 2) -> Column:
-    """Sum money through DECIMAL so the total does not depend on row order."""
-    return F.sum(col_of(c).cast(T.DecimalType(18, scale))).cast("double")
+def exact_sum(c: str | Column, scale: int = 10) -> Column:
+    """Sum money through DECIMAL so the total does not depend on row order. Ten decimal
+    places keep amounts far below a cent; 18 digits stand before the point."""
+    return F.sum(col_of(c).cast(T.DecimalType(18 + scale, scale))).cast("double")
 
 
 def iso_utc_text(ts: str | Column) -> Column:

@@ -1,7 +1,7 @@
 """Partitioned tables kept current by partition, not by full rewrites.
 
-* ``reprocess_window`` / ``overwrite_partitions``: recompute the last N days and
-  replace exactly those partitions (dynamic partition overwrite).
+* ``reprocess_days``: recompute the last N days and replace exactly those partitions;
+  ``refresh_touched``: recompute the days that new arrivals touch.
 * ``upsert``: MERGE by key without a transactional table format. Only *touched*
   partitions are rewritten: those the new rows go to, plus those where their keys
   live now (a key can move to another partition). Inside them the latest row per key
@@ -13,7 +13,8 @@ The rewrite is per partition, not atomic across partitions (no transaction log).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from slotwise.operators.dedup import latest_per_key
-from slotwise.session import shared_dir
+from slotwise.session import remove_path, scratch_path
 from slotwise.sinks.writers import write_partitioned
 
 
@@ -41,10 +42,56 @@ def reprocess_window(df: DataFrame, date_col: str, as_of: str, days: int) -> Dat
 
 def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str],
                          fmt: str = "parquet") -> None:
-    """Replace only the partitions present in ``df`` (dynamic overwrite)."""
+    """Replace only the partitions present in ``df`` (dynamic overwrite)."""
     write_partitioned(df, path, partition_cols, fmt=fmt, mode="overwrite")
 
 
+def partition_values(spark: SparkSession, path: str, partition_col: str) -> dict[str, str]:
+    """Partition values of a table as its folders name them (value -> folder name)."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    return {unescape(n.split("=", 1)[1]): n for n in names if n.startswith(f"{partition_col}=")}
+
+
+def replace_days(df: DataFrame, path: str, partition_col: str, days: Iterable[str], fmt: str = "parquet") -> None:
+    """Replace exactly the given days: those with rows in ``df`` are overwritten, those
+    without lose their partition (a day whose rows were all withdrawn). Only day values
+    reach the driver."""
+    spark = df.sparkSession
+    out = scratch_path(spark, "replace-days")
+    df.write.parquet(out)                             # not recomputed by the second read
+    rows = spark.read.schema(df.schema).parquet(out)
+    kept = {str(r[0]) for r in rows.select(partition_col).distinct().collect()}
+    write_partitioned(rows, path, [partition_col], fmt=fmt)
+    remove_path(spark, out)
+    there = partition_values(spark, path, partition_col)
+    _remove_partitions(spark, path, partition_col, [d for d in days if d in there and d not in kept])
+
+
+def reprocess_days(df: DataFrame, path: str, partition_col: str, as_of: str, days: int, fmt: str = "parquet") -> None:
+    """Replace the window [as_of - days, ...): recomputed days are overwritten, days
+    of the table in the window that have no row any more are removed."""
+    start = str(datetime.date.fromisoformat(as_of) - datetime.timedelta(days=days))
+    there = partition_values(df.sparkSession, path, partition_col)
+    window = [d for d in there if d != DEFAULT_PARTITION and d >= start]
+    replace_days(reprocess_window(df, partition_col, as_of, days), path, partition_col, window, fmt)
+
+
+def refresh_touched(arrivals: DataFrame, facts: DataFrame, path: str, partition_col: str,
+                    compute: Callable[[DataFrame], DataFrame], fmt: str = "parquet") -> list[str]:
+    """Recompute only the days that new arrivals touch. ``arrivals`` (new rows) gives
+    the days, ``facts`` (all rows, by the same column) is read for those days only,
+    ``compute`` makes the table's rows from them. Returns the days."""
+    days = {r[0] for r in arrivals.select(partition_col).distinct().collect()}
+    if days:
+        replace_days(compute(facts.where(partition_filter(partition_col, days))), path, partition_col,
+                     [DEFAULT_PARTITION if d is None else str(d) for d in days], fmt)
+    return sorted(map(str, days))
+
+
 def _table_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -89,7 +136,7 @@ def upsert(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[st
         updates.unpersist()
 
 
-def _partition_filter(col: str, values: set):
+def partition_filter(col: str, values: set):
     named = sorted((v for v in values if v is not None), key=str)
     cond = F.col(col).isin(named) if named else F.lit(False)
     return cond | F.col(col).isNull() if None in values else cond
@@ -107,16 +154,18 @@ def _upsert(spark: SparkSession, updates: DataFrame, path: str, keys: list[str],
         # Partitions where the incoming keys live now (key and partition columns only).
         live = table.select(*keys, partition_col).join(updates.select(*keys).distinct(), keys, "left_semi")
         touched |= {r[0] for r in live.select(partition_col).distinct().collect()}
-    current = table.filter(_partition_filter(partition_col, touched))
+    current = table.filter(partition_filter(partition_col, touched))
     merged = latest_per_key(current.unionByName(updates), keys, order_by, keep)
-    # Checkpoint (to the shared folder): the result must not be recomputed from files
+    # Staged in the shared folder: the result must not be recomputed from files
     # the write replaces, and its lineage is cut for recovery after a lost executor.
-    shared_dir(spark)
-    merged = merged.checkpoint(eager=True)
+    staged = scratch_path(spark, "merge")
+    merged.write.parquet(staged)
+    merged = spark.read.schema(merged.schema).parquet(staged)
     # A touched partition that ends up empty would keep its old files after a dynamic
     # overwrite: found before the write, removed after it.
     kept = {r[0] for r in merged.select(partition_col).distinct().collect()}
     write_partitioned(merged, path, [partition_col], fmt=fmt)
+    remove_path(spark, staged)
     emptied = touched - kept
     if emptied:
         _remove_partitions(spark, path, partition_col,

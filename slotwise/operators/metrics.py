@@ -28,14 +28,16 @@ def daily_spend(fact_marketing: DataFrame) -> DataFrame:
 
 def daily_cpb(enriched: DataFrame, fact_marketing: DataFrame,
               channels: Sequence[str] = S.CHANNELS) -> DataFrame:
-    """Daily bookings grid left-joined to daily spend on (day, channel).
+    """Daily bookings grid and daily spend on (day, channel). Spend of a day or
+    channel without bookings stays (0 bookings, no cost per booking), so the totals
+    equal those of both inputs.
 
-    Both sides are aggregates (days x channels); neither has a size fixed in advance,
-    so the join is left to the planner (adaptive execution broadcasts the smaller
-    side once its real size is known, else sort-merge).
+    Both sides are aggregates (days x channels), joined in full on the key they are
+    grouped by.
     """
     grid = daily_bookings_by_channel(enriched, channels)
-    return (grid.join(daily_spend(fact_marketing), ["booking_date", "channel"], "left")
+    return (grid.join(daily_spend(fact_marketing), ["booking_date", "channel"], "full")
+            .withColumn("bookings_count", F.coalesce("bookings_count", F.lit(0)))
             .select("booking_date", "channel", "bookings_count",
                     F.coalesce("total_spend", F.lit(0.0)).alias("total_spend"),
                     guarded_ratio(F.coalesce("total_spend", F.lit(0.0)), "bookings_count", None)
@@ -79,6 +81,8 @@ def weekly_avg_meetings(enriched: DataFrame, user_col: str = S.COL_MEMBER_USER)
 def gold_contract(enriched: DataFrame, fact_marketing: DataFrame) -> DataFrame:
     """D3: one row per (day, hour, channel): bookings in the hour, the day's cost per
     booking for the channel, and the share of the day's spend those bookings carry.
+    Spend of a day and channel without bookings has a row without hour, with 0 bookings
+    and the whole spend, so ``total_spend`` adds up to the spend of the input.
 
     One aggregation by (day, channel) counts each of the 24 hours (and a NULL hour)
     and the day's total; ``inline`` turns the day row into hour rows. The hour domain
@@ -94,13 +98,13 @@ def gold_contract(enriched: DataFrame, fact_marketing: DataFrame) -> DataFrame:
                       for i, (h, _) in enumerate(slots)])
     hourly = (per_day.select("booking_date", "channel", "day_bookings", F.inline(cells))
               .filter(F.col("n") > 0)
-              .join(daily_spend(fact_marketing), ["booking_date", "channel"], "left"))
+              .join(daily_spend(fact_marketing), ["booking_date", "channel"], "full"))
     start = F.col("booking_date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("h"))
     cpb = guarded_ratio(F.coalesce("total_spend", F.lit(0.0)), "day_bookings", None)
     return hourly.select(
         "booking_date", "channel",
         F.when(F.col("h").isNotNull(), start).alias("booking_hour"),
         F.weekofyear("booking_date").alias("booking_week"),
-        F.col("n").cast("int").alias("total_bookings"),
-        (cpb * F.col("n").cast("double")).alias("total_spend"),
+        F.coalesce("n", F.lit(0)).cast("int").alias("total_bookings"),
+        F.when(F.col("n").isNull(), F.col("total_spend")).otherwise(cpb * F.col("n").cast("double")).alias("total_spend"),
         cpb.alias("cost_per_booking"))

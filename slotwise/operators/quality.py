@@ -62,6 +62,8 @@ def booking_rules(invitee_col: str = "invitee_id", created_col: str = "data_crea
     return [
         ("missing_invitee_id", F.col(invitee_col).isNull() | (F.col(invitee_col) == "")),
         ("created_after_ingestion", F.col(created_col) > F.col(ingestion_col)),
+        ("missing_created_time", F.col(created_col).isNull()),
+        ("missing_ingestion_time", F.col(ingestion_col).isNull()),
         ("missing_start_time", F.col(start_col).isNull()),
     ]
 

@@ -55,7 +55,7 @@ def with_global_positions(df: DataFrame, *order: F.Column, name: str = "row_no")
                .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))))
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
     return (ranged.join(F.broadcast(offsets.select("_pid", "_offset")), "_pid")
-            .withColumn(name, (F.col("_offset") + local + 1).cast("int"))
+            .withColumn(name, F.col("_offset") + local + 1)
             .drop("_pid", "_mid", "_offset"))
 
 

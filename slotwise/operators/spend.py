@@ -21,7 +21,7 @@ def clean_spend(bronze: DataFrame) -> DataFrame:
     return (bronze
             .select(F.col("date").cast("string").alias("date"),
                     F.col("date").cast("string").alias("spend_date"),
-                    F.regexp_replace(F.col("channel"), S.PAID_SUFFIX, "").alias("channel"),
+                    F.replace(F.col("channel"), F.lit(S.PAID_SUFFIX), F.lit("")).alias("channel"),
                     F.col("spend").try_cast("double").alias("spend"))
             .dropna(how="any", subset=["date", "spend_date", "channel", "spend"]))
 
@@ -31,7 +31,8 @@ def listed_first(records: DataFrame,
                  day_col: str = "file_date",
                  position_col: str = "position") -> DataFrame:
     """Per day file and listed company, the first record (by position in the
-    file) whose channel is the company and whose date is the file's day.
+    file) whose channel is the company and whose date is the file's day. Records whose
+    place is not known cannot be first.
 
     ``min_by`` is an ordinary aggregate: it is combined inside each task before the
     shuffle, so one crowded (day, company) never lands whole in a single task.
@@ -39,7 +40,8 @@ def listed_first(records: DataFrame,
     if day_col not in records.columns:
         records = records.withColumn(day_col, F.col("date"))
     wanted = records.filter(F.col("channel").isin(list(companies))
-                            & (F.col("date") == F.col(day_col)))
+                            & (F.col("date") == F.col(day_col))
+                            & F.col(position_col).isNotNull())
     first = (wanted
              .groupBy(day_col, "channel")
              .agg(F.min_by(F.struct("date", "channel", "spend"), F.col(position_col)).alias("r")))
@@ -48,14 +50,17 @@ def listed_first(records: DataFrame,
 
 def missing_companies(records: DataFrame,
                       companies: Sequence[str] = S.LISTED_COMPANIES,
-                      day_col: str = "date") -> DataFrame:
+                      day_col: str = "date", days: DataFrame | None = None) -> DataFrame:
     """Completeness report for F5: (day, company) pairs with no record that day.
 
     One aggregation by day with a presence flag per company, then `inline` to one
-    row per company; no grid join.
+    row per company; no grid join. ``days`` (column ``day_col``) names the days that
+    must be there, so a day without any record is reported too.
     """
     per_day = records.groupBy(day_col).agg(
         *[F.max(F.col("channel") == c).alias(f"_p{i}") for i, c in enumerate(companies)])
+    if days is not None:
+        per_day = days.select(day_col).distinct().join(per_day, day_col, "left")
     cells = F.array(*[F.struct(F.lit(c).alias("channel"), F.coalesce(F.col(f"_p{i}"), F.lit(False)).alias("present"))
                       for i, c in enumerate(companies)])
     return (per_day.select(F.col(day_col).alias("date"), F.inline(cells))
@@ -68,16 +73,16 @@ def spend_with_others(fact_marketing: DataFrame,
     """U1/S12 parity: per-channel sums of *every* channel, plus one ``others`` row
     holding the total outside the paid channels, appended by name.
 
-    The ``others`` total is a one-row aggregate kept in the plan (no collect); an
-    empty input gives 0.0 (as ``sum(...) or 0.0``).
+    One pass over the spend: the rolled-up total of the unpaid channels comes from the
+    per-channel sums (grouping sets), an empty input gives 0.0 (as ``sum(...) or 0.0``).
     """
-    per_channel = (fact_marketing.groupBy("channel")
-                   .agg(exact_sum("spend").alias("total_spend")))
-    others = (fact_marketing
-              .filter(~F.col("channel").isin(list(real_channels)))
-              .agg(F.coalesce(exact_sum("spend"), F.lit(0.0)).alias("total_spend"))
-              .withColumn("channel", F.lit("others")))
-    return per_channel.unionByName(others, allowMissingColumns=True).select("channel", "total_spend")
+    unpaid = ~F.col("channel").isin(list(real_channels))
+    sums = fact_marketing.groupBy("channel").agg(
+        F.sum(F.col("spend").cast("decimal(28,10)")).alias("exact"))
+    sums = sums.select("channel", "exact", F.col("exact").cast("double").alias("total_spend"))
+    others = sums.agg(F.coalesce(F.sum(F.when(unpaid, F.col("exact"))).cast("double"), F.lit(0.0)).alias("total_spend")) \
+        .withColumn("channel", F.lit("others"))
+    return sums.drop("exact").unionByName(others).select("channel", "total_spend")
 
 
 def with_file_date(records: DataFrame, file_name_col: str = "file_name") -> DataFrame:

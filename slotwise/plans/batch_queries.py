@@ -11,6 +11,7 @@ from slotwise.operators import contracts, dedup, gold, incremental, metrics, qua
 from slotwise.plans.catalog import register
 from slotwise.plans.oracle_sql import with_ctes
 from slotwise.session import scratch_path
+from slotwise.sinks import writers
 from slotwise.sources import model
 from slotwise.sources.tables import read_columnar, read_table
 
@@ -112,10 +113,10 @@ def q_spend_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("spend_others_union", covers="U1 S12 A3 A4 N2 F2 E9 E15", oracle=with_ctes(["fact_marketing"], """
-SELECT channel, CAST(SUM(CAST(spend AS DECIMAL(18, 2))) AS DOUBLE) AS total_spend
+SELECT channel, CAST(CAST(SUM(CAST(CAST(spend AS VARCHAR) AS DECIMAL(28, 10))) AS VARCHAR) AS DOUBLE) AS total_spend
 FROM fact_marketing GROUP BY channel
 UNION ALL BY NAME
-SELECT 'others' AS channel, COALESCE(CAST(SUM(CAST(spend AS DECIMAL(18, 2))) AS DOUBLE), 0.0) AS total_spend
+SELECT 'others' AS channel, COALESCE(CAST(CAST(SUM(CAST(CAST(spend AS VARCHAR) AS DECIMAL(28, 10))) AS VARCHAR) AS DOUBLE), 0.0) AS total_spend
 FROM fact_marketing WHERE channel NOT IN ('facebook', 'youtube', 'tiktok')"""))
 def q_spend_others_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-channel spend with the others total appended by name."""
@@ -126,6 +127,8 @@ def q_spend_others_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 _BOOKING_REASONS = """concat_ws(';',
     CASE WHEN invitee_id IS NULL OR invitee_id = '' THEN 'missing_invitee_id' END,
     CASE WHEN data_created_at > ingestion_time THEN 'created_after_ingestion' END,
+    CASE WHEN data_created_at IS NULL THEN 'missing_created_time' END,
+    CASE WHEN ingestion_time IS NULL THEN 'missing_ingestion_time' END,
     CASE WHEN data_payload_scheduled_event_start_time IS NULL THEN 'missing_start_time' END)"""
 
 
@@ -170,6 +173,10 @@ SELECT 'bookings' AS source, 'missing_invitee_id' AS rule, COUNT(*) AS rows_chec
   COUNT(*) FILTER (WHERE invitee_id IS NULL OR invitee_id = '') AS violations FROM booking_facts
 UNION ALL SELECT 'bookings', 'created_after_ingestion', COUNT(*),
   COUNT(*) FILTER (WHERE data_created_at > ingestion_time) FROM booking_facts
+UNION ALL SELECT 'bookings', 'missing_created_time', COUNT(*), COUNT(*) FILTER (WHERE data_created_at IS NULL)
+  FROM booking_facts
+UNION ALL SELECT 'bookings', 'missing_ingestion_time', COUNT(*), COUNT(*) FILTER (WHERE ingestion_time IS NULL)
+  FROM booking_facts
 UNION ALL SELECT 'bookings', 'missing_start_time', COUNT(*),
   COUNT(*) FILTER (WHERE data_payload_scheduled_event_start_time IS NULL) FROM booking_facts
 UNION ALL SELECT 'spend', 'missing_date', COUNT(*), COUNT(*) FILTER (WHERE date IS NULL) FROM spend_raw
@@ -279,38 +286,62 @@ _DAILY_SPEND = """
 ds AS (
   SELECT CAST(date AS DATE) AS booking_date,
     CASE WHEN channel IN ('facebook', 'youtube', 'tiktok') THEN channel ELSE 'others' END AS channel,
-    CAST(SUM(CAST(spend AS DECIMAL(18, 2))) AS DOUBLE) AS total_spend
+    CAST(CAST(SUM(CAST(CAST(spend AS VARCHAR) AS DECIMAL(28, 10))) AS VARCHAR) AS DOUBLE) AS total_spend
   FROM fact_marketing_aligned WHERE channel IS NOT NULL GROUP BY 1, 2
 )"""
 
 
-@register("gold_contract", covers="D3 D10", oracle=with_ctes(["enriched", "fact_marketing_aligned"], """
-SELECT hd.booking_date, hd.channel, hd.booking_hour, CAST(week(hd.booking_date) AS INTEGER) AS booking_week,
-  CAST(hd.n AS INTEGER) AS total_bookings,
-  (CASE WHEN hd.day_bookings = 0 THEN NULL ELSE COALESCE(ds.total_spend, 0.0) / hd.day_bookings END)
-    * CAST(hd.n AS DOUBLE) AS total_spend,
-  CASE WHEN hd.day_bookings = 0 THEN NULL ELSE COALESCE(ds.total_spend, 0.0) / hd.day_bookings END
-    AS cost_per_booking
+_GOLD_CONTRACT = """
+SELECT COALESCE(hd.booking_date, ds.booking_date) AS booking_date, COALESCE(hd.channel, ds.channel) AS channel,
+  hd.booking_hour, CAST(week(COALESCE(hd.booking_date, ds.booking_date)) AS INTEGER) AS booking_week,
+  CAST(COALESCE(hd.n, 0) AS INTEGER) AS total_bookings,
+  CASE WHEN hd.n IS NULL THEN ds.total_spend
+       ELSE (COALESCE(ds.total_spend, 0.0) / hd.day_bookings) * CAST(hd.n AS DOUBLE) END AS total_spend,
+  CASE WHEN hd.n IS NOT NULL THEN COALESCE(ds.total_spend, 0.0) / hd.day_bookings END AS cost_per_booking
 FROM (SELECT *, SUM(n) OVER (PARTITION BY booking_date, channel) AS day_bookings FROM (
         SELECT booking_date, date_trunc('hour', booking_ts) AS booking_hour, channel, COUNT(*) AS n
         FROM enriched GROUP BY 1, 2, 3) h) hd
-LEFT JOIN ds ON ds.booking_date = hd.booking_date AND ds.channel = hd.channel""", [_DAILY_SPEND]))
+FULL JOIN ds ON ds.booking_date = hd.booking_date AND ds.channel = hd.channel"""
+
+
+@register("gold_contract", covers="D3",
+          oracle=with_ctes(["enriched", "fact_marketing_aligned"], _GOLD_CONTRACT, [_DAILY_SPEND]))
 def q_gold_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3: hourly bookings per day and channel with the day's spend share and cost per booking."""
     return metrics.gold_contract(enriched_bookings(spark, sf_dir), fact_marketing(spark, sf_dir, aligned=True))
 
 
 # ---------------------------------------------------------------- metrics
-@register("daily_cpb", covers="D14 J2 P8", oracle=with_ctes(["daily", "fact_marketing_aligned"], """
-SELECT d.booking_date, d.channel, d.bookings_count, COALESCE(ds.total_spend, 0.0) AS total_spend,
-  CASE WHEN d.bookings_count = 0 THEN NULL ELSE COALESCE(ds.total_spend, 0.0) / d.bookings_count END
-    AS cost_per_booking
-FROM daily d LEFT JOIN ds ON ds.booking_date = d.booking_date AND ds.channel = d.channel""", [_DAILY_SPEND]))
+_DAILY_CPB = """
+SELECT COALESCE(d.booking_date, ds.booking_date) AS booking_date, COALESCE(d.channel, ds.channel) AS channel,
+  COALESCE(d.bookings_count, 0) AS bookings_count, COALESCE(ds.total_spend, 0.0) AS total_spend,
+  CASE WHEN d.bookings_count > 0 THEN COALESCE(ds.total_spend, 0.0) / d.bookings_count END AS cost_per_booking
+FROM daily d FULL JOIN ds ON ds.booking_date = d.booking_date AND ds.channel = d.channel"""
+
+
+@register("daily_cpb", covers="D14 J2 P8",
+          oracle=with_ctes(["daily", "fact_marketing_aligned"], _DAILY_CPB, [_DAILY_SPEND]))
 def q_daily_cpb(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bookings grid joined to daily spend, cost per booking per day and channel."""
     return metrics.daily_cpb(enriched_bookings(spark, sf_dir), fact_marketing(spark, sf_dir, aligned=True))
 
 
+@register("daily_cpb_order_dates", covers="D14 J2 P8",
+          oracle=with_ctes(["daily", "fact_marketing"], _DAILY_CPB,
+                           [_DAILY_SPEND.replace("fact_marketing_aligned", "fact_marketing")]))
+def q_daily_cpb_order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D14 with spend dates outside the booking days: every day of spend is kept."""
+    return metrics.daily_cpb(enriched_bookings(spark, sf_dir), fact_marketing(spark, sf_dir))
+
+
+@register("gold_contract_order_dates", covers="D3",
+          oracle=with_ctes(["enriched", "fact_marketing"], _GOLD_CONTRACT,
+                           [_DAILY_SPEND.replace("fact_marketing_aligned", "fact_marketing")]))
+def q_gold_contract_order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 with spend dates outside the booking days: every day of spend is kept."""
+    return metrics.gold_contract(enriched_bookings(spark, sf_dir), fact_marketing(spark, sf_dir))
+
+
 @register("weekly_trend", covers="D15 D18", oracle=with_ctes(["enriched"], """
 SELECT CAST(date_trunc('week', booking_date) AS DATE) AS week_start, channel, COUNT(*) AS bookings_count,
   CAST(week(CAST(date_trunc('week', booking_date) AS DATE)) AS INTEGER) AS booking_week
@@ -353,7 +384,7 @@ _COUNTS_SCHEMA = T.StructType([
 ])
 
 
-@register("reprocess_last_n", covers="D11 D12 D10 K4", oracle=with_ctes(["enriched"], """
+@register("reprocess_last_n", covers="D12 D10 K4", oracle=with_ctes(["enriched"], """
 SELECT booking_date, channel, COUNT(*) AS bookings_count FROM enriched
 WHERE ingestion_time < TIMESTAMP '2024-01-20 00:00:00' AND booking_date < DATE '2024-01-24' GROUP BY 1, 2
 UNION ALL
@@ -369,15 +400,62 @@ def q_reprocess_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run(as_of: str, days: int | None) -> None:
         seen = enriched.filter(F.col("ingestion_time") < F.lit(as_of).cast("timestamp_ntz"))
         counts = seen.groupBy("booking_date", "channel").agg(F.count(F.lit(1)).alias("bookings_count"))
-        if days is not None:
-            counts = incremental.reprocess_window(counts, "booking_date", as_of, days)
-        incremental.overwrite_partitions(counts.select(*_COUNTS_SCHEMA.fieldNames()), root, ["booking_date"])
+        counts = counts.select(*_COUNTS_SCHEMA.fieldNames())
+        if days is None:
+            incremental.overwrite_partitions(counts, root, ["booking_date"])
+        else:
+            incremental.reprocess_days(counts, root, "booking_date", as_of, days)
 
     run("2024-01-20", None)
     run("2024-02-03", 10)
     return read_columnar(spark, root, schema=_COUNTS_SCHEMA).select("booking_date", "channel", "bookings_count")
 
 
+@register("incremental_touched_days", covers="D11 D10 K4", oracle=with_ctes(["enriched"], """
+SELECT booking_date, channel, COUNT(*) AS bookings_count FROM enriched
+WHERE ingestion_time < TIMESTAMP '2024-01-20 00:00:00'
+   OR booking_date IN (SELECT booking_date FROM enriched WHERE ingestion_time >= TIMESTAMP '2024-01-20 00:00:00')
+GROUP BY 1, 2"""))
+def q_incremental_touched_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily counts of everything that arrived before 2024-01-20; then the rows that
+    arrived later touch some days, and only those are read again and replaced."""
+    enriched = enriched_bookings(spark, sf_dir).select("booking_date", "channel", "ingestion_time")
+    facts, root = scratch_path(spark, "touched-facts"), scratch_path(spark, "touched-counts")
+    cutoff = F.lit("2024-01-20").cast("timestamp_ntz")
+
+    def counts(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("booking_date", "channel").agg(F.count(F.lit(1)).alias("bookings_count")) \
+            .select(*_COUNTS_SCHEMA.fieldNames())
+
+    writers.write_partitioned(enriched, facts, ["booking_date"])
+    stored = spark.read.parquet(facts)
+    incremental.overwrite_partitions(counts(stored.where(F.col("ingestion_time") < cutoff)), root, ["booking_date"])
+    incremental.refresh_touched(stored.where(F.col("ingestion_time") >= cutoff), stored, root, "booking_date", counts)
+    return read_columnar(spark, root, schema=_COUNTS_SCHEMA).select("booking_date", "channel", "bookings_count")
+
+
+_GOLD_MERGED = T.StructType([
+    T.StructField("channel", T.StringType()), T.StructField("booking_hour", T.TimestampNTZType()),
+    T.StructField("booking_week", T.IntegerType()), T.StructField("total_bookings", T.IntegerType()),
+    T.StructField("total_spend", T.DoubleType()), T.StructField("cost_per_booking", T.DoubleType()),
+    T.StructField("booking_date", T.DateType()),
+])
+
+
+@register("gold_contract_merged", covers="D3 D10 D13 K4",
+          oracle=with_ctes(["enriched", "fact_marketing_aligned"], _GOLD_CONTRACT, [_DAILY_SPEND]))
+def q_gold_contract_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 stored by ``booking_date``: a first load of the days before 2024-01-15, then a
+    merge of all days by (day, channel, hour); the key fixes the partition."""
+    rows = q_gold_contract(spark, sf_dir)
+    root = scratch_path(spark, "gold-contract")
+    keys = ["booking_date", "channel", "booking_hour"]
+    for part in (rows.where("booking_date < DATE '2024-01-15'"), rows):
+        incremental.upsert(spark, part, root, keys, "booking_date", ["total_bookings", "total_spend"], _GOLD_MERGED,
+                           key_determines_partition=True)
+    return read_columnar(spark, root, schema=_GOLD_MERGED).select(*rows.columns)
+
+
 _SILVER_BOOKINGS = T.StructType([
     T.StructField("invitee_id", T.StringType()),
     T.StructField("event_id", T.LongType()),

@@ -97,6 +97,10 @@ FLAT_COLUMNS = [
 ]
 
 
+#: Documents of one multi-line file, about (files are dealt by hash).
+DOCUMENTS_PER_FILE = 500
+
+
 # ----------------------------------------------------------------- shared steps
 def bronze_event_documents(spark: SparkSession, sf_dir: str) -> str:
     """Write the booking documents as Bronze JSON lines, one folder per arrival day."""
@@ -112,6 +116,17 @@ def fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(json_io.read_event_documents(spark, root, layout="lines"))
 
 
+def raw_spend_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Raw spend as published: a JSON array per day in ``spend_data_<day>.json`` (no field
+    for the place in it), and the manifest of these files."""
+    raw = model.spend_raw(read_table(spark, sf_dir, "orders"), aligned=True)
+    data_root, index_root = scratch_path(spark, "spend-raw"), scratch_path(spark, "spend-index")
+    writers.write_daily_arrays(raw, data_root, "date", order_by=["position"], prefix=S.SPEND_FILE_PREFIX)
+    names = raw.select(writers.spend_file_name("date").alias("file_name"), F.substring("date", 1, 7).alias("month"))
+    writers.write_manifest(names, index_root, group_col="month")
+    return data_root, index_root
+
+
 # ----------------------------------------------------------------- queries
 @register("event_flatten", covers="S5 S7 E14 X1 X2 X3 X4 X5 P3 K2 G7",
           oracle=with_ctes([], f"SELECT {', '.join(FLAT_COLUMNS)} FROM flat", [_DOCS, _FLAT]))
@@ -165,16 +180,11 @@ def q_spend_json_lines_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT date, date AS spend_date, replace(channel, '_paid_ads', '') AS channel, spend
 FROM first_raw_aligned WHERE spend IS NOT NULL""", [_FIRST_RAW_ALIGNED]))
 def q_manifest_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The spend load: raw day files (JSON lines, ``spend_data_<day>.json`` folders)
+    """The spend load: raw day files (one JSON array each, ``spend_data_<day>.json``)
     and a manifest naming them; every listed file is read in one scan, the day is
     taken from the file name, the first record per listed company and day is kept,
     and the result is cleaned into fact_marketing."""
-    raw = model.spend_raw(read_table(spark, sf_dir, "orders"), aligned=True) \
-        .withColumn("file_name", writers.spend_file_name("date"))
-    data_root, index_root = scratch_path(spark, "spend-raw"), scratch_path(spark, "spend-index")
-    writers.write_json_lines(raw, data_root, "file_name")
-    writers.write_manifest(raw.select("file_name", F.substring("date", 1, 7).alias("month")).distinct(),
-                           index_root, group_col="month")
+    data_root, index_root = raw_spend_files(spark, sf_dir)
     records = spend.with_file_date(json_io.load_listed_files(spark, data_root, index_root))
     bronze = spend.listed_first(records, day_col="file_date")
     return spend.clean_spend(bronze)
@@ -213,7 +223,7 @@ mcpb AS (
   FROM dim d
   LEFT JOIN (SELECT channel, COUNT(*) AS n FROM fe GROUP BY channel) bk ON bk.channel = d.channel
   LEFT JOIN (SELECT CASE WHEN channel IN ('facebook', 'youtube', 'tiktok') THEN channel ELSE 'others' END AS channel,
-                    CAST(SUM(CAST(spend AS DECIMAL(18, 2))) AS DOUBLE) AS s
+                    CAST(CAST(SUM(CAST(CAST(spend AS VARCHAR) AS DECIMAL(28, 10))) AS VARCHAR) AS DOUBLE) AS s
              FROM fm GROUP BY 1) sp ON sp.channel = d.channel
 )"""
 
@@ -237,12 +247,7 @@ def q_medallion_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
         silver_events_job(spark, bronze_event_documents(spark, sf_dir), silver_events, layout="lines")
 
     def spend_chain() -> None:
-        raw = model.spend_raw(read_table(spark, sf_dir, "orders"), aligned=True) \
-            .withColumn("file_name", writers.spend_file_name("date"))
-        raw_root, index_root = scratch_path(spark, "spend-raw"), scratch_path(spark, "spend-index")
-        writers.write_json_lines(raw, raw_root, "file_name")
-        writers.write_manifest(raw.select("file_name", F.substring("date", 1, 7).alias("month")).distinct(),
-                               index_root, group_col="month")
+        raw_root, index_root = raw_spend_files(spark, sf_dir)
         bronze_spend = scratch_path(spark, "bronze-spend")
         bronze_spend_job(spark, raw_root, index_root, bronze_spend)
         silver_marketing_job(spark, bronze_spend, silver_marketing)
@@ -320,11 +325,86 @@ def q_spend_ingest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The older spend ingest: every record of every listed day file, spend as a
     number, the day from the file name, written as JSON lines by day and read back."""
     from slotwise.plans.jobs import ingest_spend_lines_job
-    raw = model.spend_raw(read_table(spark, sf_dir, "orders"), aligned=True) \
-        .withColumn("file_name", writers.spend_file_name("date"))
-    raw_root, index_root = scratch_path(spark, "spend-raw"), scratch_path(spark, "spend-index")
-    writers.write_json_lines(raw, raw_root, "file_name")
-    writers.write_manifest(raw.select("file_name").distinct(), index_root)
+    raw_root, index_root = raw_spend_files(spark, sf_dir)
     out = scratch_path(spark, "spend-lines-ingest")
     ingest_spend_lines_job(spark, raw_root, index_root, out)
     return json_io.read_json(spark, out, S.SPEND_LINES, "lines").select("date", "channel", "spend", "spend_date")
+
+
+@register("event_documents_multiline", covers="S5 S7 X1 X3 G7",
+          oracle=with_ctes([], f"SELECT {', '.join(FLAT_COLUMNS)} FROM flat", [_DOCS, _FLAT]))
+def q_event_documents_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indented webhook documents read with the multi-line scan and flattened. A file
+    holds one JSON value: an array of at most ``DOCUMENTS_PER_FILE`` documents."""
+    docs = model.booking_documents(read_table(spark, sf_dir, "events"))
+    doc = F.struct("ingestion_time", "source", "data")
+    dealt = docs.select(doc.alias("doc"), "event_date", F.xxhash64(doc).alias("h"))
+    sizes = dealt.groupBy("event_date").agg(F.ceil(F.count(F.lit(1)) / DOCUMENTS_PER_FILE).alias("files"))
+    dealt = dealt.join(sizes, "event_date").withColumn("file_no", F.pmod("h", F.col("files")))
+    values = dealt.groupBy("event_date", "file_no").agg(F.to_json(F.collect_list("doc"), {"pretty": "true"}).alias("value"))
+    root = scratch_path(spark, "bronze-multiline")
+    values.write.partitionBy("event_date", "file_no").text(root)
+    return flatten(json_io.read_event_documents(spark, root, layout="document")).select(*FLAT_COLUMNS)
+
+
+_SILVER_FROM_DOCS = """
+facts AS (
+  SELECT event_id, CAST(user_id AS VARCHAR) || '-' || event_type || '-' || strftime(ts, '%Y%m%d') AS invitee_id,
+    ts AS created, ing, event_type, user_id,
+    CASE WHEN event_id % 2 = 1 THEN 'cohost' ELSE 'user' END || CAST(user_id AS VARCHAR) || '@example.com' AS employee_email
+  FROM docs
+),
+latest_docs AS (
+  SELECT * FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY invitee_id
+      ORDER BY ing DESC, 'https://api.example.com/scheduled_events/' || CAST(event_id AS VARCHAR) DESC) AS rn
+    FROM facts) s WHERE rn = 1
+)"""
+
+
+@register("silver_bookings_from_documents", covers="D2 D4 D5 D6 D9 T2", oracle=with_ctes([], """
+SELECT CAST(created AS DATE) AS event_date, invitee_id, CAST(created AS DATE) AS booking_date,
+  CASE event_type WHEN 'click' THEN 'facebook' WHEN 'view' THEN 'youtube' WHEN 'purchase' THEN 'tiktok'
+    ELSE 'others' END AS channel,
+  employee_email, created AS event_start_time, CAST(ing AS DATE) AS ingestion_date,
+  CASE WHEN created > ing THEN 'created_after_ingestion' ELSE '' END AS reject_reasons
+FROM latest_docs""", [_DOCS, _SILVER_FROM_DOCS]))
+def q_silver_bookings_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze documents through the Silver jobs: facts, then the documented bookings and
+    the quarantine, both read back."""
+    from slotwise.plans.jobs import silver_bookings_job, silver_events_job
+    events, bookings, quarantine = (scratch_path(spark, n) for n in ("silver-events", "silver-bookings", "quarantine"))
+    silver_events_job(spark, bronze_event_documents(spark, sf_dir), events, layout="lines")
+    silver_bookings_job(spark, spark.read.parquet(events), bookings, quarantine)
+    columns = ["event_date", "invitee_id", "booking_date", "channel", "employee_email", "event_start_time", "ingestion_date"]
+    good = spark.read.parquet(bookings).select(*columns, F.lit("").alias("reject_reasons"))
+    return good.unionByName(spark.read.parquet(quarantine).select(*columns, "reject_reasons"))
+
+
+@register("utm_attribution_from_documents", covers="D16", oracle=with_ctes([], """
+SELECT CASE WHEN data_payload_tracking_utm_source IS NOT NULL
+            THEN CASE WHEN data_payload_tracking_utm_source IN ('facebook', 'youtube', 'tiktok')
+                      THEN data_payload_tracking_utm_source ELSE 'others' END
+            ELSE CASE data_payload_scheduled_event_name WHEN 'click' THEN 'facebook' WHEN 'view' THEN 'youtube'
+                      WHEN 'purchase' THEN 'tiktok' ELSE 'others' END END AS channel,
+  CASE WHEN data_payload_tracking_utm_source IS NOT NULL THEN 'utm' ELSE 'event_type' END AS attributed_by,
+  COUNT(DISTINCT data_payload_uri) AS bookings_count
+FROM flat WHERE data_event = 'invitee.created' GROUP BY 1, 2""", [_DOCS, _FLAT]))
+def q_utm_attribution_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D16 over the flattened documents, each booking counted once."""
+    from slotwise.operators import contracts, gold, metrics
+    facts = gold.at_booking_grain(contracts.from_fact_events(fact_events(spark, sf_dir)))
+    by_campaign = metrics.utm_attribution(gold.enrich(facts))
+    return by_campaign.groupBy("channel", "attributed_by").agg(F.sum("bookings_count").alias("bookings_count"))
+
+
+@register("gold_channel_map", covers="P7 G2 A2", oracle=with_ctes([], """
+SELECT CASE data_payload_scheduled_event_name WHEN 'signup' THEN 'facebook' WHEN 'click' THEN 'tiktok' ELSE 'others' END
+    AS channel, COUNT(*) AS total_bookings_count
+FROM flat WHERE data_event = 'invitee.created' GROUP BY 1""", [_DOCS, _FLAT]))
+def q_gold_channel_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bookings per channel under a channel map given by the caller."""
+    from slotwise.operators import gold
+    mapping = {S.EVENT_TYPE_BASE + "signup": "facebook", S.EVENT_TYPE_BASE + "click": "tiktok"}
+    return gold.enrich(fact_events(spark, sf_dir), mapping).groupBy("channel") \
+        .agg(F.count(F.lit(1)).alias("total_bookings_count"))

@@ -105,7 +105,7 @@ cpb AS (
   FROM dim d
   LEFT JOIN (SELECT channel, COUNT(*) AS n FROM enriched GROUP BY channel) bk ON bk.channel = d.channel
   LEFT JOIN (SELECT CASE WHEN channel IN ('facebook', 'youtube', 'tiktok') THEN channel ELSE 'others' END AS channel,
-                    CAST(SUM(CAST(spend AS DECIMAL(18, 2))) AS DOUBLE) AS s
+                    CAST(CAST(SUM(CAST(CAST(spend AS VARCHAR) AS DECIMAL(28, 10))) AS VARCHAR) AS DOUBLE) AS s
              FROM fact_marketing WHERE channel IS NOT NULL GROUP BY 1) sp ON sp.channel = d.channel
 )""",
     "attribution": """

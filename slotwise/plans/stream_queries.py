@@ -19,14 +19,14 @@ from slotwise.streaming import bookings as stream
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = read_table(spark, sf_dir, "events", spread=False).schema  # footer only
-    return stream.events_stream(spark, table_glob(sf_dir, "events"), schema, max_files_per_trigger=1)
+    schema = read_table(spark, sf_dir, "events").schema  # footer only
+    return stream.events_stream(spark, table_glob(sf_dir, "events"), schema)
 
 
 @register("stream_daily_bookings", covers="T1 T2 T4 T5 D13", oracle=with_ctes(["enriched"], """
 SELECT booking_date, channel, COUNT(*) AS bookings_count FROM enriched GROUP BY 1, 2"""))
 def q_stream_daily_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streamed bookings counted per day window and channel, merged per batch."""
+    """Streamed bookings counted per day and channel, merged per batch."""
     table, ckpt = scratch_path(spark, "stream-daily"), scratch_path(spark, "ckpt-daily")
     stream.daily_counts_to_table(stream.booking_stream(_events(spark, sf_dir)), table, ckpt)
     return read_columnar(spark, table, schema=stream.DAILY_COUNTS).select("booking_date", "channel", "bookings_count")
@@ -38,8 +38,8 @@ FROM enriched"""))
 def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streamed bookings without repeated deliveries of an invitee."""
     out, ckpt = scratch_path(spark, "stream-dedup"), scratch_path(spark, "ckpt-dedup")
-    stream.dedup_stream(stream.booking_stream(_events(spark, sf_dir)), out, ckpt)
-    return spark.read.parquet(out)
+    schema = stream.dedup_stream(stream.booking_stream(_events(spark, sf_dir)), out, ckpt)
+    return spark.read.schema(schema).parquet(out).select("invitee_id", "channel", "booking_date", S.COL_MEMBER_USER)
 
 
 @register("stream_upsert", covers="T1 T5 D13 D6", oracle=with_ctes(["booking_facts"], """
@@ -87,3 +87,19 @@ def q_stream_dedup_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream.upsert_stream(rows, table, ckpt, ["invitee_id"], "booking_date", ["ingestion_time", "event_id"],
                          schema, key_determines_partition=True, keep="first")
     return read_columnar(spark, table, schema=schema)
+
+
+@register("stream_daily_from_documents", covers="T1 T2 T4 T5 S5", oracle=with_ctes([], """
+SELECT CAST(ts AS DATE) AS booking_date,
+  CASE event_type WHEN 'click' THEN 'facebook' WHEN 'view' THEN 'youtube' WHEN 'purchase' THEN 'tiktok' ELSE 'others' END
+    AS channel,
+  COUNT(DISTINCT CAST(event_id AS VARCHAR)) AS bookings_count
+FROM events WHERE event_type <> 'error' GROUP BY 1, 2"""))
+def q_stream_daily_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Webhook documents as a stream up to the daily counts table."""
+    from slotwise.plans.ingest_queries import bronze_event_documents
+    bronze = bronze_event_documents(spark, sf_dir)
+    table, ckpt = scratch_path(spark, "stream-doc-daily"), scratch_path(spark, "ckpt-doc-daily")
+    docs = stream.document_booking_stream(stream.document_stream(spark, bronze))
+    stream.daily_counts_to_table(docs, table, ckpt)
+    return read_columnar(spark, table, schema=stream.DAILY_COUNTS).select("booking_date", "channel", "bookings_count")

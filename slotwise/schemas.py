@@ -35,6 +35,8 @@ DAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "
 SPEND_FILE_PREFIX = "spend_data_"
 SPEND_FILE_SUFFIX = ".json"
 MANIFEST_NAME = "file_index.json"
+# Bronze spend file naming.
+BRONZE_SPEND_PREFIX = "spend-date-"
 
 # URI prefixes of the synthetic booking model built from the driver tables.
 API_BASE = "https://api.example.com"
@@ -183,3 +185,22 @@ COL_EVENT = "data_event"
 COL_EVENT_TYPE = "data_payload_scheduled_event_event_type"
 COL_START_TIME = "data_payload_scheduled_event_start_time"
 COL_MEMBER_USER = "data_payload_scheduled_event_event_memberships_user"
+
+
+def fact_events_schema() -> T.StructType:
+    """``fact_events`` as stored: every leaf of the document under its flattened name, and
+    the partition column."""
+    out: list[T.StructField] = []
+
+    def walk(prefix: str, dt: T.DataType) -> None:
+        while isinstance(dt, T.ArrayType):
+            dt = dt.elementType
+        if isinstance(dt, T.StructType):
+            for f in dt.fields:
+                walk(f"{prefix}_{f.name}", f.dataType)
+        else:
+            out.append(T.StructField(prefix, dt))
+
+    for f in BOOKING_EVENT_DOC.fields:
+        walk(f.name, f.dataType)
+    return T.StructType([*out, T.StructField("event_date", T.StringType())])

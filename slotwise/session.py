@@ -104,6 +104,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     configured = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that all executors share")
         # Unset: a local test session. Register a folder of our own.
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="slotwise-shared-"))
         configured = sc.getCheckpointDir()
@@ -112,6 +114,12 @@ def shared_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of this run once nothing reads it any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared directory for one run."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

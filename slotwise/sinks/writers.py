@@ -7,8 +7,10 @@ files) and packs small ones together.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,18 +18,34 @@ from slotwise import schemas as S
 
 
 def write_daily_arrays(records: DataFrame, path: str, day_col: str = "date",
-                       fields: Sequence[str] = ("date", "channel", "spend")) -> None:
-    """K1: one JSON array document per day (folder ``<day_col>=<day>``).
-
-    Each day's array is assembled by an aggregate, so the caller must pass records
-    whose count per day is bounded (e.g. one per listed company and day, as Bronze
-    spend is); the records inside a document are sorted for a stable file.
+                       fields: Sequence[str] = ("date", "channel", "spend"),
+                       order_by: Sequence[str] = (), prefix: str = S.BRONZE_SPEND_PREFIX,
+                       suffix: str = S.SPEND_FILE_SUFFIX) -> None:
+    """K1: one JSON array document per day, ``<path>/<prefix><day><suffix>``.
+
+    A day's document is one JSON value, so one task holds a day's records (Bronze spend:
+    one per listed company). Inside, they are ordered by ``order_by``, else by the fields.
+    The folder is replaced; Spark's part files get their names by a rename per day.
     """
-    docs = (records
-            .groupBy(F.col(day_col).alias("_day"))
-            .agg(F.to_json(F.array_sort(F.collect_list(F.struct(*fields)))).alias("value")))
-    (docs.withColumnRenamed("_day", f"{day_col}_part")
-     .write.mode("overwrite").partitionBy(f"{day_col}_part").text(path))
+    spark = records.sparkSession
+    items = F.array_sort(F.collect_list(F.struct(*order_by, F.struct(*fields).alias("_r")))) if order_by \
+        else F.array_sort(F.collect_list(F.struct(F.struct(*fields).alias("_r"))))
+    docs = (records.where(F.col(day_col).isNotNull())
+            .groupBy(F.col(day_col).cast("string").alias("_day"))
+            .agg(F.to_json(F.transform(items, lambda x: x["_r"])).alias("value")))
+    staging = f"{path.rstrip('/')}/_staging"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    target = hadoop(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(target, True)
+    docs.write.partitionBy("_day").text(staging)
+    for folder in fs.listStatus(hadoop(staging)):
+        name = folder.getPath().getName()
+        if name.startswith("_day="):
+            for part in fs.listStatus(folder.getPath()):
+                if part.getPath().getName().startswith("part-"):
+                    fs.rename(part.getPath(), hadoop(f"{path}/{prefix}{name[5:]}{suffix}"))
+    fs.delete(hadoop(staging), True)
 
 
 def write_json_lines(records: DataFrame, path: str, partition_col: str | None = None,
@@ -50,8 +68,8 @@ def write_manifest(file_names: DataFrame, path: str, group_col: str | None = Non
     line per group (e.g. per month: as many names as files that month); without it,
     one line per file, so no list grows with the number of files."""
     if group_col:
-        lines = (file_names.groupBy(F.col(group_col).alias("_g"))
-                 .agg(F.sort_array(F.collect_set("file_name")).alias("files")))
+        lines = (file_names.select(F.col(group_col).alias("_g"), "file_name").distinct().groupBy("_g")
+                 .agg(F.sort_array(F.collect_list("file_name")).alias("files")))
     else:
         lines = file_names.select(F.array("file_name").alias("files")).distinct()
     lines.select("files").write.mode("overwrite").json(path)
@@ -69,6 +87,34 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
      .write.format(fmt).mode(mode).partitionBy(*partition_cols).save(path))
 
 
+def copy_manifest(spark: SparkSession, manifest_path: str, bronze_path: str) -> None:
+    """K3: the manifest stored beside the Bronze data, under its usual name."""
+    names = [r["file_name"] for r in _manifest_names(spark, manifest_path)]
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    target = hadoop(f"{bronze_path.rstrip('/')}/{S.MANIFEST_NAME}")
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(json.dumps({"files": sorted(names)}, indent=2), "utf-8"))
+    finally:
+        out.close()
+
+
+def _manifest_names(spark: SparkSession, manifest_path: str) -> list:
+    from slotwise.sources.json_io import read_manifest
+    return read_manifest(spark, manifest_path).collect()
+
+
+def observed_rows(observation: Observation) -> int:
+    """The observed count; 0 where the optimiser found the input empty and dropped the
+    observation with it."""
+    try:
+        return int(observation.get["rows"])
+    except (AssertionError, Py4JJavaError) as e:
+        if "AssertionError" not in f"{type(e).__name__} {e}":
+            raise
+        return 0
+
+
 def write_tables(tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet",
                  concurrent: bool = True) -> dict[str, int]:
     """K6: write named tables (full overwrite); returns each table's row count,
@@ -80,7 +126,7 @@ def write_tables(tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet
     def write(name: str, df: DataFrame) -> int:
         obs = Observation(name)
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("overwrite").save(f"{root}/{name}")
-        return int(obs.get["rows"])
+        return observed_rows(obs)
 
     if not concurrent or len(tables) < 2:
         return {name: write(name, df) for name, df in tables.items()}

@@ -42,34 +42,64 @@ def read_event_documents(spark: SparkSession, path: str, layout: str = "lines",
     return docs.withColumn("event_date", F.nullif(folder_day, F.lit("")))
 
 
-def read_spend_files(spark: SparkSession, path: str, layout: str = "array",
-                     path_glob: str | None = "part-*",
+def read_spend_files(spark: SparkSession, path: str | list[str], layout: str = "array",
+                     path_glob: str | None = None,
                      schema: T.StructType = S.SPEND_RECORD_RAW) -> DataFrame:
-    """Spend records; ``spend`` is read as text so numbers, text and gaps all load
-    (they are typed later with ``try_cast``). Files not matching ``path_glob`` (the
-    manifest) are skipped."""
+    """Spend records of every file below ``path`` (whatever its name) but the
+    manifest; ``spend`` is read as text so numbers, text and gaps all load (they are
+    typed later with ``try_cast``)."""
     return read_json(spark, path, schema, layout, path_glob=path_glob, recursive=True) \
+        .where(F.col("_metadata.file_name") != S.MANIFEST_NAME) \
         .withColumn("file_path", F.col("_metadata.file_path"))
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """The file names listed by a manifest (``{"files": [...]}`` per line)."""
-    return (read_json(spark, path, S.MANIFEST, "lines", recursive=True)
-            .select(F.explode("files").alias("file_name"))
-            .distinct())
+    """The distinct file names listed by a manifest: one or several
+    ``{"files": [...]}`` objects, indented or one per line."""
+    whole = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    # one object as a document, else one per line
+    document = F.from_json("value", S.MANIFEST)
+    lines = F.transform(F.split("value", r"\r?\n"), lambda line: F.from_json(line, S.MANIFEST)["files"])
+    files = F.when(document["files"].isNotNull() & (F.size(F.split(F.trim("value"), r"\}\s*\{")) == 1), document["files"]) \
+        .otherwise(F.flatten(F.filter(lines, lambda x: x.isNotNull())))
+    return (whole.select(F.explode(files).alias("file_name"))
+            .where(F.col("file_name").isNotNull()).distinct())
+
+
+def _children(spark: SparkSession, path: str) -> dict[str, str]:
+    """Name -> path of what lies directly in a folder."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {s.getPath().getName(): s.getPath().toString() for s in fs.listStatus(root)}
+
+
+def listed_files(spark: SparkSession, data_path: str, manifest_path: str) -> tuple[dict[str, str], list[str]]:
+    """The listed files that are there (name -> path), and the names that are not. One
+    name per day of spend: the list is as long as the folder's own listing."""
+    there = _children(spark, data_path)
+    names = sorted(r["file_name"] for r in read_manifest(spark, manifest_path).collect())
+    return {n: there[n] for n in names if n in there}, [n for n in names if n not in there]
 
 
 def load_listed_files(spark: SparkSession, data_path: str, manifest_path: str,
-                      layout: str = "lines") -> DataFrame:
-    """Every record of every file the manifest lists, in one distributed scan.
+                      layout: str = "array") -> DataFrame:
+    """Every record of every file the manifest lists, in one distributed scan of
+    exactly those files: ``date, channel, spend`` (text), ``position``, ``file_name``.
 
-    The manifest (one name per data file) is semi-joined to the scan on the file's
-    name, replacing a driver-side loop over files. Its size grows with the number of
-    files, so the join strategy is left to adaptive execution (a broadcast when the
-    measured list is small, a shuffle otherwise).
+    ``array``: a file is one JSON array; ``position`` is the place in it. ``lines``: a
+    file (or folder of parts) holds JSON lines; ``position`` is read from the records.
     """
-    records = read_spend_files(spark, data_path, layout, schema=S.SPEND_RECORD_RAW_POS)
-    name = F.regexp_extract(F.col("file_path"), r"file_name=([^/]+)/[^/]*$", 1)
-    records = records.withColumn("file_name", F.url_decode(name))
-    listed = read_manifest(spark, manifest_path)
-    return records.join(listed, "file_name", "left_semi")
+    found, _ = listed_files(spark, data_path, manifest_path)
+    if not found:
+        return spark.createDataFrame([], T.StructType(S.SPEND_RECORD_RAW_POS.fields + [T.StructField("file_name", T.StringType())]))
+    paths = list(found.values())
+    if layout == "array":
+        whole = spark.read.text(paths, wholetext=True)
+        records = F.from_json("value", T.ArrayType(S.SPEND_RECORD_RAW))
+        return whole.select(F.col("_metadata.file_name").alias("file_name"), F.posexplode(records).alias("position", "r")) \
+            .select("r.date", "r.channel", "r.spend", F.col("position").cast("long").alias("position"), "file_name")
+    records = read_json(spark, paths, S.SPEND_RECORD_RAW_POS, layout, recursive=True)
+    parts = F.split(F.col("_metadata.file_path"), "/")
+    name = F.when(F.element_at(parts, -1).startswith(S.SPEND_FILE_PREFIX), F.element_at(parts, -1)) \
+        .otherwise(F.element_at(parts, -2))              # a folder of parts has the file's name
+    return records.select("date", "channel", "spend", "position", name.alias("file_name"))

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 DRIVER_TABLES = (
@@ -14,75 +11,10 @@ DRIVER_TABLES = (
 ).split()
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """One driver table (``<sf_dir>/<name>.parquet``). Column pruning and filters
-    applied later reach the Parquet scan (ReadSchema / PushedFilters).
-
-    The tables are immutable inputs: their schema is inferred from the footer once per
-    process and passed explicitly afterwards (no footer read per query).
-
-    ``spread``: a table too small to have one split per core (a file of a single row
-    group is one task) is spread round-robin over up to one task per 256 KB of file,
-    capped at the core count, so the per-row work after the scan runs in parallel. A
-    table with at least one split per core is returned as scanned: no shuffle is
-    added at scale.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema, size = _table_facts(spark, path)
-    df = spark.read.schema(schema).parquet(path)
-    return _spread(df, size) if spread else df
-
-
-_FACTS: dict[str, tuple[StructType, int]] = {}
-
-
-def _table_facts(spark: SparkSession, path: str) -> tuple[StructType, int]:
-    if path not in _FACTS:
-        df = spark.read.parquet(path)
-        size = -1
-        try:
-            jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-            size = 0
-            for f in df.inputFiles():
-                p = jvm.org.apache.hadoop.fs.Path(f)
-                size += p.getFileSystem(conf).getFileStatus(p).getLen()
-        except Exception:  # no JVM access (Spark Connect): size unknown, no spreading
-            size = -1
-        _FACTS[path] = (df.schema, size)
-    return _FACTS[path]
-
-
-def _bytes(text: str) -> int:
-    """Spark size text ('134217728', '128m', '1g', '64MB') in bytes."""
-    units = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    t = text.strip().lower().removesuffix("b") if text.strip().lower()[-2:] in ("kb", "mb", "gb", "tb") \
-        else text.strip().lower()
-    num = t.rstrip("bkmgt")
-    try:
-        return int(float(num) * units[t[len(num):] or ""])
-    except (ValueError, KeyError):
-        return 128 << 20
-
-
-def _spread(df: DataFrame, size: int, bytes_per_task: int = 256 << 10) -> DataFrame:
-    if size < 0:
-        return df
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:
-        return df
-    split = _bytes(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    if size >= cores * split:          # enough splits for every core already
-        return df
-    tasks = min(cores, size // bytes_per_task)
-    if tasks <= 1:
-        return df
-    # The observed row count (rows read) also keeps later filters above the spread:
-    # predicates are not pushed through an observation, so an expensive filter runs
-    # in parallel after the shuffle instead of inside the single scan task. Column
-    # pruning still reaches the scan.
-    return df.repartition(int(tasks)).observe(f"rows_read_{uuid.uuid4().hex[:12]}",
-                                              F.count(F.lit(1)).alias("rows"))
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table (``<sf_dir>/<name>.parquet``), as scanned: column pruning and
+    filters applied later reach the Parquet scan (ReadSchema / PushedFilters)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_columnar(spark: SparkSession, path: str | list[str], fmt: str = "parquet",

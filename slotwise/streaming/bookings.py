@@ -2,23 +2,25 @@
 
 * ``booking_stream``: file source with an explicit schema (new files are picked up
   as they land; ``availableNow`` processes what is there and stops).
-* Event time (the booking start) and arrival time (ingestion) are separate columns;
-  the watermark bounds how late a row may arrive and how long state is kept.
-* ``daily_counts_to_table``: windowed counts per (day, channel) in update mode; each
-  micro-batch's changed windows are upserted into a table partitioned by day, so a
-  late row corrects its day instead of being appended again.
-* ``dedup_stream``: one row per invitee within the watermark.
+* Event time (the booking start) and arrival time (ingestion) are separate columns. State
+  lives in day-partitioned tables, not in the stream, so a row counts however late it is and
+  however the rows are dealt to files and micro-batches: a stream's result is the batch
+  result.
+* ``daily_counts_to_table``: every micro-batch is appended to a log by booking day and the
+  days it touches are counted again (distinct deliveries) and replaced.
+* ``dedup_stream``: one row per key, the first delivery.
 * ``upsert_stream``: every micro-batch merged into the keyed Silver table.
 
 All checkpoints and outputs live below the shared folder, so a restarted query
-resumes from its last committed batch; the upserts are idempotent when a batch is
-replayed.
+resumes from its last committed batch. Replayed batches and new checkpoints over an
+existing table change nothing: deliveries are counted and merged by their ids.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,31 +28,37 @@ from pyspark.sql.streaming import StreamingQuery
 
 from slotwise import schemas as S
 from slotwise.operators import gold, incremental
+from slotwise.sinks.writers import write_partitioned
 from slotwise.sources import model
 
 DAILY_COUNTS = T.StructType([
     T.StructField("channel", T.StringType()),
     T.StructField("bookings_count", T.LongType()),
-    T.StructField("batch_id", T.LongType()),
+    T.StructField("booking_date", T.DateType()),
+])
+DELIVERIES = T.StructType([
+    T.StructField("delivery_id", T.StringType()),
+    T.StructField("channel", T.StringType()),
     T.StructField("booking_date", T.DateType()),
 ])
 
 
 def events_stream(spark: SparkSession, source: str, schema: T.StructType,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """The driver's ``events`` rows as a file stream (a directory or glob)."""
+                  max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """The driver's ``events`` rows as a file stream (a directory or glob).
+    ``max_bytes_per_trigger`` bounds a micro-batch by size."""
     reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.parquet(source)
 
 
-def document_stream(spark: SparkSession, bronze_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def document_stream(spark: SparkSession, bronze_path: str, max_bytes_per_trigger: int | None = None) -> DataFrame:
     """T1 for webhook documents: JSON lines under ``event_date=`` folders, explicit
     schema, the folder's day taken from the file path (NULL when absent)."""
     reader = spark.readStream.schema(S.BOOKING_EVENT_DOC).option("recursiveFileLookup", "true")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     docs = reader.json(bronze_path)
     day = F.regexp_extract(F.col("_metadata.file_path"), S.EVENT_DATE_PATTERN, 1)
     return docs.withColumn("event_date", F.nullif(day, F.lit("")))
@@ -66,13 +74,26 @@ def silver_events_stream(docs: DataFrame, silver_path: str, checkpoint: str) ->
          .trigger(availableNow=True).start())
 
 
-def booking_stream(events: DataFrame) -> DataFrame:
-    """Enriched bookings with ``event_time`` and ``arrival_time`` as TIMESTAMP (a
-    watermark refuses TIMESTAMP_NTZ); the session zone is UTC."""
-    enriched = gold.enrich(model.booking_facts(events))
+def booking_stream(events: DataFrame, mapping: Mapping[str, str] = S.CHANNEL_URIS) -> DataFrame:
+    """Enriched bookings from the driver's ``events`` columns, with ``event_time`` and
+    ``arrival_time``; ``delivery_id`` names a delivery."""
+    enriched = gold.enrich(model.booking_facts(events), mapping)
     return (enriched
             .withColumn("event_time", F.col("booking_ts").cast("timestamp"))
-            .withColumn("arrival_time", F.col("ingestion_time").cast("timestamp")))
+            .withColumn("arrival_time", F.col("ingestion_time").cast("timestamp"))
+            .withColumn("delivery_id", F.col("event_id").cast("string")))
+
+
+def document_booking_stream(docs: DataFrame, mapping: Mapping[str, str] = S.CHANNEL_URIS) -> DataFrame:
+    """The same from webhook documents (no flattening: one row per document)."""
+    payload = "data.payload"
+    rows = docs.select(
+        F.col("data.event").alias(S.COL_EVENT),
+        F.col(f"{payload}.scheduled_event.event_type").alias(S.COL_EVENT_TYPE),
+        F.col(f"{payload}.scheduled_event.start_time").alias(S.COL_START_TIME),
+        F.try_to_timestamp(F.col("ingestion_time")).alias("arrival_time"),
+        F.col(f"{payload}.uri").alias("delivery_id"))
+    return gold.enrich(rows, mapping).withColumn("event_time", F.col("booking_ts"))
 
 
 def _run(query: StreamingQuery) -> None:
@@ -81,37 +102,44 @@ def _run(query: StreamingQuery) -> None:
         raise RuntimeError(str(query.exception()))
 
 
-def daily_counts_to_table(bookings: DataFrame, table_path: str, checkpoint: str,
-                          lateness: str = "3 days") -> None:
-    """Windowed daily counts per channel, upserted per micro-batch."""
-    counts = (bookings
-              .withWatermark("event_time", lateness)
-              .groupBy(F.window("event_time", "1 day"), "channel")
-              .agg(F.count(F.lit(1)).alias("bookings_count")))
+def daily_counts_to_table(bookings: DataFrame, table_path: str, checkpoint: str, log_path: str | None = None) -> None:
+    """Daily counts per channel, kept current per micro-batch.
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(F.to_date(F.col("window.start")).alias("booking_date"), "channel",
-                            "bookings_count", F.lit(batch_id).cast("bigint").alias("batch_id"))
-        # The running count of a window in a later batch replaces the earlier one.
-        incremental.upsert(batch.sparkSession, rows, table_path, ["booking_date", "channel"],
-                           "booking_date", ["batch_id"], DAILY_COUNTS, key_determines_partition=True)
+    The batch's deliveries are appended to a log partitioned by booking day
+    (``log_path``, by default beside the table); the days in the batch are counted from the
+    log and replace their partitions. Only those days are read. A delivery counts once,
+    however often it was logged."""
+    log_path = log_path or table_path.rstrip("/") + "_log"
 
-    _run(counts.writeStream.outputMode("update").foreachBatch(merge)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.select("delivery_id", "channel", "booking_date").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            days = {r[0] for r in rows.select("booking_date").distinct().collect()}
+            if not days:
+                return
+            write_partitioned(rows, log_path, ["booking_date"], mode="append")
+        finally:
+            rows.unpersist()
+        log = spark.read.schema(DELIVERIES).parquet(log_path).where(incremental.partition_filter("booking_date", days))
+        counts = log.groupBy("booking_date", "channel").agg(F.count_distinct("delivery_id").alias("bookings_count"))
+        write_partitioned(counts.select(*DAILY_COUNTS.fieldNames()), table_path, ["booking_date"])
+
+    _run(bookings.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
 
 
 def dedup_stream(bookings: DataFrame, output_path: str, checkpoint: str,
-                 keys: Sequence[str] = ("invitee_id",), lateness: str = "3 days",
-                 columns: Sequence[str] = ("invitee_id", "channel", "booking_date", S.COL_MEMBER_USER)) -> None:
-    """Drop repeated deliveries of a key arriving within ``lateness`` of each
-    other (state per key is dropped once the watermark passes)."""
-    deduped = (bookings
-               .withWatermark("arrival_time", lateness)
-               .dropDuplicatesWithinWatermark(list(keys))
-               .select(*columns))
-    _run(deduped.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint).option("path", output_path)
-         .trigger(availableNow=True).start())
+                 keys: Sequence[str] = ("invitee_id",),
+                 columns: Sequence[str] = ("invitee_id", "channel", "booking_date", S.COL_MEMBER_USER),
+                 order_by: Sequence[str] = ("arrival_time", "delivery_id")) -> T.StructType:
+    """One row per key, the first delivery, whenever its repetitions arrive. Returns
+    the table's schema (partitioned by booking day, which the key determines)."""
+    names = [c for c in dict.fromkeys([*columns, *order_by]) if c != "booking_date"] + ["booking_date"]
+    rows = bookings.select(*names)
+    upsert_stream(rows, output_path, checkpoint, keys, "booking_date", order_by, rows.schema,
+                  key_determines_partition=True, keep="first")
+    return rows.schema
 
 
 def upsert_stream(rows: DataFrame, table_path: str, checkpoint: str, keys: Sequence[str],

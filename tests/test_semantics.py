@@ -368,14 +368,11 @@ def test_spend_jobs_both_layouts(spark, sf_dir):
     """Raw files + manifest -> Bronze arrays and -> JSON lines; both Silver loads agree."""
     from slotwise.plans import jobs
     from slotwise.session import scratch_path
-    from slotwise.sinks import writers
     from slotwise.sources import model
     from slotwise.sources.tables import read_table
-    raw = model.spend_raw(read_table(spark, sf_dir, "orders"), aligned=True) \
-        .withColumn("file_name", writers.spend_file_name("date"))
-    raw_root, index = scratch_path(spark, "t-raw"), scratch_path(spark, "t-index")
-    writers.write_json_lines(raw, raw_root, "file_name")
-    writers.write_manifest(raw.select("file_name").distinct(), index)
+    from slotwise.plans.ingest_queries import raw_spend_files
+    raw = model.spend_raw(read_table(spark, sf_dir, "orders"), aligned=True)
+    raw_root, index = raw_spend_files(spark, sf_dir)
     arrays, lines = scratch_path(spark, "t-arrays"), scratch_path(spark, "t-lines")
     missing = jobs.bronze_spend_job(spark, raw_root, index, arrays)
     n = jobs.ingest_spend_lines_job(spark, raw_root, index, lines)
@@ -386,7 +383,7 @@ def test_spend_jobs_both_layouts(spark, sf_dir):
     # Silver from the lines layout equals cleaning the raw records directly.
     cols = ["date", "spend_date", "channel", "spend"]
     tb = spark.read.schema(S.FACT_MARKETING).parquet(b).select(*cols)
-    direct = spend.clean_spend(raw.drop("file_name", "position")).select(*cols)
+    direct = spend.clean_spend(raw.drop("position")).select(*cols)
     assert rows_b == direct.count() and tb.exceptAll(direct).count() == 0
     assert 0 < rows_a <= 3 * direct.select("date").distinct().count()
 
@@ -436,20 +433,14 @@ def test_gold_job_booking_grain_on_flattened_events(spark, sf_dir):
 def test_cli_stream_daily_and_bronze_spend(spark, sf_dir, capsys):
     from slotwise import cli
     from slotwise.session import scratch_path
-    from slotwise.sinks import writers
-    from slotwise.sources import model
-    from slotwise.sources.tables import read_table
     table, ckpt = scratch_path(spark, "cli-daily"), scratch_path(spark, "cli-ckpt")
     assert cli.main(["stream-daily", f"{sf_dir}/events*.parquet", table, ckpt]) == 0
     from slotwise.streaming.bookings import DAILY_COUNTS
     from slotwise.plans.batch_queries import enriched_bookings
     assert spark.read.schema(DAILY_COUNTS).parquet(table).agg(F.sum("bookings_count")).first()[0] == \
         enriched_bookings(spark, sf_dir).count()
-    raw = model.spend_raw(read_table(spark, sf_dir, "orders"), aligned=True) \
-        .withColumn("file_name", writers.spend_file_name("date"))
-    raw_root, index = scratch_path(spark, "cli-raw"), scratch_path(spark, "cli-index")
-    writers.write_json_lines(raw, raw_root, "file_name")
-    writers.write_manifest(raw.select("file_name").distinct(), index)
+    from slotwise.plans.ingest_queries import raw_spend_files
+    raw_root, index = raw_spend_files(spark, sf_dir)
     assert cli.main(["bronze-spend", raw_root, index, scratch_path(spark, "cli-bronze")]) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["days_missing_a_company"] >= 0
 

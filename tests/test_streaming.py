@@ -26,7 +26,7 @@ def _schema(spark, folder):
     return spark.read.parquet(folder).schema
 
 
-def test_late_rows_within_and_beyond_the_watermark(spark):
+def test_late_rows_count_whenever_they_arrive(spark):
     src = scratch_path(spark, "stream-src").replace("file:", "")
     table, ckpt = scratch_path(spark, "stream-table"), scratch_path(spark, "stream-ckpt")
     _events_file(src, "a.parquet", [(1, dt.datetime(2024, 1, 10, 9), 7, "click", 1.0, '{"k": 1}'),
@@ -34,34 +34,59 @@ def test_late_rows_within_and_beyond_the_watermark(spark):
     schema = _schema(spark, src)
 
     def run():
-        events = stream.events_stream(spark, src, schema, max_files_per_trigger=1)
-        stream.daily_counts_to_table(stream.booking_stream(events), table, ckpt, lateness="3 days")
+        events = stream.events_stream(spark, src, schema)
+        stream.daily_counts_to_table(stream.booking_stream(events), table, ckpt)
 
     run()
-    # Second delivery: one row 9 days late (beyond the 3-day watermark), one a day
-    # late (within it), one more on the open day.
+    # Second delivery: one row 9 days late, one a day late, one more on the same day.
     _events_file(src, "b.parquet", [(3, dt.datetime(2024, 1, 1, 9), 7, "click", 1.0, '{"k": 1}'),
                                     (4, dt.datetime(2024, 1, 9, 9), 7, "click", 1.0, '{"k": 1}'),
                                     (5, dt.datetime(2024, 1, 10, 20), 9, "click", 1.0, '{"k": 1}')])
     run()
     got = {(str(r.booking_date), r.channel): r.bookings_count
            for r in spark.read.schema(stream.DAILY_COUNTS).parquet(table).collect()}
-    assert got == {("2024-01-10", "facebook"): 3, ("2024-01-09", "facebook"): 1}
+    assert got == {("2024-01-10", "facebook"): 3, ("2024-01-09", "facebook"): 1, ("2024-01-01", "facebook"): 1}
     # A run with nothing new changes nothing (the checkpoint holds the progress).
     run()
-    assert spark.read.schema(stream.DAILY_COUNTS).parquet(table).count() == 2
+    assert spark.read.schema(stream.DAILY_COUNTS).parquet(table).count() == 3
+    # A new checkpoint over the table reads everything again and counts nothing twice.
+    _events_file(src, "c.parquet", [(6, dt.datetime(2024, 1, 10, 21), 9, "click", 1.0, '{"k": 1}')])
+    events = stream.events_stream(spark, src, schema)
+    stream.daily_counts_to_table(stream.booking_stream(events), table, scratch_path(spark, "stream-ckpt"))
+    got = {(str(r.booking_date), r.channel): r.bookings_count
+           for r in spark.read.schema(stream.DAILY_COUNTS).parquet(table).collect()}
+    assert got == {("2024-01-10", "facebook"): 4, ("2024-01-09", "facebook"): 1, ("2024-01-01", "facebook"): 1}
 
 
-def test_stream_dedup_within_watermark(spark):
+def test_streams_equal_the_batch_whatever_the_file_layout(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from slotwise.operators import gold
+    from slotwise.sources import model
+    from slotwise.sources.tables import read_table
+    events = read_table(spark, sf_dir, "events")
+    src = scratch_path(spark, "six-files").replace("file:", "")
+    events.repartition(6, F.xxhash64("event_id")).write.parquet(src)
+    rows = gold.enrich(model.booking_facts(events))
+    for limit in (None, 1):                     # all files in one batch, one file per batch
+        bookings = stream.booking_stream(stream.events_stream(spark, src, events.schema, limit))
+        table, out = scratch_path(spark, "t-daily"), scratch_path(spark, "t-dedup")
+        stream.daily_counts_to_table(bookings, table, scratch_path(spark, "c-daily"))
+        total = spark.read.schema(stream.DAILY_COUNTS).parquet(table).agg(F.sum("bookings_count")).first()[0]
+        assert total == rows.count()
+        schema = stream.dedup_stream(bookings, out, scratch_path(spark, "c-dedup"))
+        assert spark.read.schema(schema).parquet(out).count() == rows.select("invitee_id").distinct().count()
+
+
+def test_stream_dedup_keeps_the_first_delivery(spark):
     src = scratch_path(spark, "dedup-src").replace("file:", "")
     out, ckpt = scratch_path(spark, "dedup-out"), scratch_path(spark, "dedup-ckpt")
     # Same user, type and day -> one invitee, delivered twice in two files.
     _events_file(src, "a.parquet", [(1, dt.datetime(2024, 1, 10, 9), 7, "click", 1.0, '{"k": 1}')])
     schema = _schema(spark, src)
-    stream.dedup_stream(stream.booking_stream(stream.events_stream(spark, src, schema, 1)), out, ckpt)
+    stream.dedup_stream(stream.booking_stream(stream.events_stream(spark, src, schema)), out, ckpt)
     _events_file(src, "b.parquet", [(2, dt.datetime(2024, 1, 10, 15), 7, "click", 1.0, '{"k": 1}'),
                                     (3, dt.datetime(2024, 1, 10, 15), 8, "click", 1.0, '{"k": 1}')])
-    stream.dedup_stream(stream.booking_stream(stream.events_stream(spark, src, schema, 1)), out, ckpt)
+    stream.dedup_stream(stream.booking_stream(stream.events_stream(spark, src, schema)), out, ckpt)
     ids = sorted(r.invitee_id for r in spark.read.parquet(out).collect())
     assert ids == ["7-click-20240110", "8-click-20240110"]
 
@@ -92,7 +117,7 @@ def test_dedup_merge_keeps_the_first_delivery_across_batches(spark):
                         T.StructField("booking_date", T.DateType())])
 
     def run():
-        facts = model.booking_facts(stream.events_stream(spark, src, schema, 1))
+        facts = model.booking_facts(stream.events_stream(spark, src, schema))
         rows = facts.select("invitee_id", "event_id", F.to_date(S.COL_START_TIME).alias("booking_date"))
         stream.upsert_stream(rows, table, ckpt, ["invitee_id"], "booking_date", ["event_id"], out,
                              key_determines_partition=True, keep="first")
