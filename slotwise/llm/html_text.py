@@ -112,7 +112,8 @@ class Page:
         element of ``stop`` stands between."""
         for i in range(len(self._open) - 1, -1, -1):
             if self._open[i][0] in names:
-                self._flush()
+                if any(tag in BLOCKS for tag, _, _ in self._open[i:]):
+                    self._flush()
                 del self._open[i:]
                 return
             if self._open[i][0] in stop:

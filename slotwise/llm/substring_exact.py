@@ -255,6 +255,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         _pieces, "h long, k1 long, k2 long, place long, lo long, hi long"), "pieces")
     shared = found.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1") \
         .select("h", (F.col("df") > GROUP).alias("hot"))
+    shared = cut(shared, "shared-pieces")       # a plain side of the join: Spark can split a very common piece
     held = found.join(shared, "h").groupBy("k1", "k2").agg(
         F.collect_list(F.struct("h", "place", "lo", "hi", "hot")).alias("held"))
     contexts = docs.select("k1", "k2", "text").join(held, ["k1", "k2"]).select("k1", "k2", "text", "held") \

@@ -45,7 +45,7 @@ MAX_LABELLED = 24_000
 LANDMARKS, CLEAN_LANDMARKS = 96, 8
 CANDIDATES = 3_000
 COVER = 4
-DECAY, SPAN, POWER, FLOOR = 0.6, 6, 4, 0.55
+DECAY, SPAN, POWER, FLOOR = 0.6, 6, 3, 0.55
 THRESHOLD = 0.3
 PREFIXES = (3, 4, 5, 6, 7)
 LONGEST = 16
@@ -68,9 +68,12 @@ def words(text: str | None) -> set[str]:
 
 def units(word: str) -> list[str]:
     """The strings a word is compared by: itself and its prefixes; of a word longer than
-    ``LONGEST``, overlapping windows that cover it."""
+    ``LONGEST``, overlapping windows that cover it; and the word without inner signs."""
     own = [word] if len(word) <= LONGEST else \
         [word[k:k + LONGEST] for k in range(0, len(word) - LONGEST // 2, LONGEST // 2)]
+    if not word.isalnum():
+        letters = "".join(filter(str.isalnum, word))
+        own += [letters[:LONGEST]] + [letters[:n] for n in PREFIXES if n < len(letters)]
     return own + [word[:n] for n in PREFIXES if n < len(word)]
 
 
