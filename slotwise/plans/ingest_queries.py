@@ -128,7 +128,7 @@ def raw_spend_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 
 # ----------------------------------------------------------------- queries
-@register("event_flatten", covers="S5 S7 E14 X1 X2 X3 X4 X5 P3 K2 G7",
+@register("event_flatten", covers="S7 E14 X1 X2 X3 X4 X5 P3 K2 G7",
           oracle=with_ctes([], f"SELECT {', '.join(FLAT_COLUMNS)} FROM flat", [_DOCS, _FLAT]))
 def q_event_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze webhook documents written as JSON and flattened into fact_events."""
@@ -176,7 +176,7 @@ def q_spend_json_lines_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("date", "spend_date", "channel", "spend")
 
 
-@register("manifest_load", covers="S1 S2 S3 S4 S10 K3 F5 J5 E3 G6", oracle=with_ctes(["spend_aligned_raw"], """
+@register("manifest_load", covers="S1 S2 S3 S4 S10 F5 J5 E3 G6", oracle=with_ctes(["spend_aligned_raw"], """
 SELECT date, date AS spend_date, replace(channel, '_paid_ads', '') AS channel, spend
 FROM first_raw_aligned WHERE spend IS NOT NULL""", [_FIRST_RAW_ALIGNED]))
 def q_manifest_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,7 +228,7 @@ mcpb AS (
 )"""
 
 
-@register("medallion_leaderboard", covers="S1 S2 S5 S6 S7 S8 X1 K1 K4 K5 K6 K7 A8 G2 G3 G6 G7",
+@register("medallion_leaderboard", covers="S1 S2 S6 S7 S8 X1 K3 K1 K4 K5 K6 K7 A8 G2 G3 G6 G7",
           oracle=with_ctes(["dim", "spend_aligned_raw"], """
 SELECT *, CAST(DENSE_RANK() OVER (ORDER BY total_bookings_count DESC) AS INTEGER) AS rank_by_volume,
   CAST(DENSE_RANK() OVER (ORDER BY cpb ASC NULLS LAST) AS INTEGER) AS rank_by_cpb
@@ -272,7 +272,7 @@ def q_daily_bookings_booking_grain(spark: SparkSession, sf_dir: str) -> DataFram
     return gold.daily_bookings_by_channel(gold.enrich(fact))
 
 
-@register("stream_silver_events", covers="T1 S5 S7 X1 X2 X3 X4 K4 G7",
+@register("stream_silver_events", covers="T1 S7 X1 X2 X3 X4 K4 G7",
           oracle=with_ctes([], f"SELECT {', '.join(FLAT_COLUMNS)} FROM flat", [_DOCS, _FLAT]))
 def q_stream_silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze webhook documents ingested as a stream, flattened per micro-batch into
@@ -319,7 +319,7 @@ def q_fact_events_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.column_profile(fact_events(spark, sf_dir).select(*FLAT_COLUMNS))
 
 
-@register("spend_ingest_lines", covers="S1 S2 S3 K2 K3 F8 P5", oracle=with_ctes(["spend_aligned_raw"], """
+@register("spend_ingest_lines", covers="S1 S2 S3 K2 F8 P5", oracle=with_ctes(["spend_aligned_raw"], """
 SELECT date, channel, spend, date AS spend_date FROM spend_aligned_raw"""))
 def q_spend_ingest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The older spend ingest: every record of every listed day file, spend as a

@@ -89,7 +89,7 @@ def q_stream_dedup_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_columnar(spark, table, schema=schema)
 
 
-@register("stream_daily_from_documents", covers="T1 T2 T4 T5 S5", oracle=with_ctes([], """
+@register("stream_daily_from_documents", covers="T1 T2 T4 T5", oracle=with_ctes([], """
 SELECT CAST(ts AS DATE) AS booking_date,
   CASE event_type WHEN 'click' THEN 'facebook' WHEN 'view' THEN 'youtube' WHEN 'purchase' THEN 'tiktok' ELSE 'others' END
     AS channel,
