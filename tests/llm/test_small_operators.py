@@ -330,10 +330,10 @@ def test_large_groups_order_by_digits_like_pairs():
 # ------------------------------------------------------------------ passages
 def test_compact_windows_cover_each_subsequence_once():
     rng = np.random.RandomState(0)
-    for n, kinds in ((46, 1 << 40), (60, 9), (140, 1 << 40)):
+    for n, kinds in ((46, 1 << 38), (60, 9), (140, 1 << 38)):
         v = rng.randint(0, kinds, n).astype(np.uint64)
         seen = {}
-        for left, at, right in zip(*passages.compact_windows(v)):
+        for left, at, right in zip(*passages.compact_windows(v[None, :] << np.uint64(24))[0]):
             for s in range(left, at + 1):
                 for e in range(max(at, s + passages.WIDTH - 1), right + 1):
                     assert (s, e) not in seen
