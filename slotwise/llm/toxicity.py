@@ -45,12 +45,14 @@ MAX_LABELLED = 24_000
 LANDMARKS, CLEAN_LANDMARKS = 96, 8
 CANDIDATES = 3_000
 COVER = 4
-DECAY, SPAN, POWER, FLOOR = 0.6, 6, 3, 0.55
+DECAY, SPAN, POWER, FLOOR = 0.6, 6, 3, 0.6
 THRESHOLD = 0.3
+#: Weight of the squared norm in the SVM's objective (mean loss).
+RIDGE = 3e-5
 PREFIXES = (3, 4, 5, 6, 7)
 LONGEST = 16
 #: Words a Python worker remembers, and rows of landmark values among them.
-CACHE_WORDS, CACHE_ROWS = 400_000, 60_000
+CACHE_WORDS, CACHE_ROWS = 700_000, 120_000
 
 _EDGE = string.punctuation + "«»“”„‘’…¡¿–—"
 _SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
@@ -170,8 +172,6 @@ class Pooler:
         self.rows = np.zeros((0, len(self.marks.strings)), dtype=np.float32)
 
     def _learn(self, fresh: list[str]) -> None:
-        if len(self.known) + len(fresh) > CACHE_WORDS or len(self.rows) > CACHE_ROWS:
-            self._forget()
         spelt = [units(s) for s in fresh]
         new = list({u for us in spelt for u in us} - self.strings.keys())
         values = self.marks.values(new)
@@ -194,12 +194,14 @@ class Pooler:
         out = np.zeros((len(texts), len(self.marks.strings)), dtype=np.float32)
         for k in range(0, len(texts), 100):
             bags = [words(t) for t in texts[k:k + 100]]
-            fresh = set().union(*bags) - self.known.keys()
-            if fresh:
-                for part in np.array_split(np.array(sorted(fresh), dtype=object), -(-len(fresh) // 20_000)):
-                    self._learn([s for s in part if s not in self.known])
-                if any(s not in self.known for bag in bags for s in bag):   # the memory was emptied meanwhile
-                    self._learn(sorted({s for bag in bags for s in bag if s not in self.known}))
+            seen = set().union(*bags)
+            fresh = seen - self.known.keys()
+            if len(self.known) + len(fresh) > CACHE_WORDS or len(self.rows) > CACHE_ROWS:
+                self._forget()
+                fresh = seen
+            fresh = list(fresh)
+            for a in range(0, len(fresh), 20_000):
+                self._learn(fresh[a:a + 20_000])
             for i, bag in enumerate(bags):
                 rows = [r for r in map(self.known.__getitem__, bag) if r >= 0]
                 if rows:
@@ -220,7 +222,7 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * f + self.offset, -50, 50)))
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 30) -> tuple[np.ndarray, float]:
+def fit_svm(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, rounds: int = 30) -> tuple[np.ndarray, float]:
     """Linear SVM with squared hinge loss by Newton steps; both classes weigh alike in
     the square root of their size."""
     n, d = x.shape
@@ -228,7 +230,7 @@ def fit_svm(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 30)
     s = np.where(y > 0, 1.0, -1.0)
     share = np.where(y > 0, np.sqrt((y <= 0).sum() / max(1, (y > 0).sum())), 1.0) / n
     w = np.zeros(d + 1)
-    reg = np.full(d + 1, ridge / 10)
+    reg = np.full(d + 1, ridge)
     reg[-1] = 1e-8
     for _ in range(rounds):
         live = s * (xb @ w) < 1
