@@ -365,6 +365,30 @@ def test_very_common_passages_go_through_salted_runs(spark, monkeypatch):
     assert all(out[k].class_id == 0 and out[k].n_links > 0 for k in range(120)) and out[500].n_links == 0
 
 
+def test_passages_of_followers_whose_leader_has_too_few_words(spark):
+    rows = []
+    for k in range(12):
+        shared = text_of(3000 + k, 60, 100_000)
+        rows.append((10 * k, " ".join(text_of(4000 + k, 80, 100_000) + shared[:45] + text_of(5000 + k, 40, 100_000))))
+        rows += [(10 * k + m, " ".join(text_of(6000 + 9 * k + m, 50, 100_000) + shared + text_of(8000 + 9 * k + m, 70, 100_000)))
+                 for m in (1, 2)]
+    out = {r.doc_id: r for r in passages.passage_classes(documents(spark, rows)).collect()}
+    assert [k for k in range(12) if out[10 * k + 2].class_id != 10 * k + 1 or out[10 * k].n_links] == []
+
+
+def test_open_runs_of_several_passages_equal_all_pairs(spark, monkeypatch):
+    """A line of 30 words in all documents; passages around it in some; blocks and salted runs."""
+    monkeypatch.setattr(passages, "BLOCK", 7)
+    line, rows, want = text_of(90, 30, 100_000), [], {}
+    for k in range(90):
+        group = k // 3 if k >= 30 else None                  # three documents share a passage
+        before = text_of(9000 + group, 25, 100_000) if group is not None else text_of(9500 + k, 25, 100_000)
+        rows.append((k, " ".join(text_of(20_000 + k, 60, 100_000) + before + line + text_of(30_000 + k, 60, 100_000))))
+        want[k] = 3 * group if group is not None else k
+    out = passages.passage_classes(documents(spark, rows)).collect()
+    assert {r.doc_id: r.class_id for r in out} == want
+
+
 # ------------------------------------------------------------------ html
 PAGE = ("<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var x='</p>';</script></head><body>"
         "<nav><ul><li><a href='/a'>Menu</a></li></ul></nav><div class='ad-slot'>Buy</div>%s"
