@@ -3,13 +3,16 @@
 1. Each page is parsed into containers (body, main, article, section, div, table cells) and
    text blocks. A container scores the share of the page's text (links discounted) that lies in
    it. Containers inside an article don't compete: an article is one piece.
-2. A container votes for its generalised path (tags and classes without digits, from the body
-   down). Spark sums the votes per host and path: a path wins on a host if the pages that have
-   it hold at least ``WINS`` of their text there on average, and at least ``COMMON`` of the host's pages
-   have it. Votes leave each task already summed, so a host with a third of all pages is
+2. Every page votes for each generalised path it has (tags and classes without digits, from the
+   body down) with the share that all places of the path hold, however small. Spark sums the
+   votes per host and path: a path wins on a host if the pages that have it hold at least
+   ``WINS`` of their text there on average, and at least ``COMMON`` of the host's pages have it. Other
+   paths that so many pages have, neither around nor below a winner, are outside. Votes leave each task already summed, so a host with a third of all pages is
    no hot key.
 3. Each page is read again: its text is that of the blocks below the deepest winning path it
    has (all places of that path, in page order); a page without one uses its own best container.
+   A winner is widened to its parent while that adds blocks that are neither outside nor mostly
+   links, and further up while less than ``WINS`` of the page's text not outside is held.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are
 left out by tag, role and class name wherever they stand. Character references are decoded,
@@ -36,8 +39,6 @@ from slotwise.llm.common import cut, query, table
 
 #: Least mean share of a winning path, and least share of the host's pages that have it.
 WINS, COMMON = 0.8, 0.05
-#: Least share of a page's text for a container to vote.
-VOTES = 0.5
 
 # Element names of HTML by their part in a page.
 CONTAINERS = frozenset("body main article section div td center".split())
@@ -192,11 +193,32 @@ class Page:
         good = [i for i, share in self.shares().items() if share >= WINS]
         return self.paths[max(good, key=lambda i: (self.paths[i].count("/"), -i))] if good else "body"
 
-    def text(self, path: str) -> str:
-        below = [False] * len(self.paths)
+    def below(self, paths: set[str]) -> list[bool]:
+        """Whether each container is one of ``paths`` or lies in one."""
+        out = [False] * len(self.paths)
         for i, p in enumerate(self.paths):
-            below[i] = p == path or (i > 0 and below[self.parents[i]])
-        return " ".join(t for at, t, _ in self.blocks if below[at])
+            out[i] = p in paths or (i > 0 and out[self.parents[i]])
+        return out
+
+    def text(self, path: str, outside: set[str] | None = None) -> str:
+        """The blocks below ``path``; with ``outside``, widened upwards where it misses some that
+        aren't there."""
+        held, out = self.below({path}), self.below(outside or set())
+        if outside is None:
+            return " ".join(t for at, t, _ in self.blocks if held[at])
+        rest = [(at, len(t) - 2 * links) for at, t, links in self.blocks if not held[at] and not out[at] and 2 * links < len(t)]
+        enough = WINS * (sum(max(0, len(t) - 2 * links) for at, t, links in self.blocks if held[at]) + sum(w for _, w in rest))
+        top = path
+        while rest and top != "body":
+            up = top.rsplit("/", 1)[0]
+            wider = self.below({up})
+            left = [(at, w) for at, w in rest if not wider[at]]
+            have = sum(max(0, len(t) - 2 * links) for at, t, links in self.blocks if wider[at] and (held[at] or not out[at]))
+            if len(left) == len(rest) and have >= enough:
+                break
+            top, rest = up, left
+        wider = self.below({top})
+        return " ".join(t for at, t, _ in self.blocks if held[at] or (wider[at] and not out[at]))
 
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,11 +234,10 @@ def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             page = Page(html or "")
-            strongest: dict[str, float] = {}
+            shares: dict[str, float] = defaultdict(float)      # places of one path never hold each other
             for i, share in page.shares().items():
-                if share >= VOTES:
-                    strongest[page.paths[i]] = max(share, strongest.get(page.paths[i], 0.0))
-            for path, share in strongest.items():
+                shares[page.paths[i]] += share
+            for path, share in shares.items():
                 held = sums[host, path]
                 held[0] += 1
                 held[1] += share
@@ -229,26 +250,47 @@ def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for html, winners in zip(batch.column("html").to_pylist(), batch.column("winners").to_pylist()):
+        for html, winners, outside in zip(*(batch.column(c).to_pylist() for c in ("html", "winners", "outside"))):
             page = Page(html or "")
             have = set(page.paths)
             path = next((w for w in winners or [] if w in have and (w != "body" or len(have) == 1)), None)
-            texts.append(page.text(path or page.best()))
+            texts.append(page.text(path, have.intersection(outside or ())) if path else page.text(page.best()))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
              pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, winners): the winning paths of each host, deepest first. ``pages``: host, html."""
+    """(host, winners, outside): the winning paths of each host, deepest first, and its common
+    paths that neither hold a winner nor lie in one (outermost only). ``pages``: host, html."""
     votes = pages.select("host", "html").mapInArrow(_vote, "host string, path string, n long, share double") \
         .groupBy("host", "path").agg(F.sum("n").alias("n"), F.sum("share").alias("share"))
     votes = cut(votes, "html-votes")
     most = votes.groupBy("host").agg(F.max("n").alias("pages"))       # every voting page votes for its body
-    return votes.alias("v").join(most.alias("m"), F.col("v.host").eqNullSafe(F.col("m.host"))) \
-        .where((F.col("share") >= WINS * F.col("n")) & (F.col("n") >= COMMON * F.col("pages"))) \
-        .select("v.host", F.struct((-F.size(F.split("path", "/"))).alias("depth"), (-F.col("n")).alias("n"), "path").alias("w")) \
-        .groupBy("host").agg(F.sort_array(F.collect_list("w"))["path"].alias("winners"))
+    common = votes.alias("v").join(most.alias("m"), F.col("v.host").eqNullSafe(F.col("m.host"))) \
+        .where(F.col("n") >= COMMON * F.col("pages")) \
+        .select("v.host", "n", "path", (F.col("share") >= WINS * F.col("n")).alias("wins"))
+    w = F.struct((-F.size(F.split("path", "/"))).alias("depth"), (-F.col("n")).alias("n"), "path")
+    per_host = common.groupBy("host").agg(F.sort_array(F.collect_list(F.when(F.col("wins"), w)))["path"].alias("winners"),
+                                          F.collect_list(F.when(~F.col("wins"), F.col("path"))).alias("others"))
+    return per_host.mapInArrow(_mark, "host string, winners array<string>, outside array<string>")
+
+
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        marked = []
+        for winners, others in zip(batch.column("winners").to_pylist(), batch.column("others").to_pylist()):
+            wins = set(winners)
+            around = {w[:k] for w in wins for k, c in enumerate(w) if c == "/"}
+            deep = {w for w in wins if w not in around}           # no winner below
+            outside: list[str] = []
+            for path in sorted(others, key=lambda p: p.count("/")):
+                ups = {path[:k] for k, c in enumerate(path) if c == "/"}
+                if path not in around and not ups & deep and not ups.intersection(outside):
+                    outside.append(path)
+            marked.append(outside)
+        yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("winners"), pa.array(marked, pa.list_(pa.string()))],
+                                         ["host", "winners", "outside"])
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -257,11 +299,11 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1))
     narrow = pages.select(F.col(id_col).cast("long").alias("page_id"), url.alias("url"),
                           F.col(html_col).cast("string").alias("html"), host.alias("host"))
-    # at most 1 / COMMON + 1 paths per depth and host; the planner sees the real size and
+    # at most 1 / COMMON times the paths of a page per host; the planner sees the real size and
     # sends the table to all tasks or splits crowded hosts at run time
-    winners = cut(host_paths(narrow), "html-winners").select(F.col("host").alias("of"), "winners")
+    winners = cut(host_paths(narrow), "html-winners").select(F.col("host").alias("of"), "winners", "outside")
     return narrow.join(winners, narrow["host"].eqNullSafe(winners["of"]), "left") \
-        .select("page_id", "url", "html", "winners") \
+        .select("page_id", "url", "html", "winners", "outside") \
         .mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
 
 

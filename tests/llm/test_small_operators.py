@@ -429,6 +429,23 @@ def test_html_consensus_beats_an_odd_page(spark):
     assert got[9] == "short story"
 
 
+def test_html_box_that_fills_few_pages_does_not_cut_the_others(spark):
+    page = "<body><div class='content'>%s<div class='section'><p>%s</p></div></div><div class='box'><p>tip</p></div></body>"
+    rows = [(k, "https://s.example.org/x", page % ("<p>long article</p>" * 40, "section " * 16), None, None) for k in range(18)]
+    rows += [(k, "https://s.example.org/x", page % ("", "section " * 90), None, None) for k in (18, 19)]
+    got = {r.page_id: r.text for r in html_text.main_text(pages(spark, rows)).collect()}
+    assert got[0] == " ".join(["long article"] * 40 + ["section"] * 16) and got[18] == " ".join(["section"] * 90)
+
+
+def test_html_winner_is_widened_by_blocks_that_are_not_outside(spark):
+    page = "<body><div class='wrap'>%s<div class='story'><p>%s</p></div><div class='box'><p>tip</p></div></div></body>"
+    rows = [(k, "https://w.example.org/x", page % ("", "long story " * 30), None, None) for k in range(19)]
+    rows.append((19, "https://w.example.org/y", page % ("<p>before the story</p>" * 20, "long story " * 5), None, None))
+    got = {r.page_id: r.text for r in html_text.main_text(pages(spark, rows)).collect()}
+    assert got[0] == " ".join(["long story"] * 30)
+    assert got[19] == " ".join(["before the story"] * 20 + ["long story"] * 5)
+
+
 # ------------------------------------------------------------------ toxicity
 def toxic_corpus(n: int = 400):
     rng = np.random.RandomState(11)
