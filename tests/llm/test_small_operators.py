@@ -530,6 +530,24 @@ def test_licences_found_confirmed_and_unknown(spark):
     assert not any(out[k].families for k, _ in filler) and out[1].probability > 0.5 and out[6].probability == 0
 
 
+def test_licences_of_wrapped_notices_and_of_two_families(spark):
+    filler = [(100 + k, "\n\n".join(" ".join(text_of(k * 7 + j, 30, 200)) for j in range(4))) for k in range(60)]
+    bsd = ["Redistribution and use in source and binary forms, with or without", "modification, are permitted provided that the following conditions", "are met:"]
+    isc = ["Permission to use, copy, modify, and/or distribute this software for any", "purpose with or without fee is hereby granted."]
+    rows = [(1, "Copyright 2020 A. Author. All rights reserved.\n\n" + "\n".join(bsd)),
+            (2, "/*\r\n * intro\r\n *\r\n * " + "\r\n * ".join(isc) + "\r\n */"),
+            (3, "# Licensed under the MIT License or the Apache License,\n# Version 2.0"),
+            (4, "Licensed under the MIT License or the Apache License, Version 2.0"),
+            (5, "REM " + "\nREM ".join(bsd)),
+            (6, "Licensed under the GNU Lesser General Public License, version 2."), (7, "Licensed under CC BY-SA 4.0."),
+            (8, "SPDX-License-Identifier: MIT"), (9, "Licensed under the GNU Affero General Public License,\nversion 3.")]
+    out = {r.doc_id: r.families for r in licences.scan_licences(documents(spark, rows + filler)).collect()}
+    both = ["Apache-2.0", "MIT"]
+    assert {k: out[k] for k, _ in rows} == {1: ["BSD", "Proprietary"], 2: ["ISC"], 3: both, 4: both, 5: ["BSD"], 6: ["LGPL"],
+                                            7: ["CC-BY-SA"], 8: ["MIT"], 9: ["AGPL"]}
+    assert not any(out[k] for k, _ in filler)
+
+
 def test_licences_empty_table_and_native_plan(spark):
     assert licences.scan_licences(documents(spark, [])).count() == 0
 
