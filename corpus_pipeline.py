@@ -4,11 +4,12 @@ as Parquet and read again as the next one's input.
 toxicity           rows that the model rejects go
 exact dedup        of equal texts (A-Z lower-cased) the row with the largest id stays
 MinHash near-dedup of documents similar to 0.8 or more (5-word shingles) one stays
-mixing             all rows, in the order that gives each source its target weight
-byte-level BPE     doc_id, number of tokens, digests of the ids and of what they decode to
+mixing             all rows, in the order that gives each source its target weight, with their
+                   position in it (files and their splits don't keep an order)
+byte-level BPE     doc_id, number of tokens, digests of the ids and of what they decode to, position
 
 Nulls, empty and long texts, repeated rows and empty tables: as each operator defines them.
-All stages but the last return the columns of documents.
+All stages but the last return the columns of documents, mixing the position too.
 """
 
 from __future__ import annotations
@@ -34,12 +35,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs)
+    return mixing.mix(docs, position_col="position")
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return bpe.token_digests(docs)
+    return bpe.token_digests(docs, place_col="position")
 
 
 STAGES = [

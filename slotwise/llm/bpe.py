@@ -27,7 +27,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotwise.llm.common import query, table
@@ -142,8 +142,8 @@ def default_vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
-def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def _narrow(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *more)
 
 
 def _sub(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
@@ -196,9 +196,10 @@ def decode_documents(encoded: DataFrame, ranks_path: str | None = None, pattern:
 
 
 def token_digests(docs: DataFrame, ranks_path: str | None = None, pattern: str | None = None,
-                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                  id_col: str = "doc_id", text_col: str = "text", place_col: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (ids as little-endian unsigned 32-bit integers),
-    decoded_sha256 (the bytes that the ids decode to). Encodes and decodes in one pass, so
+    decoded_sha256 (the bytes that the ids decode to); with ``place_col`` also that column, as a
+    whole number named position. Encodes and decodes in one pass, so
     the id lists never leave the task."""
     path, pat = ranks_path or default_vocabulary()[0], pattern or default_vocabulary()[1]
 
@@ -213,10 +214,13 @@ def token_digests(docs: DataFrame, ranks_path: str | None = None, pattern: str |
                     text_sha.append(hashlib.sha256(bpe.decode_bytes(ids.tolist())).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()),
-                 pa.array(text_sha, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                 pa.array(text_sha, pa.string()), *(batch.column(c) for c in place)],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *place])
 
-    return _narrow(docs, id_col, text_col).mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    place = ["position"] if place_col else []
+    narrow = _narrow(docs, id_col, text_col, *(F.col(place_col).cast("long").alias(c) for c in place))
+    return narrow.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+                             + "".join(f", {c} long" for c in place))
 
 
 @query("op5_byte_bpe")

@@ -147,10 +147,14 @@ def place(docs: DataFrame, weights: dict[str | None, int] | None = None, block:
 
 
 def mix(docs: DataFrame, weights: dict[str | None, int] | None = None, block: int = BLOCK, seed: int = 7,
-        id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
-    """All rows in mixing order: ranges of positions over the partitions, in order within."""
-    placed = place(docs, weights, block, seed, id_col, source_col)
-    return placed.repartitionByRange("position").sortWithinPartitions("position").select("row.*")
+        id_col: str = "doc_id", source_col: str = "source", position_col: str | None = None) -> DataFrame:
+    """All rows in mixing order: ranges of positions over the partitions, in order within;
+    with ``position_col`` also the position (instead of a column of that name)."""
+    placed = place(docs, weights, block, seed, id_col, source_col).repartitionByRange("position").sortWithinPartitions("position")
+    if position_col is None:
+        return placed.select("row.*")
+    return placed.select(*(F.col("row")[c].alias(c) for c in docs.columns if c.lower() != position_col.lower()),
+                         F.col("position").alias(position_col))
 
 
 @query("op1_mixing")

@@ -183,6 +183,21 @@ def test_mixing_windows_lags_and_rows(spark):
     assert mixed.columns == documents(spark, []).columns and mixed.count() == len(rows)
 
 
+def test_mixing_order_reaches_the_end_of_the_pipeline(spark):
+    import corpus_pipeline
+    from slotwise.llm.common import cut
+    sources = ["a"] * 900 + ["b"] * 400 + ["c"] * 100
+    docs = documents(spark, [(i, f"text {i}", s) for i, s in enumerate(sources)])
+    for name, stage in corpus_pipeline.STAGES[3:]:
+        docs = cut(stage(spark, docs, ""), "t-" + name.replace(" ", "-"))
+    order = docs.orderBy("position").select("doc_id", "position").collect()
+    assert [r.position for r in order] == list(range(len(sources))) and len({r.doc_id for r in order}) == len(sources)
+    weights, at = {"a": 30, "b": 20, "c": 10}, Counter()    # square roots of the rows
+    for n, r in enumerate(order[:320], 1):                  # all sources last at least so long
+        at[sources[r.doc_id]] += 1
+        assert all(abs(at[s] - n * w / 60) < 2 * mixing.BLOCK for s, w in weights.items())
+
+
 def test_mixing_schedule_equals_step_by_step():
     """The periodic schedule against a block-by-block earliest-deadline-first run."""
     rows, weights = {"a": 37, "b": 61, "c": 11}, {"a": 2, "b": 3, "c": 2}
