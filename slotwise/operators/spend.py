@@ -86,8 +86,9 @@ def spend_with_others(fact_marketing: DataFrame,
 
 
 def with_file_date(records: DataFrame, file_name_col: str = "file_name") -> DataFrame:
-    """S3: the day a spend file covers, from its name ``spend_data_<day>.json``."""
-    name = F.col(file_name_col)
+    """S3: the day a spend file covers, from its name ``spend_data_<day>.json`` or
+    ``spend_data_<day>.<number>.json``."""
+    name = F.regexp_replace(file_name_col, S.SPEND_FILE_NUMBER, S.SPEND_FILE_SUFFIX)
     day = F.replace(F.replace(name, F.lit(S.SPEND_FILE_PREFIX), F.lit("")),
                     F.lit(S.SPEND_FILE_SUFFIX), F.lit(""))
     return records.withColumn("file_date", day)

@@ -117,12 +117,13 @@ def fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_spend_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Raw spend as published: a JSON array per day in ``spend_data_<day>.json`` (no field
-    for the place in it), and the manifest of these files."""
+    """Raw spend as published: JSON arrays per day in ``spend_data_<day>.json`` and, for large
+    days, further numbered files (no field for the place in them), and their manifest."""
     raw = model.spend_raw(read_table(spark, sf_dir, "orders"), aligned=True)
     data_root, index_root = scratch_path(spark, "spend-raw"), scratch_path(spark, "spend-index")
-    writers.write_daily_arrays(raw, data_root, "date", order_by=["position"], prefix=S.SPEND_FILE_PREFIX)
-    names = raw.select(writers.spend_file_name("date").alias("file_name"), F.substring("date", 1, 7).alias("month"))
+    files = writers.write_daily_arrays(raw, data_root, "date", order_by=["position"], prefix=S.SPEND_FILE_PREFIX)
+    names = spark.createDataFrame([(f,) for f in files], "file_name string") \
+        .withColumn("month", F.substring("file_name", len(S.SPEND_FILE_PREFIX) + 1, 7))
     writers.write_manifest(names, index_root, group_col="month")
     return data_root, index_root
 

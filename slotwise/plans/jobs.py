@@ -31,7 +31,7 @@ GOLD_NAMES = (
 
 def bronze_spend_job(spark: SparkSession, raw_path: str, manifest_path: str, bronze_path: str,
                      companies: Sequence[str] = S.LISTED_COMPANIES, layout: str = "array") -> DataFrame:
-    """Raw day files named by a manifest -> one JSON array per day holding the first
+    """Raw day files named by a manifest -> a JSON array per day holding the first
     record of each listed company, and the manifest beside them. Returns the days missing
     a company (reported, not raised): listed files that are not there, and files whose
     records carry other dates, miss all of them."""
@@ -39,7 +39,7 @@ def bronze_spend_job(spark: SparkSession, raw_path: str, manifest_path: str, bro
     bronze = spend.listed_first(records, companies, day_col="file_date")
     writers.write_daily_arrays(bronze, bronze_path, "date")
     writers.copy_manifest(spark, manifest_path, bronze_path)
-    days = spend.with_file_date(json_io.read_manifest(spark, manifest_path)).select(F.col("file_date").alias("date"))
+    days = spend.with_file_date(json_io.read_manifest(spark, manifest_path)).select(F.col("file_date").alias("date")).distinct()
     return spend.missing_companies(records.filter(F.col("date") == F.col("file_date")), companies, days=days)
 
 

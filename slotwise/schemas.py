@@ -34,6 +34,8 @@ DAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "
 # Raw spend file naming.
 SPEND_FILE_PREFIX = "spend_data_"
 SPEND_FILE_SUFFIX = ".json"
+#: The number of a day's further files, ``spend_data_<day>.00001.json``.
+SPEND_FILE_NUMBER = r"\.(\d{5,})\.json$"
 MANIFEST_NAME = "file_index.json"
 # Bronze spend file naming.
 BRONZE_SPEND_PREFIX = "spend-date-"

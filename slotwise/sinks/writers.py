@@ -17,35 +17,48 @@ from pyspark.sql import functions as F
 from slotwise import schemas as S
 
 
+#: Records of one JSON array file, at most.
+RECORDS_PER_FILE = 50_000
+
+
 def write_daily_arrays(records: DataFrame, path: str, day_col: str = "date",
                        fields: Sequence[str] = ("date", "channel", "spend"),
                        order_by: Sequence[str] = (), prefix: str = S.BRONZE_SPEND_PREFIX,
-                       suffix: str = S.SPEND_FILE_SUFFIX) -> None:
-    """K1: one JSON array document per day, ``<path>/<prefix><day><suffix>``.
+                       suffix: str = S.SPEND_FILE_SUFFIX) -> list[str]:
+    """K1: JSON array documents per day, ``<path>/<prefix><day><suffix>``; returns the names.
 
-    A day's document is one JSON value, so one task holds a day's records (Bronze spend:
-    one per listed company). Inside, they are ordered by ``order_by``, else by the fields.
-    The folder is replaced; Spark's part files get their names by a rename per day.
+    A document is one JSON value, so one task holds its records: a day of more than
+    ``RECORDS_PER_FILE`` goes on in ``<prefix><day>.00001<suffix>`` and so on. The day's
+    records are ordered by ``order_by`` and the fields over its files. The folder is
+    replaced; Spark's part files get their names by a rename per file.
     """
+    from slotwise.operators.report import with_global_positions
     spark = records.sparkSession
-    items = F.array_sort(F.collect_list(F.struct(*order_by, F.struct(*fields).alias("_r")))) if order_by \
-        else F.array_sort(F.collect_list(F.struct(F.struct(*fields).alias("_r"))))
-    docs = (records.where(F.col(day_col).isNotNull())
-            .groupBy(F.col(day_col).cast("string").alias("_day"))
-            .agg(F.to_json(F.transform(items, lambda x: x["_r"])).alias("value")))
+    columns = list(dict.fromkeys([*order_by, *fields]))
+    kept = records.where(F.col(day_col).isNotNull()).select(F.col(day_col).cast("string").alias("_day"), *columns)
+    placed = with_global_positions(kept, F.col("_day"), *(F.col(c) for c in columns), name="_row")
+    first = placed.groupBy("_day").agg(F.min("_row").alias("_first"))
+    placed = placed.join(first, "_day").withColumn("_file", F.expr(f"(_row - _first) div {RECORDS_PER_FILE}"))
+    items = F.array_sort(F.collect_list(F.struct("_row", F.struct(*fields).alias("_r"))))
+    docs = placed.groupBy("_day", "_file").agg(F.to_json(F.transform(items, lambda x: x["_r"])).alias("value"))
     staging = f"{path.rstrip('/')}/_staging"
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     target = hadoop(path)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     fs.delete(target, True)
-    docs.write.partitionBy("_day").text(staging)
-    for folder in fs.listStatus(hadoop(staging)):
-        name = folder.getPath().getName()
-        if name.startswith("_day="):
-            for part in fs.listStatus(folder.getPath()):
+    docs.write.partitionBy("_day", "_file").text(staging)
+    names = []
+    for day in fs.listStatus(hadoop(staging)):
+        if not day.getPath().getName().startswith("_day="):
+            continue
+        for numbered in fs.listStatus(day.getPath()):
+            number = int(numbered.getPath().getName()[6:])
+            for part in fs.listStatus(numbered.getPath()):
                 if part.getPath().getName().startswith("part-"):
-                    fs.rename(part.getPath(), hadoop(f"{path}/{prefix}{name[5:]}{suffix}"))
+                    names.append(f"{prefix}{day.getPath().getName()[5:]}{f'.{number:05d}' if number else ''}{suffix}")
+                    fs.rename(part.getPath(), hadoop(f"{path}/{names[-1]}"))
     fs.delete(hadoop(staging), True)
+    return names
 
 
 def write_json_lines(records: DataFrame, path: str, partition_col: str | None = None,

@@ -86,7 +86,8 @@ def load_listed_files(spark: SparkSession, data_path: str, manifest_path: str,
     """Every record of every file the manifest lists, in one distributed scan of
     exactly those files: ``date, channel, spend`` (text), ``position``, ``file_name``.
 
-    ``array``: a file is one JSON array; ``position`` is the place in it. ``lines``: a
+    ``array``: a file is one JSON array; ``position`` is the place in it, after those of the
+    day's files of smaller number (``<day>.00001.json``). ``lines``: a
     file (or folder of parts) holds JSON lines; ``position`` is read from the records.
     """
     found, _ = listed_files(spark, data_path, manifest_path)
@@ -96,8 +97,9 @@ def load_listed_files(spark: SparkSession, data_path: str, manifest_path: str,
     if layout == "array":
         whole = spark.read.text(paths, wholetext=True)
         records = F.from_json("value", T.ArrayType(S.SPEND_RECORD_RAW))
+        number = F.coalesce(F.regexp_extract("file_name", S.SPEND_FILE_NUMBER, 1).try_cast("long"), F.lit(0))
         return whole.select(F.col("_metadata.file_name").alias("file_name"), F.posexplode(records).alias("position", "r")) \
-            .select("r.date", "r.channel", "r.spend", F.col("position").cast("long").alias("position"), "file_name")
+            .select("r.date", "r.channel", "r.spend", (F.shiftleft(number, 32) + F.col("position")).alias("position"), "file_name")
     records = read_json(spark, paths, S.SPEND_RECORD_RAW_POS, layout, recursive=True)
     parts = F.split(F.col("_metadata.file_path"), "/")
     name = F.when(F.element_at(parts, -1).startswith(S.SPEND_FILE_PREFIX), F.element_at(parts, -1)) \

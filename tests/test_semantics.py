@@ -388,6 +388,23 @@ def test_spend_jobs_both_layouts(spark, sf_dir):
     assert 0 < rows_a <= 3 * direct.select("date").distinct().count()
 
 
+def test_large_days_are_dealt_to_numbered_files(spark, sf_dir, monkeypatch):
+    from pathlib import Path
+    from slotwise.plans.ingest_queries import raw_spend_files
+    from slotwise.sinks import writers
+    from slotwise.sources import model
+    from slotwise.sources.tables import read_table
+    monkeypatch.setattr(writers, "RECORDS_PER_FILE", 7, raising=False)
+    root, index = raw_spend_files(spark, sf_dir)
+    sizes = [len(json.loads(p.read_text())) for p in Path(root.replace("file:", "")).glob("*.json")]
+    assert max(sizes) == 7 and len(sizes) == json_io.read_manifest(spark, index).count()
+    got = spend.with_file_date(json_io.load_listed_files(spark, root, index))
+    raw = model.spend_raw(read_table(spark, sf_dir, "orders"), aligned=True)
+    assert got.count() == raw.count() and got.where("date <> file_date").count() == 0
+    places = [[(r.date, r.channel, r.spend) for r in rows.orderBy("date", "position").collect()] for rows in (got, raw)]
+    assert places[0] == places[1]
+
+
 def test_manifest_one_name_per_line_and_empty_guard(spark):
     from slotwise.operators.quality import EmptyInput, require_rows
     from slotwise.session import scratch_path
