@@ -57,7 +57,8 @@ def flagged_bookings(facts: DataFrame, mapping: Mapping[str, str] = S.CHANNEL_UR
     then the smallest e-mail of its members), typed, with the validity flag.
 
     ``event_date`` is the day the event was created; ``ingestion_date`` the day it
-    arrived. Rows without an invitee are all kept: they are no copies of each other.
+    arrived. Rows without an invitee are no copies of each other: they are told apart by
+    their event id and, without that too, by all their columns.
     """
     rows = facts.select(
         "invitee_id", "event_id", "data_created_at", "ingestion_time",
@@ -65,8 +66,10 @@ def flagged_bookings(facts: DataFrame, mapping: Mapping[str, str] = S.CHANNEL_UR
         "employee_email",
         F.col("data_payload_scheduled_event_start_time").alias("booking_ts"))
     rows = rows.groupBy(*[c for c in rows.columns if c != "employee_email"]).agg(F.min("employee_email").alias("employee_email"))
-    key = F.when((F.col("invitee_id") != "") & F.col("invitee_id").isNotNull(), F.col("invitee_id")) \
-        .otherwise(F.concat(F.lit("//"), F.coalesce(F.col("event_id").cast("string"), F.lit(""))))
+    named = lambda c: F.nullif(F.col(c).cast("string"), F.lit(""))
+    # Neither id: the key is the row itself, so that nothing else folds into it.
+    key = F.coalesce(named("invitee_id"), F.concat(F.lit("//"), named("event_id")),
+                     F.concat(F.lit("///"), F.sha2(F.to_json(F.struct(*rows.columns)), 256)))
     latest = latest_per_key(rows.withColumn("_key", key), ["_key"], ["ingestion_time", "event_id"]).drop("_key")
     flagged = quality.flag(latest, quality.booking_rules())
     return flagged.select(

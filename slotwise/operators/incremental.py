@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from slotwise.operators import key_index
 from slotwise.operators.dedup import latest_per_key
-from slotwise.session import remove_path, scratch_path
+from slotwise.session import path_exists, remove_path, scratch_path
 from slotwise.sinks.writers import write_partitioned
 
 
@@ -92,13 +93,6 @@ def refresh_touched(arrivals: DataFrame, facts: DataFrame, path: str, partition_
     return sorted(map(str, days))
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
-
-
 def _remove_partitions(spark: SparkSession, path: str, partition_col: str, values: Sequence[str]) -> None:
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
@@ -113,7 +107,8 @@ def _remove_partitions(spark: SparkSession, path: str, partition_col: str, value
 
 def upsert(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[str],
            partition_col: str, order_by: Sequence[str], schema: StructType,
-           fmt: str = "parquet", key_determines_partition: bool = False, keep: str = "last") -> None:
+           fmt: str = "parquet", key_determines_partition: bool = False, keep: str = "last",
+           index: str | None = None, located: DataFrame | None = None) -> None:
     """Merge ``updates`` into the partitioned table at ``path`` by ``keys``.
 
     ``order_by`` decides between an existing row and a new one (greatest wins, e.g.
@@ -123,15 +118,19 @@ def upsert(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[st
 
     Only touched partitions are read: their values (a set of days, not rows) are
     collected and applied as a literal filter, which prunes partitions at the scan.
-    Finding where the incoming keys live now needs the key and partition columns of
-    the whole table; ``key_determines_partition=True`` states that a key's partition
-    is a function of the key (it can never move), which skips that search exactly.
+    Where the incoming keys live now comes from the key index at ``index`` (built on first
+    use, see ``key_index``: only the buckets of the incoming keys are read); without an
+    index from the key and partition columns of the whole table.
+    ``key_determines_partition=True`` states that a key's partition is a function of the
+    key (it can never move), which skips that search exactly. ``located`` restricts the
+    search to the keys of those rows (the caller knows that the others are new).
     """
     keys = list(keys)
     # The incoming rows are read three times (partitions, key search, merge).
     updates = updates.select(*schema.fieldNames()).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        _upsert(spark, updates, path, keys, partition_col, order_by, schema, fmt, key_determines_partition, keep)
+        _upsert(spark, updates, path, keys, partition_col, order_by, schema, fmt, key_determines_partition, keep,
+                index, located)
     finally:
         updates.unpersist()
 
@@ -144,17 +143,31 @@ def partition_filter(col: str, values: set):
 
 def _upsert(spark: SparkSession, updates: DataFrame, path: str, keys: list[str], partition_col: str,
             order_by: Sequence[str], schema: StructType, fmt: str, key_determines_partition: bool,
-            keep: str) -> None:
-    if not _table_exists(spark, path):
-        write_partitioned(latest_per_key(updates, keys, order_by, keep), path, [partition_col], fmt=fmt)
-        return
-    table = spark.read.format(fmt).schema(schema).load(path)
+            keep: str, index: str | None, located: DataFrame | None) -> None:
+    exists = path_exists(spark, path)
     touched = {r[0] for r in updates.select(partition_col).distinct().collect()}
-    if not key_determines_partition:
-        # Partitions where the incoming keys live now (key and partition columns only).
-        live = table.select(*keys, partition_col).join(updates.select(*keys).distinct(), keys, "left_semi")
+    if exists and not key_determines_partition:
+        asked = updates if located is None else located
+        if index:
+            key_index.ensure(spark, path, index, keys, partition_col, schema, fmt)
+            live = key_index.locate(spark, index, asked, keys, partition_col, schema)
+        else:
+            # Partitions where the incoming keys live now (key and partition columns only).
+            asked = asked.select(*keys).distinct()
+            table = spark.read.format(fmt).schema(schema).load(path).select(*keys, partition_col)
+            live = table.join(asked, key_index.same_keys(table, asked, keys), "left_semi")
         touched |= {r[0] for r in live.select(partition_col).distinct().collect()}
-    current = table.filter(partition_filter(partition_col, touched))
+    if index and not key_determines_partition:
+        # New pairs go to the index before the rows go to the table.
+        pairs = updates.select(*keys, partition_col).distinct()
+        if path_exists(spark, index):
+            there = key_index.locate(spark, index, updates, keys, partition_col, schema)
+            pairs = pairs.join(there, key_index.same_keys(pairs, there, [*keys, partition_col]), "left_anti")
+        key_index.add(pairs, index, keys, partition_col)
+    if not exists:
+        write_partitioned(latest_per_key(updates, keys, order_by, keep), path, [partition_col], fmt=fmt)
+        return
+    current = spark.read.format(fmt).schema(schema).load(path).filter(partition_filter(partition_col, touched))
     merged = latest_per_key(current.unionByName(updates), keys, order_by, keep)
     # Staged in the shared folder: the result must not be recomputed from files
     # the write replaces, and its lineage is cut for recovery after a lost executor.

@@ -282,6 +282,33 @@ def q_silver_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contracts.silver_contract(booking_facts(spark, sf_dir))
 
 
+@register("silver_contract_without_ids", covers="D2 D6 D9", oracle=with_ctes(["booking_facts"], """
+SELECT invitee_id, event_start_time, channel, array_to_string(reasons, ';') AS reject_reasons, COUNT(*) AS deliveries FROM (
+  SELECT CASE WHEN event_id % 3 <> 0 THEN invitee_id END AS invitee_id, event_id,
+    data_payload_scheduled_event_start_time AS event_start_time,
+    CASE data_payload_scheduled_event_event_type
+      WHEN 'https://api.example.com/event_types/click' THEN 'facebook'
+      WHEN 'https://api.example.com/event_types/view' THEN 'youtube'
+      WHEN 'https://api.example.com/event_types/purchase' THEN 'tiktok' ELSE 'others' END AS channel,
+    list_filter([CASE WHEN event_id % 3 = 0 THEN 'missing_invitee_id' END,
+      CASE WHEN data_created_at > ingestion_time THEN 'created_after_ingestion' END], lambda x: x IS NOT NULL) AS reasons,
+    ROW_NUMBER() OVER (PARTITION BY CASE WHEN event_id % 3 <> 0 THEN invitee_id ELSE '//' || CAST(event_id AS VARCHAR) END
+                       ORDER BY ingestion_time DESC, event_id DESC) AS rn
+  FROM booking_facts) s
+WHERE rn = 1 AND len(reasons) > 0 GROUP BY ALL"""))
+def q_silver_contract_without_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2/D9 where every third delivery has neither invitee nor event id: none folds into
+    another, all reach the quarantine."""
+    facts = booking_facts(spark, sf_dir)
+    lost = F.col("event_id") % 3 == 0
+    # Without ids, a delivery is told apart by what it holds: its arrival is made unique here.
+    facts = facts.withColumn("invitee_id", F.when(~lost, F.col("invitee_id"))) \
+        .withColumn("employee_email", F.col("invitee_email")).withColumn("event_id", F.when(~lost, F.col("event_id")))
+    rejected = contracts.flagged_bookings(facts).where(~F.col("is_valid_record"))
+    return rejected.groupBy("invitee_id", "event_start_time", "channel", F.concat_ws(";", "reject_reasons").alias("reject_reasons")) \
+        .agg(F.count(F.lit(1)).alias("deliveries"))
+
+
 _DAILY_SPEND = """
 ds AS (
   SELECT CAST(date AS DATE) AS booking_date,

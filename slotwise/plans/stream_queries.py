@@ -53,6 +53,7 @@ def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = facts.select("invitee_id", "event_id", "ingestion_time", S.COL_EVENT,
                         F.to_date(S.COL_START_TIME).alias("booking_date"),
                         F.to_date("ingestion_time").alias("ingestion_date"))
+    # A key moves between arrival days; the key index beside the table says where it lives.
     table, ckpt = scratch_path(spark, "stream-silver"), scratch_path(spark, "ckpt-silver")
     stream.upsert_stream(rows, table, ckpt, ["invitee_id"], "ingestion_date",
                          ["ingestion_time", "event_id"], _SILVER_BOOKINGS)
@@ -103,3 +104,68 @@ def q_stream_daily_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame
     docs = stream.document_booking_stream(stream.document_stream(spark, bronze))
     stream.daily_counts_to_table(docs, table, ckpt)
     return read_columnar(spark, table, schema=stream.DAILY_COUNTS).select("booking_date", "channel", "bookings_count")
+
+
+# ------------------------------------------------- late rows, rows without ids, moving keys
+def _in_files(spark: SparkSession, df: DataFrame, files: int) -> str:
+    """A copy of ``df`` in unordered files, so that a stream meets it in several batches."""
+    root = scratch_path(spark, "unordered-files")
+    df.repartition(files, F.xxhash64(*df.columns)).write.parquet(root)
+    return root
+
+
+@register("stream_late_corrections", covers="T1 T2 T3 T4 T5", oracle=with_ctes(["enriched"], """
+SELECT booking_date, channel, COUNT(*) AS bookings_count FROM enriched GROUP BY 1, 2"""))
+def q_stream_late_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three unordered files, a micro-batch each; what comes behind the watermark is in the
+    correction table. On-time counts and corrections together are the batch result."""
+    events = read_table(spark, sf_dir, "events")
+    source = _in_files(spark, events, 3)
+    table, ckpt = scratch_path(spark, "stream-late"), scratch_path(spark, "ckpt-late")
+    bookings = stream.booking_stream(stream.events_stream(spark, source, events.schema, max_bytes_per_trigger=1))
+    stream.daily_counts_to_table(bookings, table, ckpt)
+    on_time = spark.read.schema(stream.COUNTS_TABLE).parquet(table).select(
+        "booking_date", "channel", (F.col("bookings_count") - F.col("late_count")).alias("n"))
+    late = stream.late_rows(spark, table).groupBy("booking_date", "channel").agg(F.count(F.lit(1)).alias("n"))
+    return on_time.unionByName(late).groupBy("booking_date", "channel").agg(F.sum("n").alias("bookings_count"))
+
+
+@register("stream_daily_without_ids", covers="T1 T2 T4", oracle=with_ctes([], """
+SELECT CAST(ts AS DATE) AS booking_date,
+  CASE event_type WHEN 'click' THEN 'facebook' WHEN 'view' THEN 'youtube' WHEN 'purchase' THEN 'tiktok' ELSE 'others' END
+    AS channel, COUNT(*) AS bookings_count
+FROM events WHERE event_type <> 'error' GROUP BY 1, 2"""))
+def q_stream_daily_without_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: webhook documents of which every fifth has no ``uri``; each counts once, and once
+    only when a second checkpoint reads the same files again."""
+    from slotwise.sinks.writers import write_json_lines
+    docs = model.booking_documents(read_table(spark, sf_dir, "events"))
+    number = F.regexp_extract("data.payload.scheduled_event.uri", "([0-9]+)$", 1).cast("long")
+    uri = F.when(number % 5 != 0, F.col("data.payload.uri"))
+    bronze = scratch_path(spark, "bronze-without-ids")
+    write_json_lines(docs.withColumn("data", F.col("data").withField("payload.uri", uri)), bronze, "event_date")
+    table = scratch_path(spark, "stream-without-ids")
+    for _ in range(2):
+        bookings = stream.document_booking_stream(stream.document_stream(spark, bronze))
+        stream.daily_counts_to_table(bookings, table, scratch_path(spark, "ckpt-without-ids"))
+    return read_columnar(spark, table, schema=stream.DAILY_COUNTS).select("booking_date", "channel", "bookings_count")
+
+
+@register("stream_dedup_moving_days", covers="T1 T3 D13", oracle=with_ctes(["enriched"], """
+SELECT invitee_id, channel, booking_date, data_payload_scheduled_event_event_memberships_user FROM (
+  SELECT 'user-' || regexp_extract(data_payload_scheduled_event_event_memberships_user, '([0-9]+)$', 1) AS invitee_id,
+    channel, booking_date, data_payload_scheduled_event_event_memberships_user,
+    ROW_NUMBER() OVER (PARTITION BY data_payload_scheduled_event_event_memberships_user
+                       ORDER BY ingestion_time, CAST(event_id AS VARCHAR)) AS rn
+  FROM enriched) s
+WHERE rn = 1"""))
+def q_stream_dedup_moving_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An invitee (here: a user) who books on many days has one row, the first
+    delivery, over two unordered micro-batches."""
+    events = read_table(spark, sf_dir, "events")
+    source = _in_files(spark, events, 2)
+    bookings = stream.booking_stream(stream.events_stream(spark, source, events.schema, max_bytes_per_trigger=1)) \
+        .withColumn("invitee_id", F.concat(F.lit("user-"), F.regexp_extract(S.COL_MEMBER_USER, "([0-9]+)$", 1)))
+    out, ckpt = scratch_path(spark, "stream-moving"), scratch_path(spark, "ckpt-moving")
+    schema = stream.dedup_stream(bookings, out, ckpt)
+    return spark.read.schema(schema).parquet(out).select("invitee_id", "channel", "booking_date", S.COL_MEMBER_USER)

@@ -7,7 +7,6 @@ files) and packs small ones together.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
@@ -101,20 +100,14 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
 
 
 def copy_manifest(spark: SparkSession, manifest_path: str, bronze_path: str) -> None:
-    """K3: the manifest stored beside the Bronze data, under its usual name."""
-    names = [r["file_name"] for r in _manifest_names(spark, manifest_path)]
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    target = hadoop(f"{bronze_path.rstrip('/')}/{S.MANIFEST_NAME}")
-    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
-    try:
-        out.write(bytearray(json.dumps({"files": sorted(names)}, indent=2), "utf-8"))
-    finally:
-        out.close()
-
-
-def _manifest_names(spark: SparkSession, manifest_path: str) -> list:
-    from slotwise.sources.json_io import read_manifest
-    return read_manifest(spark, manifest_path).collect()
+    """K3: the manifest stored beside the Bronze data as it was received, byte for byte (other
+    fields, order and all). A manifest of several parts becomes a folder of that name."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (manifest_path, f"{bronze_path.rstrip('/')}/{S.MANIFEST_NAME}"))
+    there, here = source.getFileSystem(conf), target.getFileSystem(conf)
+    here.delete(target, True)
+    jvm.org.apache.hadoop.fs.FileUtil.copy(there, source, here, target, False, True, conf)
 
 
 def observed_rows(observation: Observation) -> int:

@@ -49,7 +49,7 @@ def read_spend_files(spark: SparkSession, path: str | list[str], layout: str = "
     manifest; ``spend`` is read as text so numbers, text and gaps all load (they are
     typed later with ``try_cast``)."""
     return read_json(spark, path, schema, layout, path_glob=path_glob, recursive=True) \
-        .where(F.col("_metadata.file_name") != S.MANIFEST_NAME) \
+        .where(~F.col("_metadata.file_path").contains(f"/{S.MANIFEST_NAME}")) \
         .withColumn("file_path", F.col("_metadata.file_path"))
 
 
