@@ -46,10 +46,15 @@ def main(argv: list[str] | None = None) -> int:
     se.add_argument("silver")
     se.add_argument("--layout", default="document", choices=["document", "lines"])
     se.add_argument("--quarantine", help="folder for documents that are no JSON")
+    se.add_argument("--open-fields", action="store_true", help="keep fields that the schema does not name (JSON lines)")
     sm = sub.add_parser("silver-marketing")
     sm.add_argument("bronze")
     sm.add_argument("silver")
     sm.add_argument("--layout", default="array", choices=["array", "lines"])
+    ns = sub.add_parser("ingest-new-spend", help="load the days of new and changed spend files")
+    ns.add_argument("raw")
+    ns.add_argument("ledger")
+    ns.add_argument("table")
     g = sub.add_parser("gold")
     g.add_argument("silver")
     g.add_argument("gold")
@@ -87,9 +92,12 @@ def main(argv: list[str] | None = None) -> int:
         report = {"days_missing_a_company": missing.count()}
     elif args.cmd == "ingest-spend":
         report = {"spend_rows": jobs.ingest_spend_lines_job(spark, args.raw, args.manifest, args.out, args.layout)}
+    elif args.cmd == "ingest-new-spend":
+        from slotwise.sources import ledger
+        report = {"days": ledger.load_new_spend_days(spark, args.raw, args.ledger, args.table)}
     elif args.cmd == "silver-events":
         report = {"fact_events_rows": jobs.silver_events_job(spark, args.bronze, args.silver, args.layout, args.format,
-                                                             args.quarantine)}
+                                                             args.quarantine, args.open_fields)}
     elif args.cmd == "silver-marketing":
         report = {"fact_marketing_rows": jobs.silver_marketing_job(spark, args.bronze, args.silver, args.layout, args.format)}
     elif args.cmd == "silver-bookings":

@@ -57,28 +57,60 @@ def partition_values(spark: SparkSession, path: str, partition_col: str) -> dict
     return {unescape(n.split("=", 1)[1]): n for n in names if n.startswith(f"{partition_col}=")}
 
 
-def replace_days(df: DataFrame, path: str, partition_col: str, days: Iterable[str], fmt: str = "parquet") -> None:
+def fingerprints(df: DataFrame, partition_col: str) -> DataFrame:
+    """Per partition value: the row count and two sums of row hashes, whatever the order of
+    rows and files (columns are taken by name). Partial sums before the shuffle: one row
+    per value and task."""
+    columns = sorted(c for c in df.columns if c != partition_col)
+    hashed = lambda seed: F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(38,0)"))
+    return df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("n"), hashed(1).alias("h1"), hashed(2).alias("h2"))
+
+
+def changed_values(new: DataFrame, old: DataFrame, partition_col: str) -> set:
+    """Partition values whose rows differ between ``new`` and ``old`` (in one of them only, too)."""
+    both = fingerprints(new, partition_col).withColumn("side", F.lit(1)) \
+        .unionByName(fingerprints(old, partition_col).withColumn("side", F.lit(-1)))
+    differs = both.groupBy(partition_col).agg(
+        *[F.sum(F.col(c) * F.col("side")).alias(c) for c in ("n", "h1", "h2")], F.sum("side").alias("side")) \
+        .where("n <> 0 OR h1 <> 0 OR h2 <> 0 OR side <> 0")
+    return {r[0] for r in differs.select(partition_col).collect()}
+
+
+def replace_days(df: DataFrame, path: str, partition_col: str, days: Iterable[str], fmt: str = "parquet",
+                 changed_only: bool = False) -> list[str]:
     """Replace exactly the given days: those with rows in ``df`` are overwritten, those
     without lose their partition (a day whose rows were all withdrawn). Only day values
-    reach the driver."""
+    reach the driver. With ``changed_only``, days whose fingerprint equals that of
+    the table's rows are left as they are. Returns the days written or removed."""
     spark = df.sparkSession
     out = scratch_path(spark, "replace-days")
     df.write.parquet(out)                             # not recomputed by the second read
     rows = spark.read.schema(df.schema).parquet(out)
-    kept = {str(r[0]) for r in rows.select(partition_col).distinct().collect()}
-    write_partitioned(rows, path, [partition_col], fmt=fmt)
+    kept = {r[0] for r in rows.select(partition_col).distinct().collect()}
+    written = kept
+    if changed_only and path_exists(spark, path):
+        current = spark.read.format(fmt).schema(df.schema).load(path).where(partition_filter(partition_col, kept))
+        written = changed_values(rows, current, partition_col)
+        rows = rows.where(partition_filter(partition_col, written))
+    if written:
+        write_partitioned(rows, path, [partition_col], fmt=fmt)
     remove_path(spark, out)
     there = partition_values(spark, path, partition_col)
-    _remove_partitions(spark, path, partition_col, [d for d in days if d in there and d not in kept])
+    named = {DEFAULT_PARTITION if d is None else str(d) for d in kept}
+    removed = [d for d in days if d in there and d not in named]
+    _remove_partitions(spark, path, partition_col, removed)
+    return sorted({DEFAULT_PARTITION if d is None else str(d) for d in written} | set(removed))
 
 
-def reprocess_days(df: DataFrame, path: str, partition_col: str, as_of: str, days: int, fmt: str = "parquet") -> None:
-    """Replace the window [as_of - days, ...): recomputed days are overwritten, days
-    of the table in the window that have no row any more are removed."""
+def reprocess_days(df: DataFrame, path: str, partition_col: str, as_of: str, days: int, fmt: str = "parquet",
+                   changed_only: bool = False) -> list[str]:
+    """Replace the window [as_of - days, ...): recomputed days are overwritten (with
+    ``changed_only`` those alone whose rows have changed), days of the table in the
+    window that have no row any more are removed. Returns the days that it touched."""
     start = str(datetime.date.fromisoformat(as_of) - datetime.timedelta(days=days))
     there = partition_values(df.sparkSession, path, partition_col)
     window = [d for d in there if d != DEFAULT_PARTITION and d >= start]
-    replace_days(reprocess_window(df, partition_col, as_of, days), path, partition_col, window, fmt)
+    return replace_days(reprocess_window(df, partition_col, as_of, days), path, partition_col, window, fmt, changed_only)
 
 
 def refresh_touched(arrivals: DataFrame, facts: DataFrame, path: str, partition_col: str,

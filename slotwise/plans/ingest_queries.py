@@ -409,3 +409,68 @@ def q_gold_channel_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapping = {S.EVENT_TYPE_BASE + "signup": "facebook", S.EVENT_TYPE_BASE + "click": "tiktok"}
     return gold.enrich(fact_events(spark, sf_dir), mapping).groupBy("channel") \
         .agg(F.count(F.lit(1)).alias("total_bookings_count"))
+
+
+# ------------------------------------------------- new input, open documents, changed days
+@register("ledger_arrivals", covers="D11 S1 S2 S6 S7 K5", oracle=with_ctes(["spend_aligned_raw"], """
+SELECT date AS spend_date, channel, COUNT(*) AS records, COUNT(spend) AS amounts,
+  CASE WHEN CAST(date AS DATE) < DATE '2024-01-11' THEN 1 WHEN date = '2024-01-15' THEN 3 ELSE 2 END AS last_run,
+  CASE WHEN date = '2024-01-15' THEN 2 ELSE 1 END AS loads
+FROM spend_aligned_raw WHERE date <> '2024-01-15' OR position % 2 = 0 GROUP BY 1, 2"""))
+def q_ledger_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spend files arrive three times: ten days, the other days, and one day's file
+    again with half of its records. Each run loads only what the ledger does not hold, and a
+    run in between finds nothing. Per day and channel: records, and from the ledger
+    in which run the day was loaded last and how many states of its files were loaded."""
+    from slotwise.sources import ledger
+    raw = model.spend_raw(read_table(spark, sf_dir, "orders"), aligned=True)
+    folder, book, table = (scratch_path(spark, n) for n in ("spend-arrivals", "ledger", "spend-table"))
+    day = F.col("date").cast("date")
+    arrivals = [raw.where(day < "2024-01-11"), raw.where(day >= "2024-01-11"),
+                raw.where((F.col("date") == "2024-01-15") & (F.col("position") % 2 == 0))]
+    for number, arrival in enumerate(arrivals):
+        staging = scratch_path(spark, "spend-arrival")
+        names = writers.write_daily_arrays(arrival, staging, "date", order_by=["position"], prefix=S.SPEND_FILE_PREFIX)
+        _move_into(spark, staging, folder, names)
+        ledger.load_new_spend_days(spark, folder, book, table)
+        if ledger.load_new_spend_days(spark, folder, book, table):
+            raise AssertionError("a second run over the same files loaded something")
+    runs = ledger.read_ledger(spark, book).withColumn("spend_date", ledger.day_of()) \
+        .groupBy("spend_date").agg(F.max("run").cast("int").alias("last_run"), F.count_distinct("run").cast("int").alias("loads"))
+    rows = spark.read.schema(S.SPEND_LINES).parquet(table)
+    return rows.groupBy("spend_date", "channel").agg(F.count(F.lit(1)).alias("records"), F.count("spend").alias("amounts")) \
+        .join(runs, "spend_date")
+
+
+def _move_into(spark: SparkSession, source: str, folder: str, names: list[str]) -> None:
+    """Files of a delivery into the landing folder; a day delivered again replaces its files."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop(folder))
+    for name in names:
+        fs.delete(hadoop(f"{folder}/{name}"), False)
+        fs.rename(hadoop(f"{source}/{name}"), hadoop(f"{folder}/{name}"))
+
+
+@register("fact_events_open", covers="X1 S5 X2 X3 G7", oracle=with_ctes([], f"""
+SELECT {', '.join(FLAT_COLUMNS)},
+  CASE WHEN numbered % 3 = 0 THEN 'plan-' || CAST(numbered % 4 AS VARCHAR) END AS data_payload_custom_plan,
+  CASE WHEN numbered % 3 = 0 THEN numbered END AS data_payload_custom_limits_seats,
+  CASE WHEN numbered % 2 = 0 THEN 'v' || CAST(numbered % 5 AS VARCHAR) END AS data_payload_scheduled_event_series
+FROM (SELECT *, CAST(regexp_extract(data_payload_email, '([0-9]+)@', 1) AS BIGINT) AS numbered FROM flat) s""", [_DOCS, _FLAT]))
+def q_fact_events_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Webhook documents with nested fields that no schema names; the fields become columns of
+    ``fact_events`` beside the known ones."""
+    from slotwise.plans.jobs import silver_events_job
+    docs = model.booking_documents(read_table(spark, sf_dir, "events"))
+    number = F.regexp_extract("data.payload.email", "([0-9]+)@", 1).cast("long")
+    custom = F.when(number % 3 == 0, F.struct(F.concat(F.lit("plan-"), (number % 4).cast("string")).alias("plan"),
+                                              F.struct(number.alias("seats")).alias("limits")))
+    series = F.when(number % 2 == 0, F.concat(F.lit("v"), (number % 5).cast("string")))
+    data = F.col("data").withField("payload.custom", custom).withField("payload.scheduled_event.series", series)
+    bronze, silver = scratch_path(spark, "bronze-open"), scratch_path(spark, "silver-open")
+    writers.write_json_lines(docs.withColumn("data", data), bronze, "event_date")
+    silver_events_job(spark, bronze, silver, layout="lines", open_fields=True)
+    table = spark.read.option("mergeSchema", "true").parquet(silver)
+    return table.withColumn("event_date", F.col("event_date").cast("string")).select(
+        *FLAT_COLUMNS, "data_payload_custom_plan", "data_payload_custom_limits_seats", "data_payload_scheduled_event_series")

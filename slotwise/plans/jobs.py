@@ -64,12 +64,16 @@ CORRUPT = "_corrupt_record"
 
 def silver_events_job(spark: SparkSession, bronze_path: str, silver_path: str,
                       layout: str = "document", fmt: str = "parquet",
-                      quarantine_path: str | None = None) -> int:
+                      quarantine_path: str | None = None, open_fields: bool = False) -> int:
     """Bronze webhook documents -> flattened ``fact_events`` by ``event_date``
     (dynamic partition overwrite), counted on write. Documents that are no JSON are no
     facts: they go to ``quarantine_path`` (text, day, what could be read of them) if
-    one is given."""
-    docs = json_io.read_event_documents(spark, bronze_path, layout=layout, corrupt_col=CORRUPT)
+    one is given. With ``open_fields`` (JSON lines) fields that the schema does not name become columns too,
+    after one pass that finds them; read such a table with ``mergeSchema``."""
+    if open_fields and layout != "lines":
+        raise ValueError("open_fields reads JSON lines")
+    docs = json_io.read_open_documents(spark, bronze_path, corrupt_col=CORRUPT) if open_fields else \
+        json_io.read_event_documents(spark, bronze_path, layout=layout, corrupt_col=CORRUPT)
     if quarantine_path:
         broken = json_io.read_event_documents(spark, bronze_path, layout=layout, corrupt_col=CORRUPT) \
             .select(F.col(CORRUPT).alias("document"), "event_date", F.lit("unreadable_document").alias("reject_reasons"),
@@ -114,7 +118,9 @@ def gold_job(spark: SparkSession, fact_events: DataFrame, fact_marketing: DataFr
              fmt: str = "parquet", grain: str = "row",
              booking_key: str = "data_payload_uri", zero_bookings: str = "zero",
              mapping: Mapping[str, str] = S.CHANNEL_URIS) -> dict[str, int]:
-    """The five Gold tables, written in full and (optionally) registered in a database.
+    """The five Gold tables, written in full: all five take the old ones' places, or none.
+    With a ``database`` its tables are pointed at the new folder (``writers.publish_tables``), else the
+    tables are at ``gold_root/<name>``.
 
     The events are scanned twice, both column-pruned: once into the hour cube
     (days x 24 x channels rows) from which the daily, channel and time tables derive,
@@ -145,7 +151,6 @@ def gold_job(spark: SparkSession, fact_events: DataFrame, fact_marketing: DataFr
         "gold_booking_time_analysis": gold.booking_time_analysis(cube, channels, weight="bookings"),
         "gold_meeting_load_per_employee": gold.meeting_load_per_employee(load_input),
     }
-    counts = writers.write_tables(tables, gold_root, fmt=fmt)
     if database:
-        writers.register_tables(spark, database, gold_root, list(tables), fmt=fmt, replace=True)
-    return counts
+        return writers.publish_tables(tables, gold_root, database, fmt=fmt)
+    return writers.write_tables(tables, gold_root, fmt=fmt)
