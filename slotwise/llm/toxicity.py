@@ -113,7 +113,9 @@ class Landmarks:
         self.base = len(alphabet) + 1
         self.code = np.zeros(0x110000, dtype=np.int32)             # character -> code, 0: in no landmark
         self.code[[ord(ch) for ch in alphabet]] = np.arange(1, self.base)
-        self.row = np.zeros(self.base ** 3, dtype=np.int32)        # subsequence -> feature, 0: none
+        # subsequence -> feature (0: none) in two steps: its first two characters name a row of the
+        # second table, which has one row per such pair that occurs; size goes with features x alphabet
+        self.pair = np.zeros(self.base ** 2, dtype=np.int32)
         features: dict[int, int] = {}
         entries: list[tuple[int, int, float]] = []
         for m, s in enumerate(strings):
@@ -127,8 +129,12 @@ class Landmarks:
         self.weights /= np.maximum(np.sqrt((self.weights ** 2).sum(0)), 1e-300)
         self.weights = self.weights.astype(np.float32)
         self.most = self.weights.max(1)
+        pairs = {p: i for i, p in enumerate(sorted({at // self.base for at in features}), 1)}
+        self.last = np.zeros((len(pairs) + 1) * self.base, dtype=np.int32)
+        for p, i in pairs.items():
+            self.pair[p] = i * self.base
         for at, f in features.items():
-            self.row[at] = f
+            self.last[pairs[at // self.base] * self.base + at % self.base] = f
 
     def values(self, strings: list[str]) -> np.ndarray:
         """Normalised kernel ** POWER of each string and landmark, 0 below FLOOR."""
@@ -144,8 +150,8 @@ class Landmarks:
                 part = np.asarray(places[k:k + 4000])
                 raw = _codes([strings[i] for i in part])
                 own = self.code[raw]
-                a, b, c = own[:, at[:, 0]], own[:, at[:, 1]], own[:, at[:, 2]]
-                hit = self.row[(a * self.base + b) * self.base + c] * ((a > 0) & (b > 0) & (c > 0))
+                # code 0 stands in no pair, and column 0 and row 0 of the second table are 0
+                hit = self.last[self.pair[own[:, at[:, 0]] * self.base + own[:, at[:, 1]]] + own[:, at[:, 2]]]
                 # no landmark can be nearer than the sum of each subsequence's best weight
                 near = np.flatnonzero(self.most[hit] @ weight >= FLOOR * least_norm)
                 for m in range(0, len(near), 1000):

@@ -572,3 +572,12 @@ def test_result_types(spark):
     docs = documents(spark, [(1, "a b c")])
     assert exact_dedup.mark_copies(docs).schema["group_size"].dataType == T.LongType()
     assert minhash_dedup.near_duplicates(docs, 2).schema["kept"].dataType == T.BooleanType()
+
+
+def test_landmarks_of_a_large_alphabet_stay_small():
+    rng = np.random.RandomState(3)
+    marks = ["".join(chr(0x4E00 + x) for x in rng.randint(0, 1000, 7)) for _ in range(300)]
+    held = toxicity.Landmarks(marks)
+    assert held.pair.nbytes + held.last.nbytes < 64 << 20
+    assert np.allclose(np.diag(held.values(marks)), 1.0, atol=1e-5)
+
