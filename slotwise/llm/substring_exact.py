@@ -20,7 +20,7 @@ Texts are shuffled by row for step 1's bytes and for the result. Digits and whol
 64 and 128 bits of hash; pairs in small groups are compared byte by byte.
 
 Defined results: null counts as empty; texts shorter than the threshold lose nothing; matches
-never cross documents; overlaps count; rows that repeat another row (equal id and text) are
+never cross documents; overlaps count; rows that repeat another row (equal id, null too, and text) are
 documents of their own, so both lose what they share; an empty table gives an empty result; only
 the named columns are read.
 """
@@ -276,7 +276,7 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for raw, spans in zip(_rows(batch), batch.column("spans").to_pylist()):
-            gone = merged([(s["start"], s["end"]) for s in spans or []])
+            gone = merged([(s["start"], min(s["end"], len(raw))) for s in spans or []]) if len(raw) >= THRESHOLD else []
             kept, at = [], 0
             for a, z in gone:
                 kept.append(raw[at:a])
@@ -293,7 +293,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs),
     kept_sha256, kept (the remaining bytes)."""
     keyed = _keyed(docs, id_col, text_col)
-    spans = repeated_spans(keyed).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    # Rows that repeat a row lose all their windows to it; one of them stands for all in the search.
+    repeated = cut(keyed.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k1", "k2"), "repeated-rows")
+    texts = keyed.select("k1", "k2", "text")
+    once = texts.join(repeated, ["k1", "k2"], "left_anti") \
+        .unionByName(texts.join(repeated, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.first("text").alias("text")))
+    whole = repeated.select("k1", "k2", F.lit(0).cast("long").alias("start"), F.lit(1 << 62).alias("end"))
+    spans = repeated_spans(once).join(repeated, ["k1", "k2"], "left_anti").unionByName(whole) \
+        .groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     return keyed.join(spans, ["k1", "k2"], "left").select("doc_id", "text", "spans").mapInArrow(
         _remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 

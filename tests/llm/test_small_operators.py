@@ -581,3 +581,12 @@ def test_landmarks_of_a_large_alphabet_stay_small():
     assert held.pair.nbytes + held.last.nbytes < 64 << 20
     assert np.allclose(np.diag(held.values(marks)), 1.0, atol=1e-5)
 
+
+def test_many_rows_that_repeat_a_row_are_settled_at_once(spark):
+    rng = np.random.RandomState(9)
+    long = "".join(map(chr, rng.randint(97, 123, 700)))
+    rows = spark.range(10_000).select(F.when(F.col("id") < 5_000, 7).cast("long").alias("doc_id"), F.lit(long).alias("text")) \
+        .unionByName(spark.createDataFrame([(1, long[100:600] + "!" * 50), (2, "short"), (2, "short"), (None, None), (None, None)], "doc_id long, text string"))
+    prepare(spark)
+    out = substring_exact.remove_repeats(rows).groupBy("doc_id", "n_bytes", "n_removed", "n_spans").count().collect()
+    assert {tuple(r) for r in out} == {(7, 700, 700, 1, 5_000), (None, 700, 700, 1, 5_000), (1, 550, 500, 1, 1), (2, 5, 0, 0, 2), (None, 0, 0, 0, 2)}
