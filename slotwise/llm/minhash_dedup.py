@@ -237,9 +237,29 @@ def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", tex
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
-    """The documents that stay, one of each group, with their own columns."""
-    gone = near_duplicates(docs, width).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """The documents that stay, one of each group, with their own columns.
+
+    Rows of an id that repeats with different texts are told apart by their texts (each stays or
+    goes for itself; in a group, such rows count as the smallest ids). Of rows that repeat id and text, one
+    stays (by the order of their columns), if they have a word. Rows without id or word stay."""
+    mark = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    number = F.col("doc_id").cast("long")
+    several = docs.where("doc_id IS NOT NULL").groupBy(number.alias("_several")).agg(
+        F.min(mark).alias("least"), F.max(mark).alias("most")).where("least <> most").select("_several")
+    several = cut(several, "repeated-ids")                # few or none: the planner sees its size
+    # below all ids that count upwards; as far apart as 62-bit hashes are
+    own = F.when(F.col("_several").isNull(), number).otherwise(-F.shiftrightunsigned(F.xxhash64(number, mark), 2) - (1 << 61))
+    numbered = docs.join(several, number == F.col("_several"), "left").withColumn("_own", own)
+    marked = cut(near_duplicates(numbered.select("_own", "text"), width, id_col="_own"), "near-marks")
+    gone = marked.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+    again = cut(marked.where("kept AND n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id")
+                .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("_again")), "near-repeats")
+    kept = numbered.join(gone, numbered["_own"] == gone["_gone"], "left_anti")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    once = kept.join(again, kept["_own"] == again["_again"], "left_anti").select(*columns)
+    one = kept.join(again, kept["_own"] == again["_again"], "left_semi").groupBy("_own") \
+        .agg(F.min(F.struct(*columns)).alias("row")).select("row.*")
+    return once.unionByName(one)
 
 
 @query("op3_minhash_dedup")

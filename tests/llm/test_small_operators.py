@@ -590,3 +590,17 @@ def test_many_rows_that_repeat_a_row_are_settled_at_once(spark):
     prepare(spark)
     out = substring_exact.remove_repeats(rows).groupBy("doc_id", "n_bytes", "n_removed", "n_spans").count().collect()
     assert {tuple(r) for r in out} == {(7, 700, 700, 1, 5_000), (None, 700, 700, 1, 5_000), (1, 550, 500, 1, 1), (2, 5, 0, 0, 2), (None, 0, 0, 0, 2)}
+
+
+def test_near_dedup_drops_rows_and_not_ids(spark):
+    base, other = text_of(21, 80), text_of(22, 80)
+    near = [*base[:40], "changed", *base[41:]]
+    rows = [(3, " ".join(base)), (7, " ".join(near)), (7, " ".join(other)), (7, None), (9, " ".join(text_of(23, 60))), (9, " ".join(text_of(23, 60))),
+            (None, " ".join(base)), (4, ""), (4, "")]
+    kept = minhash_dedup.drop_near_duplicates(documents(spark, rows))
+    assert kept.columns == [c.split()[0] for c in DOCS.split(", ")]
+    texts = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert texts[7, " ".join(other)] == 1 and texts[7, None] == 1                # only the near copy may go
+    assert texts[3, " ".join(base)] + texts[7, " ".join(near)] == 1              # one of the group stays
+    assert texts[9, rows[4][1]] == 1 and texts[None, rows[0][1]] == 1 and texts[4, ""] == 2
+    assert sum(texts.values()) == 7
