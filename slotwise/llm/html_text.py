@@ -7,15 +7,19 @@
    body down) with the share that all places of the path hold, however small. Spark sums the
    votes per host and path: a path wins on a host if the pages that have it hold at least
    ``WINS`` of their text there on average, and at least ``COMMON`` of the host's pages have it. Other
-   paths that so many pages have, neither around nor below a winner, are outside. Votes leave each task already summed, so a host with a third of all pages is
-   no hot key.
+   paths that so many pages have, neither around nor below a winner, are outside if their text
+   repeats from page to page or is mostly links (or fewer than ``EVIDENCE`` pages show it).
+   Votes leave each task already summed, so a host with a third of all pages is no hot key.
 3. Each page is read again: its text is that of the blocks below the deepest winning path it
    has (all places of that path, in page order); a page without one uses its own best container.
    A winner is widened to its parent while that adds blocks that are neither outside nor mostly
    links, and further up while less than ``WINS`` of the page's text not outside is held.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are
-left out by tag, role and class name wherever they stand. Character references are decoded,
+left out by tag, role and class name wherever they stand (a header inside an article is the
+article's). Where only a part of a class name says so (``ad-free``, ``page-header``), the host's pages
+decide: such a block stays if it holds ``LONG`` of the text on average (``LONG_ALONE`` with too few pages to
+compare), is not mostly links and differs from page to page. Character references are decoded,
 white space inside a block becomes one space, blocks are joined by one space.
 
 Defined results: null, empty or tag-less html gives the text of what stands there (empty for
@@ -32,6 +36,7 @@ from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +44,9 @@ from slotwise.llm.common import cut, query, table
 
 #: Least mean share of a winning path, and least share of the host's pages that have it.
 WINS, COMMON = 0.8, 0.05
+#: Pages that must show a path before its texts are compared; share of distinct texts, and of link
+#: characters, from which a path repeats or is mostly links; shares that make a doubtful block long.
+EVIDENCE, DISTINCT, LINKS, LONG, LONG_ALONE = 3, 0.5, 0.5, 0.1, 0.2
 
 # Element names of HTML by their part in a page.
 CONTAINERS = frozenset("body main article section div td center".split())
@@ -54,6 +62,8 @@ NOISE = frozenset(
     "sponsor sponsored cookie cookies consent notice alert popup modal overlay newsletter subscribe subscription signup "
     "login comment comments discussion disqus reply replies respond share sharing social breadcrumb breadcrumbs "
     "related recommended widget pagination pager toolbar search copyright skip".split())
+#: Part names that always mean what they say.
+READERS = frozenset("comment comments discussion disqus reply replies respond".split())
 #: A start tag of the key ends an open element of these names.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
         "th": {"td", "th"}, "option": {"option"}}
@@ -64,19 +74,29 @@ _ATTR = re.compile(r"([A-Za-z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+
 _DIGITS = re.compile(r"\d+")
 
 
-def _is_noise(tag: str, attrs: dict[str, str]) -> bool:
-    if tag in LEFT_OUT:
-        return True
+IN, DOUBTFUL, OUT = 0, 1, 2
+
+
+def _noise(tag: str, attrs: dict[str, str], in_article: bool) -> int:
+    """Whether an element is left out: by tag, role or a whole class name; doubtful if only the
+    first or last part of a name says so."""
+    if tag in LEFT_OUT and not (tag == "header" and in_article):
+        return OUT
     if not attrs or tag in ("body", "html", "main", "article"):
-        return False
+        return IN
     if attrs.get("role", "").lower() in ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true" \
             or "display:none" in attrs.get("style", "").replace(" ", "").lower():
-        return True
+        return OUT
+    found = IN
     for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split():
-        parts = re.split(r"[-_]+", name)
-        if (parts[0] in NOISE or parts[-1] in NOISE) and parts[0] not in ("with", "has", "no", "without"):
-            return True
-    return False
+        parts = [p for p in re.split(r"[-_]+", name) if p]
+        if name in NOISE or len(parts) == 1 and parts[0] in NOISE:
+            return OUT
+        if len(parts) > 1 and (parts[0] in NOISE or parts[-1] in NOISE) and parts[0] not in ("with", "has", "no", "without"):
+            if parts[0] in READERS or parts[-1] in READERS or tag not in BLOCKS:
+                return OUT
+            found = DOUBTFUL
+    return found
 
 
 class Page:
@@ -85,6 +105,7 @@ class Page:
     def __init__(self, html: str) -> None:
         self.paths: list[str] = ["body"]
         self.parents: list[int] = [-1]
+        self.doubt: list[int] = [-1]                       # the doubtful element around each container, or itself
         self.blocks: list[tuple[int, str, int]] = []       # container, text, characters inside links
         self._open: list[tuple[str, int, bool]] = []       # tag, container, left out
         self._words: list[str] = []
@@ -134,12 +155,15 @@ class Page:
             return
         attrs = {a.lower(): b or c or d for a, b, c, d in _ATTR.findall(raw)} if raw.strip(" /") else {}
         at, out = self._here()
-        out = out or _is_noise(tag, attrs)
-        if tag in CONTAINERS and not out:
+        noise = OUT if out else _noise(tag, attrs, "/article" in self.paths[at])
+        out = noise == OUT
+        if not out and (tag in CONTAINERS or noise == DOUBTFUL):
             classes = sorted(_DIGITS.sub("", c) for c in attrs.get("class", "").lower().split())
             self.paths.append(self.paths[at] + "/" + ".".join([tag, *dict.fromkeys(c for c in classes if c)]))
             self.parents.append(at)
-            at = len(self.paths) - 1
+            new = len(self.paths) - 1
+            self.doubt.append(self.doubt[at] if self.doubt[at] >= 0 or noise != DOUBTFUL else new)
+            at = new
         if not raw.rstrip().endswith("/") or tag in BLOCKS or tag == "a":
             self._open.append((tag, at, out))
 
@@ -175,18 +199,48 @@ class Page:
                 self._start(tag, m[3])
         self._flush()
 
-    def shares(self) -> dict[int, float]:
-        """Share of the page's text below each container that competes."""
+    def weights(self) -> list[float]:
+        """Characters below each container, links discounted; doubtful elements only count for
+        the containers inside them."""
         weight = [0.0] * len(self.paths)
         for at, text, links in self.blocks:
             weight[at] += max(0, len(text) - 2 * links)
         for i in range(len(weight) - 1, 0, -1):             # parents come first
-            weight[self.parents[i]] += weight[i]
+            if self.doubt[i] != i:
+                weight[self.parents[i]] += weight[i]
+        return weight
+
+    def shares(self) -> dict[int, float]:
+        """Share of the page's text below each container that competes."""
+        weight = self.weights()
         inside = [False] * len(self.paths)
         for i in range(1, len(self.paths)):
             up = self.parents[i]
             inside[i] = inside[up] or self.paths[up].rsplit("/", 1)[-1].split(".")[0] == "article"
-        return {i: w / weight[0] for i, w in enumerate(weight) if not inside[i]} if weight[0] else {}
+        return {i: w / weight[0] for i, w in enumerate(weight) if not inside[i] and self.doubt[i] < 0} if weight[0] else {}
+
+    def doubtful(self) -> dict[str, float]:
+        """Share of each doubtful path in the text that the page would have with it."""
+        weight, out = self.weights(), defaultdict(float)
+        for i, around in enumerate(self.doubt):
+            if around == i:
+                out[self.paths[i]] += weight[i]
+        return {p: w / (weight[0] + w) for p, w in out.items() if w}
+
+    def signs(self) -> dict[str, tuple[int, float]]:
+        """Per path: a hash of all its text on the page, and the share of link characters."""
+        held: dict[str, list] = {}
+        for at, text, links in self.blocks:
+            i, seen = at, set()
+            while i >= 0:
+                if self.paths[i] not in seen:
+                    seen.add(self.paths[i])
+                    one = held.setdefault(self.paths[i], [[], 0, 0])
+                    one[0].append(text)
+                    one[1] += links
+                    one[2] += len(text)
+                i = self.parents[i]
+        return {p: (xxhash.xxh3_64_intdigest("\n".join(t)) - (1 << 63), k / n) for p, (t, k, n) in held.items()}
 
     def best(self) -> str:
         """The page's own choice: the deepest container with ``WINS`` of its text."""
@@ -200,36 +254,37 @@ class Page:
             out[i] = p in paths or (i > 0 and out[self.parents[i]])
         return out
 
-    def text(self, path: str, outside: set[str] | None = None) -> str:
+    def text(self, path: str, outside: set[str] | None = None, kept: set[str] | None = None) -> str:
         """The blocks below ``path``; with ``outside``, widened upwards where it misses some that
-        aren't there."""
+        aren't there. Doubtful elements stay whose path is in ``kept``."""
+        blocks = [b for b in self.blocks if self.doubt[b[0]] < 0 or self.paths[self.doubt[b[0]]] in (kept or ())]
         held, out = self.below({path}), self.below(outside or set())
         if outside is None:
-            return " ".join(t for at, t, _ in self.blocks if held[at])
-        rest = [(at, len(t) - 2 * links) for at, t, links in self.blocks if not held[at] and not out[at] and 2 * links < len(t)]
-        enough = WINS * (sum(max(0, len(t) - 2 * links) for at, t, links in self.blocks if held[at]) + sum(w for _, w in rest))
+            return " ".join(t for at, t, _ in blocks if held[at])
+        rest = [(at, len(t) - 2 * links) for at, t, links in blocks if not held[at] and not out[at] and 2 * links < len(t)]
+        enough = WINS * (sum(max(0, len(t) - 2 * links) for at, t, links in blocks if held[at]) + sum(w for _, w in rest))
         top = path
         while rest and top != "body":
             up = top.rsplit("/", 1)[0]
             wider = self.below({up})
             left = [(at, w) for at, w in rest if not wider[at]]
-            have = sum(max(0, len(t) - 2 * links) for at, t, links in self.blocks if wider[at] and (held[at] or not out[at]))
+            have = sum(max(0, len(t) - 2 * links) for at, t, links in blocks if wider[at] and (held[at] or not out[at]))
             if len(left) == len(rest) and have >= enough:
                 break
             top, rest = up, left
         wider = self.below({top})
-        return " ".join(t for at, t, _ in self.blocks if held[at] or (wider[at] and not out[at]))
+        return " ".join(t for at, t, _ in blocks if held[at] or (wider[at] and not out[at]))
 
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[tuple[str | None, str], list[float]] = defaultdict(lambda: [0, 0.0])
+    sums: dict[tuple, list[float]] = defaultdict(lambda: [0, 0.0, 0.0])
 
     def out() -> pa.RecordBatch:
         keys = list(sums)
         return pa.RecordBatch.from_arrays([
-            pa.array([h for h, _ in keys], pa.string()), pa.array([p for _, p in keys], pa.string()),
-            pa.array([sums[k][0] for k in keys], pa.int64()), pa.array([sums[k][1] for k in keys], pa.float64())],
-            ["host", "path", "n", "share"])
+            *(pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.string(), pa.string(), pa.bool_(), pa.int64()))),
+            *(pa.array([sums[k][i] for k in keys], t) for i, t in enumerate((pa.int64(), pa.float64(), pa.float64())))],
+            ["host", "path", "doubtful", "sign", "n", "share", "links"])
 
     for batch in batches:
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
@@ -237,10 +292,15 @@ def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shares: dict[str, float] = defaultdict(float)      # places of one path never hold each other
             for i, share in page.shares().items():
                 shares[page.paths[i]] += share
-            for path, share in shares.items():
-                held = sums[host, path]
-                held[0] += 1
-                held[1] += share
+            signs = page.signs()
+            for doubtful, found in ((False, shares), (True, page.doubtful())):
+                for path, share in found.items():
+                    # a path with most of the page's text is never outside: its text needs no sign
+                    sign, links = (0, 0.0) if not doubtful and share >= WINS else signs.get(path, (0, 0.0))
+                    held = sums[host, path, doubtful, sign]
+                    held[0] += 1
+                    held[1] += share
+                    held[2] += links
         if len(sums) > 50_000:
             yield out()
             sums.clear()
@@ -250,30 +310,41 @@ def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for html, winners, outside in zip(*(batch.column(c).to_pylist() for c in ("html", "winners", "outside"))):
+        for html, winners, outside, kept in zip(*(batch.column(c).to_pylist() for c in ("html", "winners", "outside", "kept"))):
             page = Page(html or "")
-            have = set(page.paths)
+            have, kept = set(page.paths), set(kept or ())
             path = next((w for w in winners or [] if w in have and (w != "body" or len(have) == 1)), None)
-            texts.append(page.text(path, have.intersection(outside or ())) if path else page.text(page.best()))
+            texts.append(page.text(path, have.intersection(outside or ()), kept) if path else page.text(page.best(), None, kept))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
              pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
 
+_VOTES = "host string, path string, doubtful boolean, sign long, n long, share double, links double"
+
+
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, winners, outside): the winning paths of each host, deepest first, and its common
-    paths that neither hold a winner nor lie in one (outermost only). ``pages``: host, html."""
-    votes = pages.select("host", "html").mapInArrow(_vote, "host string, path string, n long, share double") \
-        .groupBy("host", "path").agg(F.sum("n").alias("n"), F.sum("share").alias("share"))
+    """(host, winners, outside, kept): the winning paths of each host, deepest first; its common
+    paths that neither hold a winner nor lie in one and are no text (outermost only); its
+    doubtful paths that are text. ``pages``: host, html."""
+    signed = pages.select("host", "html").mapInArrow(_vote, _VOTES).groupBy("host", "path", "doubtful", "sign") \
+        .agg(F.sum("n").alias("n"), F.sum("share").alias("share"), F.sum("links").alias("links"))
+    votes = signed.groupBy("host", "path", "doubtful").agg(
+        F.sum("n").alias("n"), F.sum("share").alias("share"), F.sum("links").alias("links"), F.count(F.lit(1)).alias("texts"))
     votes = cut(votes, "html-votes")
-    most = votes.groupBy("host").agg(F.max("n").alias("pages"))       # every voting page votes for its body
-    common = votes.alias("v").join(most.alias("m"), F.col("v.host").eqNullSafe(F.col("m.host"))) \
-        .where(F.col("n") >= COMMON * F.col("pages")) \
-        .select("v.host", "n", "path", (F.col("share") >= WINS * F.col("n")).alias("wins"))
+    most = votes.where("NOT doubtful").groupBy("host").agg(F.max("n").alias("pages"))       # every voting page votes for its body
+    empty = (F.col("links") >= LINKS * F.col("n")) | ((F.col("n") >= EVIDENCE) & (F.col("texts") <= DISTINCT * F.col("n")))
+    long = F.when(F.col("n") >= EVIDENCE, LONG).otherwise(LONG_ALONE) * F.col("n") <= F.col("share")
+    common = votes.alias("v").join(most.alias("m"), F.col("v.host").eqNullSafe(F.col("m.host")), "left") \
+        .where(F.col("doubtful") | (F.col("n") >= COMMON * F.col("pages"))) \
+        .select("v.host", "n", "path", "doubtful", (~F.col("doubtful") & (F.col("share") >= WINS * F.col("n"))).alias("wins"),
+                (empty | (F.col("n") < EVIDENCE)).alias("other"), (F.col("doubtful") & long & ~empty).alias("kept"))
     w = F.struct((-F.size(F.split("path", "/"))).alias("depth"), (-F.col("n")).alias("n"), "path")
-    per_host = common.groupBy("host").agg(F.sort_array(F.collect_list(F.when(F.col("wins"), w)))["path"].alias("winners"),
-                                          F.collect_list(F.when(~F.col("wins"), F.col("path"))).alias("others"))
-    return per_host.mapInArrow(_mark, "host string, winners array<string>, outside array<string>")
+    per_host = common.groupBy("host").agg(
+        F.sort_array(F.collect_list(F.when(F.col("wins"), w)))["path"].alias("winners"),
+        F.collect_list(F.when(~F.col("wins") & ~F.col("doubtful") & F.col("other"), F.col("path"))).alias("others"),
+        F.collect_list(F.when(F.col("kept"), F.col("path"))).alias("kept"))
+    return per_host.mapInArrow(_mark, "host string, winners array<string>, outside array<string>, kept array<string>")
 
 
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,8 +360,8 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if path not in around and not ups & deep and not ups.intersection(outside):
                     outside.append(path)
             marked.append(outside)
-        yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("winners"), pa.array(marked, pa.list_(pa.string()))],
-                                         ["host", "winners", "outside"])
+        yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("winners"), pa.array(marked, pa.list_(pa.string())),
+                                          batch.column("kept")], ["host", "winners", "outside", "kept"])
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -301,9 +372,9 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                           F.col(html_col).cast("string").alias("html"), host.alias("host"))
     # at most 1 / COMMON times the paths of a page per host; the planner sees the real size and
     # sends the table to all tasks or splits crowded hosts at run time
-    winners = cut(host_paths(narrow), "html-winners").select(F.col("host").alias("of"), "winners", "outside")
+    winners = cut(host_paths(narrow), "html-winners").select(F.col("host").alias("of"), "winners", "outside", "kept")
     return narrow.join(winners, narrow["host"].eqNullSafe(winners["of"]), "left") \
-        .select("page_id", "url", "html", "winners", "outside") \
+        .select("page_id", "url", "html", "winners", "outside", "kept") \
         .mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
 
 
