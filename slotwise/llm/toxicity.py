@@ -173,43 +173,61 @@ class Pooler:
         self._forget()
 
     def _forget(self) -> None:
-        self.strings: dict[str, int] = {}    # string -> row of values, -1: similar to no landmark
-        self.known: dict[str, int] = {}      # word -> row: the largest values of its strings
-        self.rows = np.zeros((0, len(self.marks.strings)), dtype=np.float32)
-
-    def _learn(self, fresh: list[str]) -> None:
-        spelt = [units(s) for s in fresh]
-        new = list({u for us in spelt for u in us} - self.strings.keys())
+        self.strings: set[str] = set()       # strings met so far
+        self.near: dict[str, int] = {}       # string similar to a landmark -> row of values
+        self.known: set[str] = set()         # words met so far
+        self.hits: dict[str, int] = {}       # word with such strings -> row: their largest values
+        self.hit_words: set[str] = set()
+        self.rows = np.zeros((1024, len(self.marks.strings)), dtype=np.float32)    # the first ``used`` count
+        self.used = 0
+
+    def _keep(self, values: np.ndarray) -> None:
+        """Append rows; the room doubles when it is full, so that rows are rarely copied."""
+        end = self.used + len(values)
+        if end > len(self.rows):
+            room = np.zeros((max(end, 2 * len(self.rows)), self.rows.shape[1]), dtype=np.float32)
+            room[:self.used] = self.rows[:self.used]
+            self.rows = room
+        self.rows[self.used:end] = values
+        self.used = end
+
+    def _learn(self, fresh: set[str]) -> None:
+        spelt = [(s, units(s)) for s in fresh]
+        new = list({u for _, us in spelt for u in us} - self.strings)
         values = self.marks.values(new)
         near = np.flatnonzero(values.any(1))
-        self.strings.update(dict.fromkeys(new, -1))
-        self.strings.update((new[u], len(self.rows) + i) for i, u in enumerate(near))
-        self.rows = np.concatenate([self.rows, values[near]])
-        pooled = []
-        for s, us in zip(fresh, spelt):
-            rows = [r for r in map(self.strings.__getitem__, us) if r >= 0]
+        self.strings.update(new)
+        self.near.update((new[u], self.used + i) for i, u in enumerate(near.tolist()))
+        self._keep(values[near])
+        pooled, found = [], self.near.keys()
+        for s, us in spelt:
+            if found.isdisjoint(us):
+                continue
+            rows = [self.near[u] for u in us if u in self.near]
             if len(rows) > 1:
                 pooled.append(self.rows[rows].max(0))
-                self.known[s] = len(self.rows) + len(pooled) - 1
+                self.hits[s] = self.used + len(pooled) - 1
             else:
-                self.known[s] = rows[0] if rows else -1
+                self.hits[s] = rows[0]
+            self.hit_words.add(s)
+        self.known |= fresh
         if pooled:
-            self.rows = np.concatenate([self.rows, np.stack(pooled)])
+            self._keep(np.stack(pooled))
 
     def features(self, texts: list[str | None]) -> np.ndarray:
         out = np.zeros((len(texts), len(self.marks.strings)), dtype=np.float32)
         for k in range(0, len(texts), 100):
             bags = [words(t) for t in texts[k:k + 100]]
             seen = set().union(*bags)
-            fresh = seen - self.known.keys()
-            if len(self.known) + len(fresh) > CACHE_WORDS or len(self.rows) > CACHE_ROWS:
+            fresh = seen - self.known
+            if len(self.known) + len(fresh) > CACHE_WORDS or self.used > CACHE_ROWS:
                 self._forget()
                 fresh = seen
-            fresh = list(fresh)
-            for a in range(0, len(fresh), 20_000):
-                self._learn(fresh[a:a + 20_000])
+            parts = list(fresh)
+            for a in range(0, len(parts), 20_000):
+                self._learn(set(parts[a:a + 20_000]))
             for i, bag in enumerate(bags):
-                rows = [r for r in map(self.known.__getitem__, bag) if r >= 0]
+                rows = [self.hits[w] for w in bag & self.hit_words]
                 if rows:
                     out[k + i] = self.rows[rows].max(0)
         return out
