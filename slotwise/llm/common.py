@@ -9,7 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slotwise.session import scratch_path, shared_dir
+from slotwise.session import remove_path, scratch_path, shared_dir
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -66,3 +66,10 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_cut(df: DataFrame) -> None:
+    """Remove the table that ``cut`` wrote, once all that reads it is written itself."""
+    files = df.inputFiles()
+    if files:
+        remove_path(df.sparkSession, files[0].rsplit("/", 1)[0])
