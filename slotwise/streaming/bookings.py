@@ -283,9 +283,9 @@ def dedup_stream(bookings: DataFrame, output_path: str, checkpoint: str,
     """One row per key, the first delivery, whenever its repetitions arrive. Returns
     the table's schema (partitioned by booking day).
 
-    A key that the state store meets for the first time is new, unless its last delivery is so old
-    that the state has forgotten it: such keys are looked up (in the key index) among the days that the
-    watermark has left behind. Keys that the state passes over are looked up in all days.
+    A key that the state store meets for the first time is new, unless an earlier delivery came late
+    or is so old that the state has forgotten it. So while no day of the table is behind the
+    watermark, only keys that the state passes over are looked up (in the key index), afterwards all.
     ``key_determines_partition`` states that a key has one booking day for ever, which
     needs no look-up at all."""
     names = [c for c in dict.fromkeys([*columns, *order_by]) if c != "booking_date"] + ["booking_date"]
@@ -304,7 +304,7 @@ def dedup_stream(bookings: DataFrame, output_path: str, checkpoint: str,
             raw = batch.where(f"NOT {FRESH}").select(*names)
             located = None
             if not key_determines_partition and not path_exists(spark, inherited) \
-                    and not _forgotten(spark, output_path, checkpoint, batch_id, late_after):
+                    and not _forgotten(spark, output_path, checkpoint, batch_id):
                 fresh = batch.where(FRESH).select(*keys)
                 asked = raw.select(*keys).distinct()
                 located = asked.join(fresh, key_index.same_keys(asked, fresh, keys), "left_anti")
@@ -318,15 +318,14 @@ def dedup_stream(bookings: DataFrame, output_path: str, checkpoint: str,
     return schema
 
 
-def _forgotten(spark: SparkSession, table_path: str, checkpoint: str, batch_id: int, late_after: str) -> bool:
-    """Whether the table may hold keys that the state no longer does: days behind
-    watermark - ``late_after``, rows without a day."""
+def _forgotten(spark: SparkSession, table_path: str, checkpoint: str, batch_id: int) -> bool:
+    """Whether the table may hold keys that the state does not: days that the watermark has
+    reached (rows that came late never were in the state, earlier ones have left it), rows without a day."""
     days = incremental.partition_values(spark, table_path, "booking_date")
     mark = batch_watermark(spark, checkpoint, batch_id)
     if mark is None:
         return incremental.DEFAULT_PARTITION in days
-    kept = spark.sql(f"SELECT CAST(TIMESTAMP '{mark:%Y-%m-%d %H:%M:%S}' - INTERVAL {late_after} AS DATE)").first()[0]
-    return any(d == incremental.DEFAULT_PARTITION or d <= str(kept) for d in days)
+    return any(d == incremental.DEFAULT_PARTITION or d <= str(mark.date()) for d in days)
 
 
 def upsert_stream(rows: DataFrame, table_path: str, checkpoint: str, keys: Sequence[str],

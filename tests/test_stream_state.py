@@ -93,6 +93,20 @@ def test_one_invitee_on_two_days_is_one_row(spark, days):
     assert spark.read.schema(schema).parquet(out).count() == 2
 
 
+def test_a_late_row_is_found_by_the_next_delivery(spark):
+    """The late row never entered the state; its day is the watermark's own."""
+    src = scratch_path(spark, "late-key-src").replace("file:", "")
+    out, ckpt = scratch_path(spark, "late-key-out"), scratch_path(spark, "late-key-ckpt")
+    steps = [(1, day(20, 21), 5), (2, day(19, 10), 1), (3, day(20, 22), 1)]       # the watermark is at the 19th, 21:00
+    for n, (event, at, user) in enumerate(steps):
+        _events_file(src, f"{n}.parquet", [(event, at, user, "click", 1.0, '{"k": 1}')])
+        events = stream.events_stream(spark, src, _schema(spark, src))
+        rows = stream.booking_stream(events).withColumn("invitee_id", F.col("invitee_id").substr(1, 1))
+        schema = stream.dedup_stream(rows, out, ckpt)
+    got = sorted((r.invitee_id, str(r.booking_date)) for r in spark.read.schema(schema).parquet(out).collect())
+    assert got == [("1", "2024-01-19"), ("5", "2024-01-20")]
+
+
 TABLE = T.StructType([T.StructField("id", T.StringType()), T.StructField("v", T.LongType()), T.StructField("day", T.DateType())])
 
 
