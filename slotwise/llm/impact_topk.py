@@ -50,8 +50,8 @@ BLOCK = 12_000            # vectors of a block on average
 PART = 16_384             # and of one index part at most (a block by chance larger has two)
 LEAST_BLOCK = 1_000       # small tables: blocks so small that every core has some
 QUERY_GROUP = 2_048
-RESCORE = 1_024
-ROUNDS = 12
+RESCORE = 2_048
+ROUNDS = 4
 EXACT = 1 << 46           # sums below it are exact in doubles and leave room for the counts
 LIMIT = 1 << 62
 COUNT = 1 << 48           # a member's count of segments, packed above its gains
