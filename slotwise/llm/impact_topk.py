@@ -140,7 +140,7 @@ class Part:
         """The members that may be among the k best (at or above ``floor``) with their exact
         scores, and how many postings were read."""
         dims = len(self.slots)
-        if sum(abs(int(a)) * r for a, r in zip(q, self.reach)) >= EXACT:
+        if self.small is None or sum(abs(int(a)) * r for a, r in zip(q, self.reach)) >= EXACT:
             scores = self.score_wide(q)
             kept = sorted((-s, int(i)) for s, i in zip(scores, self.ids) if i != own)[:k]
             return [i for _, i in kept], [-s for s, _ in kept], self.values.size

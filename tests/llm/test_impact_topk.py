@@ -60,7 +60,7 @@ def test_equals_all_inner_products(spark, monkeypatch, kind):
 def test_odd_rows_have_defined_results(spark):
     rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (0, [-1.0, 0.5]), (2, None), (3, []), (4, [None, 1.0]), (5, [float("nan"), 1.0]),
             (6, [float("inf")]), (7, [3.0, 3.0, 9.0]), (8, [0.0001, -0.0001]), (None, [5.0, 5.0]), (10, [1e300, 1.0]), (-10, [-7.0]),
-            (20, [3e15, 1e15]), (21, [1.0, 2.0]), (22, [1.0, 2.0])]
+            (20, [3e15, 1e15]), (21, [1.0, 2.0]), (22, [1.0, 2.0]), (30, [0.0, 0.5]), (40, [0.0])]
     assert search(spark, rows, 10, 4) == brute_force(rows, 10, 4)
 
 
