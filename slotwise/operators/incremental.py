@@ -178,24 +178,29 @@ def _upsert(spark: SparkSession, updates: DataFrame, path: str, keys: list[str],
             keep: str, index: str | None, located: DataFrame | None) -> None:
     exists = path_exists(spark, path)
     touched = {r[0] for r in updates.select(partition_col).distinct().collect()}
-    if exists and not key_determines_partition:
+    if not key_determines_partition:
         asked = updates if located is None else located
+        live = None
         if index:
             key_index.ensure(spark, path, index, keys, partition_col, schema, fmt)
-            live = key_index.locate(spark, index, asked, keys, partition_col, schema)
-        else:
+            if path_exists(spark, index):
+                # Read once for both uses below: as many rows as the asked keys have places.
+                live = key_index.locate(spark, index, asked, keys, partition_col, schema).persist(StorageLevel.MEMORY_AND_DISK)
+        elif exists:
             # Partitions where the incoming keys live now (key and partition columns only).
             asked = asked.select(*keys).distinct()
             table = spark.read.format(fmt).schema(schema).load(path).select(*keys, partition_col)
             live = table.join(asked, key_index.same_keys(table, asked, keys), "left_semi")
-        touched |= {r[0] for r in live.select(partition_col).distinct().collect()}
-    if index and not key_determines_partition:
-        # New pairs go to the index before the rows go to the table.
-        pairs = updates.select(*keys, partition_col).distinct()
-        if path_exists(spark, index):
-            there = key_index.locate(spark, index, updates, keys, partition_col, schema)
-            pairs = pairs.join(there, key_index.same_keys(pairs, there, [*keys, partition_col]), "left_anti")
-        key_index.add(pairs, index, keys, partition_col)
+        if live is not None and exists:
+            touched |= {r[0] for r in live.select(partition_col).distinct().collect()}
+        if index:
+            # New pairs go to the index before the rows go to the table (keys not asked for are new).
+            pairs = updates.select(*keys, partition_col).distinct()
+            if live is not None:
+                pairs = pairs.join(live, key_index.same_keys(pairs, live, [*keys, partition_col]), "left_anti")
+            key_index.add(pairs, index, keys, partition_col)
+            if live is not None:
+                live.unpersist()
     if not exists:
         write_partitioned(latest_per_key(updates, keys, order_by, keep), path, [partition_col], fmt=fmt)
         return

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slotwise import schemas as S
-from slotwise.operators import contracts, dedup, gold, incremental, metrics, quality, spend
+from slotwise.operators import contracts, dedup, gold, incremental, key_index, metrics, quality, spend
 from slotwise.plans.catalog import register
 from slotwise.plans.oracle_sql import with_ctes
 from slotwise.session import scratch_path
@@ -533,9 +533,7 @@ def q_upsert_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = silver_booking_rows(spark, sf_dir)
     root = scratch_path(spark, "silver-bookings")
     cutoff = F.lit("2024-01-20").cast("timestamp_ntz")
-    order = ["ingestion_time", "event_id"]
-    incremental.upsert(spark, rows.filter(F.col("ingestion_time") < cutoff), root, ["invitee_id"],
-                       "ingestion_date", order, _SILVER_BOOKINGS)
-    incremental.upsert(spark, rows.filter(F.col("ingestion_time") >= cutoff), root, ["invitee_id"],
-                       "ingestion_date", order, _SILVER_BOOKINGS)
+    order, index = ["ingestion_time", "event_id"], key_index.index_path(root)
+    for part in (rows.filter(F.col("ingestion_time") < cutoff), rows.filter(F.col("ingestion_time") >= cutoff)):
+        incremental.upsert(spark, part, root, ["invitee_id"], "ingestion_date", order, _SILVER_BOOKINGS, index=index)
     return read_columnar(spark, root, schema=_SILVER_BOOKINGS)
