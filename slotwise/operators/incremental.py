@@ -183,7 +183,7 @@ def _upsert(spark: SparkSession, updates: DataFrame, path: str, keys: list[str],
         live = None
         if index:
             key_index.ensure(spark, path, index, keys, partition_col, schema, fmt)
-            if path_exists(spark, index):
+            if key_index.buckets_of(spark, index):
                 # Read once for both uses below: as many rows as the asked keys have places.
                 live = key_index.locate(spark, index, asked, keys, partition_col, schema).persist(StorageLevel.MEMORY_AND_DISK)
         elif exists:

@@ -125,6 +125,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder (none if it does not exist)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
