@@ -37,7 +37,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from slotwise import schemas as S
 from slotwise.operators import gold, incremental, key_index
-from slotwise.session import make_folder, path_exists
+from slotwise.session import child_names, make_folder, path_exists
 from slotwise.sinks.writers import write_partitioned
 from slotwise.sources import model
 
@@ -151,15 +151,19 @@ def with_state(rows: DataFrame, keys: Sequence[str], late_after: str = LATE_AFTE
 
 
 def _each_batch(rows: DataFrame, merge: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    """Run ``merge`` on every micro-batch, state in RocksDB (memory does not grow with it)."""
+    """Run ``merge`` on every micro-batch, state in RocksDB (memory does not grow with it). No
+    batches without data: they would only forget keys, which the next batch does as well."""
     spark = rows.sparkSession
-    before = spark.conf.get(STATE_STORE[0])
-    spark.conf.set(*STATE_STORE)
+    settings = {STATE_STORE[0]: STATE_STORE[1], "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         _run(rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     finally:
-        spark.conf.set(STATE_STORE[0], before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def _checkpoint_lines(spark: SparkSession, path: str) -> list[str]:
@@ -211,9 +215,12 @@ def daily_counts_to_table(bookings: DataFrame, table_path: str, checkpoint: str,
         own = stream_id(spark, checkpoint)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            days = {r[0] for r in batch.select("booking_date").distinct().collect()}
+            # Per day: rows, and rows that the state store did not meet for the first time.
+            found = batch.groupBy("booking_date").agg(
+                (F.count_if(~F.col(FRESH)) - F.count_if(FRESH)).alias("rest")).collect()
+            days = {r["booking_date"] for r in found}
             if days:
-                _log_batch(spark, batch, days, own, batch_id)
+                _log_batch(spark, batch, days, {r["booking_date"] for r in found if r["rest"]}, own, batch_id)
         finally:
             batch.unpersist()
         if not days:
@@ -223,29 +230,41 @@ def daily_counts_to_table(bookings: DataFrame, table_path: str, checkpoint: str,
         write_partitioned(new.where("late"), corrections_path, ["stream", "batch"])
         _add_counts(spark, new, table_path, days, own, batch_id)
 
-    def _log_batch(spark: SparkSession, batch: DataFrame, days: set, own: str, batch_id: int) -> None:
+    def _log_batch(spark: SparkSession, batch: DataFrame, days: set, rest_days: set, own: str, batch_id: int) -> None:
+        """``rest_days``: the days with rows that the state store passed over."""
+        numbered = lambda df: df.withColumn("stream", F.lit(own)).withColumn("batch", F.lit(batch_id).cast("long")) \
+            .select(*DELIVERIES.fieldNames())
         fresh = batch.where(FRESH).select(*DELIVERY_KEY, F.lit(False).alias("late"))
-        raw = _named(batch.where(f"NOT {FRESH}").drop(FRESH))
-        known = fresh.select(*DELIVERY_KEY)
+        log = spark.read.schema(DELIVERIES).parquet(log_path) if path_exists(spark, log_path) else None
+        if log is not None and _streams_of(spark, log_path, days) - {own}:
+            others = log.where(incremental.partition_filter("booking_date", days)).where(F.col("stream") != own)
+            fresh = fresh.join(others, key_index.same_keys(fresh, others, DELIVERY_KEY), "left_anti")
+        if not rest_days:
+            write_partitioned(numbered(fresh), log_path, ["booking_date", "stream", "batch"])
+            return
+        raw = _named(batch.where(f"NOT {FRESH}").drop(FRESH).where(incremental.partition_filter("booking_date", rest_days)))
+        known = batch.where(FRESH).select(*DELIVERY_KEY)
         # Of a row that the state store passed over: late if its event time is behind the watermark
         # (a row without event time or id is checked here and is not late).
         ids = raw.join(known, key_index.same_keys(raw, known, DELIVERY_KEY), "left_anti") \
             .select(*DELIVERY_KEY, (F.col("event_time").isNotNull() & ~F.col("delivery_id").startswith("row#")).alias("late"))
         rest = ids.groupBy(*DELIVERY_KEY).agg(F.max("late").alias("late"))
-        if path_exists(spark, log_path):
-            log = spark.read.schema(DELIVERIES).parquet(log_path)
-            others = log.where(incremental.partition_filter("booking_date", days)).where(F.col("stream") != own)
-            fresh = fresh.join(others, key_index.same_keys(fresh, others, DELIVERY_KEY), "left_anti")
-            rest_days = {r[0] for r in rest.select("booking_date").distinct().collect()}
+        if log is not None:
             earlier = log.where(incremental.partition_filter("booking_date", rest_days)) \
                 .where((F.col("stream") != own) | (F.col("batch") != batch_id))
             rest = rest.join(earlier, key_index.same_keys(rest, earlier, DELIVERY_KEY), "left_anti")
-        new = fresh.unionByName(rest).withColumn("stream", F.lit(own)).withColumn("batch", F.lit(batch_id).cast("long"))
-        write_partitioned(new.select(*DELIVERIES.fieldNames()), log_path, ["booking_date", "stream", "batch"])
+        write_partitioned(numbered(fresh.unionByName(rest)), log_path, ["booking_date", "stream", "batch"])
 
     _each_batch(with_state(rows, DELIVERY_KEY, late_after), merge, checkpoint)
 
 
+def _streams_of(spark: SparkSession, log_path: str, days: set) -> set[str]:
+    """The streams that have logged deliveries of these days (from the folders' names)."""
+    folders = incremental.partition_values(spark, log_path, "booking_date")
+    names = [folders[k] for k in (incremental.DEFAULT_PARTITION if d is None else str(d) for d in days) if k in folders]
+    return {n[len("stream="):] for f in names for n in child_names(spark, f"{log_path}/{f}") if n.startswith("stream=")}
+
+
 def _add_counts(spark: SparkSession, new: DataFrame, table_path: str, days: set, own: str, batch_id: int) -> None:
     """Add a batch's deliveries to the counts of their days, once: a count that already
     holds this batch (of this stream) stays as it is."""
