@@ -107,11 +107,14 @@ def q_stream_daily_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 # ------------------------------------------------- late rows, rows without ids, moving keys
-def _in_files(spark: SparkSession, df: DataFrame, files: int) -> str:
-    """A copy of ``df`` in unordered files, so that a stream meets it in several batches."""
+def _in_batches(spark: SparkSession, df: DataFrame, batches: int) -> DataFrame:
+    """``df`` as a stream of about ``batches`` micro-batches of unordered rows, however many
+    files the session deals them to (a batch is bounded by its bytes)."""
     root = scratch_path(spark, "unordered-files")
-    df.repartition(files, F.xxhash64(*df.columns)).write.parquet(root)
-    return root
+    df.repartition(batches, F.xxhash64(*df.columns)).write.parquet(root)
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return stream.events_stream(spark, root, df.schema, max_bytes_per_trigger=max(1, size // batches))
 
 
 @register("stream_late_corrections", covers="T1 T2 T3 T4 T5", oracle=with_ctes(["enriched"], """
@@ -119,11 +122,9 @@ SELECT booking_date, channel, COUNT(*) AS bookings_count FROM enriched GROUP BY
 def q_stream_late_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three unordered files, a micro-batch each; what comes behind the watermark is in the
     correction table. On-time counts and corrections together are the batch result."""
-    events = read_table(spark, sf_dir, "events")
-    source = _in_files(spark, events, 3)
+    events = _in_batches(spark, read_table(spark, sf_dir, "events"), 3)
     table, ckpt = scratch_path(spark, "stream-late"), scratch_path(spark, "ckpt-late")
-    bookings = stream.booking_stream(stream.events_stream(spark, source, events.schema, max_bytes_per_trigger=1))
-    stream.daily_counts_to_table(bookings, table, ckpt)
+    stream.daily_counts_to_table(stream.booking_stream(events), table, ckpt)
     on_time = spark.read.schema(stream.COUNTS_TABLE).parquet(table).select(
         "booking_date", "channel", (F.col("bookings_count") - F.col("late_count")).alias("n"))
     late = stream.late_rows(spark, table).groupBy("booking_date", "channel").agg(F.count(F.lit(1)).alias("n"))
@@ -162,9 +163,8 @@ WHERE rn = 1"""))
 def q_stream_dedup_moving_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An invitee (here: a user) who books on many days has one row, the first
     delivery, over two unordered micro-batches."""
-    events = read_table(spark, sf_dir, "events")
-    source = _in_files(spark, events, 2)
-    bookings = stream.booking_stream(stream.events_stream(spark, source, events.schema, max_bytes_per_trigger=1)) \
+    events = _in_batches(spark, read_table(spark, sf_dir, "events"), 2)
+    bookings = stream.booking_stream(events) \
         .withColumn("invitee_id", F.concat(F.lit("user-"), F.regexp_extract(S.COL_MEMBER_USER, "([0-9]+)$", 1)))
     out, ckpt = scratch_path(spark, "stream-moving"), scratch_path(spark, "ckpt-moving")
     schema = stream.dedup_stream(bookings, out, ckpt)
