@@ -105,8 +105,8 @@ DOCUMENTS_PER_FILE = 500
 def bronze_event_documents(spark: SparkSession, sf_dir: str) -> str:
     """Write the booking documents as Bronze JSON lines, one folder per arrival day."""
     root = scratch_path(spark, "bronze-events")
-    docs = model.booking_documents(read_table(spark, sf_dir, "events"))
-    writers.write_json_lines(docs, root, "event_date")
+    docs = model.booking_documents(model.by_arrival_day(read_table(spark, sf_dir, "events")))
+    writers.write_json_lines(docs, root, "event_date", dealt=True)
     return root
 
 

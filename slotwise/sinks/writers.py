@@ -87,14 +87,15 @@ def write_daily_arrays(records: DataFrame, path: str, day_col: str = "date",
 
 
 def write_json_lines(records: DataFrame, path: str, partition_col: str | None = None,
-                     mode: str = "overwrite", compression: str = "lz4") -> None:
+                     mode: str = "overwrite", compression: str = "lz4", dealt: bool = False) -> None:
     """K2: JSON lines, partitioned by ``partition_col`` (one folder per value).
 
     lz4 by default: nested webhook JSON shrinks about 6x at the same write speed and
     reads faster; readers pick the codec from the file extension. The files are sized
-    by the rebalance, so a non-splittable codec still yields task-sized inputs.
+    by the rebalance, so a non-splittable codec still yields task-sized inputs. ``dealt``: the
+    tasks of ``records`` have that size and few values each already, and write as they are.
     """
-    writer = (records.hint("rebalance", partition_col) if partition_col else records).write \
+    writer = (records.hint("rebalance", partition_col) if partition_col and not dealt else records).write \
         .mode(mode).option("compression", compression)
     if partition_col:
         writer = writer.partitionBy(partition_col)

@@ -70,6 +70,20 @@ def booking_facts(events: DataFrame) -> DataFrame:
     )
 
 
+#: Documents that one task of ``by_arrival_day`` makes, about; and below which no further task is begun.
+DOCUMENTS_PER_TASK, FEW_DOCUMENTS = 100_000, 5_000
+
+
+def by_arrival_day(events: DataFrame) -> DataFrame:
+    """``events`` in tasks of about equal size, each with the deliveries of one or a few arrival days. The
+    narrow rows are exchanged, so the documents made of them need not be."""
+    spark = events.sparkSession
+    rows = events.count()                                   # from the Parquet footers
+    tasks = max(-(-rows // DOCUMENTS_PER_TASK), min(spark.sparkContext.defaultParallelism, -(-rows // FEW_DOCUMENTS)), 1)
+    day = F.to_date(_ingestion_time(F.col("ts"), _k()))
+    return events.repartitionByRange(tasks, day, F.xxhash64(*events.columns))
+
+
 def booking_documents(events: DataFrame) -> DataFrame:
     """One nested webhook document per delivery (schema ``BOOKING_EVENT_DOC``) plus the
     ``event_date`` folder value (the delivery's ingestion day).
