@@ -344,7 +344,7 @@ def q_event_documents_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = dealt.join(sizes, "event_date").withColumn("file_no", F.pmod("h", F.col("files")))
     values = dealt.groupBy("event_date", "file_no").agg(F.to_json(F.collect_list("doc"), {"pretty": "true"}).alias("value"))
     root = scratch_path(spark, "bronze-multiline")
-    values.write.partitionBy("event_date", "file_no").text(root)
+    values.write.option("compression", "lz4").partitionBy("event_date", "file_no").text(root)
     return flatten(json_io.read_event_documents(spark, root, layout="document")).select(*FLAT_COLUMNS)
 
 

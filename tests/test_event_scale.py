@@ -6,8 +6,9 @@ import glob
 
 from pyspark.sql import functions as F
 
-from slotwise.session import configure, scratch_path
-from slotwise.sources import model
+from slotwise import schemas as S
+from slotwise.session import configure, shared_dir
+from slotwise.sources import json_io, model
 from slotwise.sources.tables import read_table
 
 
@@ -31,3 +32,10 @@ def test_documents_are_made_after_the_exchange(spark, sf_dir):
     tasks = docs.select(F.spark_partition_id().alias("t"), "event_date").distinct()
     days = tasks.select("event_date").distinct().count()
     assert tasks.count() <= days + docs.rdd.getNumPartitions()   # a task has one or a few neighbouring days
+
+
+def test_multiline_documents_are_written_compressed(spark, sf_dir):
+    from slotwise.plans.ingest_queries import q_event_documents_multiline
+    assert q_event_documents_multiline(spark, sf_dir).count() > 0
+    files = glob.glob(f"{shared_dir(spark).removeprefix('file:')}/bronze-multiline-*/**/part-*", recursive=True)
+    assert files and all(f.endswith(".lz4") for f in files)
