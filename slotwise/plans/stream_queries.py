@@ -101,7 +101,7 @@ def q_stream_daily_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame
     from slotwise.plans.ingest_queries import bronze_event_documents
     bronze = bronze_event_documents(spark, sf_dir)
     table, ckpt = scratch_path(spark, "stream-doc-daily"), scratch_path(spark, "ckpt-doc-daily")
-    docs = stream.document_booking_stream(stream.document_stream(spark, bronze))
+    docs = stream.document_booking_stream(stream.document_stream(spark, bronze, schema=S.BOOKING_COUNT_DOC))
     stream.daily_counts_to_table(docs, table, ckpt)
     return read_columnar(spark, table, schema=stream.DAILY_COUNTS).select("booking_date", "channel", "bookings_count")
 
@@ -147,7 +147,7 @@ def q_stream_daily_without_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_json_lines(docs.withColumn("data", F.col("data").withField("payload.uri", uri)), bronze, "event_date")
     table = scratch_path(spark, "stream-without-ids")
     for _ in range(2):
-        bookings = stream.document_booking_stream(stream.document_stream(spark, bronze))
+        bookings = stream.document_booking_stream(stream.document_stream(spark, bronze, schema=S.BOOKING_COUNT_DOC))
         stream.daily_counts_to_table(bookings, table, scratch_path(spark, "ckpt-without-ids"))
     return read_columnar(spark, table, schema=stream.DAILY_COUNTS).select("booking_date", "channel", "bookings_count")
 

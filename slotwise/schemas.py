@@ -182,11 +182,27 @@ BOOKING_EVENT_DOC = T.StructType([
     ])),
 ])
 
+# Of it, what a count of bookings reads.
+BOOKING_COUNT_DOC = T.StructType([
+    T.StructField("ingestion_time", T.StringType()),
+    T.StructField("data", T.StructType([
+        T.StructField("event", T.StringType()),
+        T.StructField("payload", T.StructType([
+            T.StructField("scheduled_event", T.StructType([
+                T.StructField("event_type", T.StringType()), T.StructField("start_time", T.StringType())])),
+            T.StructField("uri", T.StringType()),
+        ])),
+    ])),
+])
+
 # Columns of the flattened event table the Gold layer reads.
 COL_EVENT = "data_event"
 COL_EVENT_TYPE = "data_payload_scheduled_event_event_type"
 COL_START_TIME = "data_payload_scheduled_event_start_time"
 COL_MEMBER_USER = "data_payload_scheduled_event_event_memberships_user"
+# Columns that name one document or invitee.
+DOCUMENT_NAMES = ("data_payload_uri", "data_payload_cancel_url", "data_payload_reschedule_url", "data_payload_email",
+                  "data_payload_name", "data_payload_scheduled_event_uri")
 
 
 def fact_events_schema() -> T.StructType:

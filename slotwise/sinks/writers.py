@@ -116,14 +116,20 @@ def write_manifest(file_names: DataFrame, path: str, group_col: str | None = Non
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
                       fmt: str = "parquet", mode: str = "overwrite",
-                      observation: Observation | None = None) -> None:
+                      observation: Observation | None = None, options: Mapping[str, str] | None = None) -> None:
     """K4/K5: partitioned columnar write. With ``partitionOverwriteMode=dynamic``
     (set by ``slotwise.session.configure``) an overwrite replaces only the partitions
     present in ``df``. ``observation`` collects the row count in the same pass (A8)."""
     if observation is not None:
         df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     (df.hint("rebalance", *partition_cols)
-     .write.format(fmt).mode(mode).partitionBy(*partition_cols).save(path))
+     .write.format(fmt).options(**(options or {})).mode(mode).partitionBy(*partition_cols).save(path))
+
+
+def without_dictionaries(columns: Sequence[str]) -> dict[str, str]:
+    """Parquet write options: no dictionary for these columns. Where nearly every document has a value of
+    its own, one is built and thrown away (or kept, as long as the text) in every file."""
+    return {f"parquet.enable.dictionary#{c}": "false" for c in columns}
 
 
 def copy_manifest(spark: SparkSession, manifest_path: str, bronze_path: str) -> None:
