@@ -245,7 +245,7 @@ def q_medallion_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver_marketing = scratch_path(spark, "silver-fact-marketing")
 
     def events_chain() -> None:
-        silver_events_job(spark, bronze_event_documents(spark, sf_dir), silver_events, layout="lines")
+        silver_events_job(spark, bronze_event_documents(spark, sf_dir), silver_events, layout="lines", dealt=True)
 
     def spend_chain() -> None:
         raw_root, index_root = raw_spend_files(spark, sf_dir)
@@ -375,7 +375,7 @@ def q_silver_bookings_from_documents(spark: SparkSession, sf_dir: str) -> DataFr
     the quarantine, both read back."""
     from slotwise.plans.jobs import silver_bookings_job, silver_events_job
     events, bookings, quarantine = (scratch_path(spark, n) for n in ("silver-events", "silver-bookings", "quarantine"))
-    silver_events_job(spark, bronze_event_documents(spark, sf_dir), events, layout="lines")
+    silver_events_job(spark, bronze_event_documents(spark, sf_dir), events, layout="lines", dealt=True)
     silver_bookings_job(spark, spark.read.parquet(events), bookings, quarantine)
     columns = ["event_date", "invitee_id", "booking_date", "channel", "employee_email", "event_start_time", "ingestion_date"]
     good = spark.read.parquet(bookings).select(*columns, F.lit("").alias("reject_reasons"))
@@ -462,15 +462,15 @@ def q_fact_events_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Webhook documents with nested fields that no schema names; the fields become columns of
     ``fact_events`` beside the known ones."""
     from slotwise.plans.jobs import silver_events_job
-    docs = model.booking_documents(read_table(spark, sf_dir, "events"))
+    docs = model.booking_documents(model.by_arrival_day(read_table(spark, sf_dir, "events")))
     number = F.regexp_extract("data.payload.email", "([0-9]+)@", 1).cast("long")
     custom = F.when(number % 3 == 0, F.struct(F.concat(F.lit("plan-"), (number % 4).cast("string")).alias("plan"),
                                               F.struct(number.alias("seats")).alias("limits")))
     series = F.when(number % 2 == 0, F.concat(F.lit("v"), (number % 5).cast("string")))
     data = F.col("data").withField("payload.custom", custom).withField("payload.scheduled_event.series", series)
     bronze, silver = scratch_path(spark, "bronze-open"), scratch_path(spark, "silver-open")
-    writers.write_json_lines(docs.withColumn("data", data), bronze, "event_date")
-    silver_events_job(spark, bronze, silver, layout="lines", open_fields=True)
+    writers.write_json_lines(docs.withColumn("data", data), bronze, "event_date", dealt=True)
+    silver_events_job(spark, bronze, silver, layout="lines", open_fields=True, dealt=True)
     table = spark.read.option("mergeSchema", "true").parquet(silver)
     return table.withColumn("event_date", F.col("event_date").cast("string")).select(
         *FLAT_COLUMNS, "data_payload_custom_plan", "data_payload_custom_limits_seats", "data_payload_scheduled_event_series")

@@ -64,12 +64,13 @@ CORRUPT = "_corrupt_record"
 
 def silver_events_job(spark: SparkSession, bronze_path: str, silver_path: str,
                       layout: str = "document", fmt: str = "parquet",
-                      quarantine_path: str | None = None, open_fields: bool = False) -> int:
+                      quarantine_path: str | None = None, open_fields: bool = False, dealt: bool = False) -> int:
     """Bronze webhook documents -> flattened ``fact_events`` by ``event_date``
     (dynamic partition overwrite), counted on write. Documents that are no JSON are no
     facts: they go to ``quarantine_path`` (text, day, what could be read of them) if
     one is given. With ``open_fields`` (JSON lines) fields that the schema does not name become columns too,
-    after one pass that finds them; read such a table with ``mergeSchema``."""
+    after one pass that finds them; read such a table with ``mergeSchema``. ``dealt``: Bronze holds files of
+    task size in day folders (not one per document), so the wide rows need no exchange by day."""
     if open_fields and layout != "lines":
         raise ValueError("open_fields reads JSON lines")
     docs = json_io.read_open_documents(spark, bronze_path, corrupt_col=CORRUPT) if open_fields else \
@@ -82,7 +83,8 @@ def silver_events_job(spark: SparkSession, bronze_path: str, silver_path: str,
         broken.write.mode("overwrite").json(quarantine_path)
     fact = flatten(docs.where(F.col(CORRUPT).isNull()).drop(CORRUPT))
     obs = Observation("fact_events")
-    writers.write_partitioned(fact, silver_path, ["event_date"], fmt=fmt, observation=obs)
+    writers.write_partitioned(fact, silver_path, ["event_date"], fmt=fmt, observation=obs,
+                              options=writers.without_dictionaries(S.DOCUMENT_NAMES), dealt=dealt)
     return writers.observed_rows(obs)
 
 

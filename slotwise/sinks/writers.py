@@ -116,13 +116,15 @@ def write_manifest(file_names: DataFrame, path: str, group_col: str | None = Non
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
                       fmt: str = "parquet", mode: str = "overwrite",
-                      observation: Observation | None = None, options: Mapping[str, str] | None = None) -> None:
+                      observation: Observation | None = None, options: Mapping[str, str] | None = None,
+                      dealt: bool = False) -> None:
     """K4/K5: partitioned columnar write. With ``partitionOverwriteMode=dynamic``
     (set by ``slotwise.session.configure``) an overwrite replaces only the partitions
-    present in ``df``. ``observation`` collects the row count in the same pass (A8)."""
+    present in ``df``. ``observation`` collects the row count in the same pass (A8).
+    ``dealt``: the tasks of ``df`` hold one or a few partitions each already, and write as they are."""
     if observation is not None:
         df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
-    (df.hint("rebalance", *partition_cols)
+    ((df if dealt else df.hint("rebalance", *partition_cols))
      .write.format(fmt).options(**(options or {})).mode(mode).partitionBy(*partition_cols).save(path))
 
 
