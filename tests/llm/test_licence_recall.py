@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import functions as F
+
 from slotwise.llm import licences
 from slotwise.llm.common import prepare
 
@@ -40,3 +42,14 @@ def test_recall_on_unseen_notices_and_look_alikes(spark, sf_dir):
     assert right >= 0.9 * len(UNSEEN), [(f, found[10 ** 6 + i]) for i, (f, _) in enumerate(UNSEEN)]
     assert [t for i, t in enumerate(LOOKALIKES) if found[2 * 10 ** 6 + i]] == []
     assert found[3 * 10 ** 6] == ["MIT"] and found[3 * 10 ** 6 + 1] == ["Apache-2.0"] and found[3 * 10 ** 6 + 2] == []
+
+
+def test_every_document_is_an_example_of_unknown_text(spark):
+    """Half of 3,200 documents hold a notice word: it is no cue, whichever half a sample would read."""
+    prepare(spark)
+    odd = F.pmod(F.xxhash64("id"), F.lit(2)) == 1
+    for half in (odd, ~odd):
+        docs = spark.range(3_200).withColumn("text", F.concat_ws(" ", F.lit("en der la que tion"), F.col("id"), F.when(half, F.lit("expat"))))
+        assert docs.where(half).count() > 1_000
+        found = licences.Scanner(docs)
+        assert "expat" not in found.cues and "gplv3" in found.cues
